@@ -17,12 +17,20 @@ def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
     return keys
 
 
-def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+def natural_join(
+    left: DataFrame, right: DataFrame, how: str = "inner", balanced: bool = False
+) -> DataFrame:
     """Join on every shared column; key columns appear once.
 
     For the right and full forms the key comes from whichever side has the row.
+    ``balanced`` cuts hot keys in pieces: of the left side for an inner join, of
+    the side that need not be kept whole for the outer ones.
     """
     keys = shared_columns(left, right)
+    if balanced:
+        if how == "inner":
+            return skew_join(left, right, keys)
+        return {"left": keep_all_left, "right": keep_all_right, "full": keep_all}[how](left, right)
     other = prefixed(right, keys, "__r_")
     joined = left.join(other, same_key(left, other, [(k, f"__r_{k}") for k in keys]), how)
     columns = []
@@ -60,6 +68,13 @@ def keep_all_right(left: DataFrame, right: DataFrame) -> DataFrame:
     return joined.select(*quoted(left.columns), *quoted([c for c in right.columns if c not in left.columns]))
 
 
+def keep_all(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Natural full join for large sides: left join plus the right rows without a partner."""
+    keys = shared_columns(left, right)
+    alone = skew_join(right, left.select(*quoted(keys)).distinct(), keys, "left_anti")
+    return keep_all_left(left, right).unionByName(alone, allowMissingColumns=True)
+
+
 def join_keep_right(left: DataFrame, right: DataFrame, by: list[str], clash: list[str]) -> DataFrame:
     """Inner join on ``by`` where both sides also hold the ``clash`` columns:
     the left copies are dropped and the right copies kept."""
