@@ -1,5 +1,4 @@
 from sylvatab.functions.text import (
-    capitalise,
     mentions,
     normalise_name_case,
     paste_na,
@@ -9,7 +8,6 @@ from sylvatab.functions.text import (
 )
 
 __all__ = [
-    "capitalise",
     "mentions",
     "normalise_name_case",
     "paste_na",

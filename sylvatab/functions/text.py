@@ -9,11 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def capitalise(word: Column) -> Column:
-    """First letter upper-case, the rest lower-case; hyphens do not start a word."""
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 2**31 - 1)))
-
-
 def squish(text: Column) -> Column:
     """Trim, and reduce every run of white space to one space."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))
@@ -26,14 +21,15 @@ def paste_na(*parts: Column, sep: str = " ") -> Column:
 
 
 def title_genus(name: Column, lower_first: bool = False) -> Column:
-    """Capitalise the first word and paste the remainder back on.
+    """Capitalise the first word (first letter upper, the rest lower; a hyphen
+    does not start a word) and paste the remainder back on.
 
     A one-word name has no remainder and a null name has neither part, so they
     come out as ``"Foo NA"`` and ``"NA NA"``.
     """
     source = F.lower(name) if lower_first else name
     parts = F.split(source, " ", 2)
-    return paste_na(capitalise(F.try_element_at(parts, F.lit(1))), F.try_element_at(parts, F.lit(2)))
+    return paste_na(F.initcap(F.try_element_at(parts, F.lit(1))), F.try_element_at(parts, F.lit(2)))
 
 
 def normalise_name_case(

@@ -18,8 +18,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.functions.text import capitalise, squish
-from sylvatab.operators.skew import quoted, same_key, skew_join
+from sylvatab.functions.text import squish
+from sylvatab.operators.skew import match_join, quoted
 
 # Columns of a checklist as it is read, and their names in a search result.
 CHECKLIST_NAMES = {"Input.Taxon": "First_matched_Name", "Output.Taxon": "LCVP_Accepted_Taxon"}
@@ -45,16 +45,35 @@ PLACED_PIECES_LIMIT = 8
 
 
 def match_key(name: Column) -> Column:
-    """Single spaces, first word capitalised."""
-    clean = squish(name)
+    """Single spaces, first word capitalised; empty for a null name.
+
+    Never null, so that a join on it puts no null test, and with it a second
+    evaluation of the key, into the scan of the names.
+    """
+    return _capitalised(squish(name))
+
+
+def _capitalised(clean: Column) -> Column:
     genus = F.substring_index(clean, " ", 1)
-    return F.concat(capitalise(genus), F.substring(clean, F.length(genus) + 1, F.length(clean)))
+    key = F.concat(F.initcap(genus), F.substr(clean, F.length(genus) + 1))
+    return F.coalesce(key, F.lit(""))
 
 
 def entry_key(full_name: Column) -> Column:
     """The part of a checklist name without authors, as a match key."""
     clean = squish(full_name)
-    return match_key(F.coalesce(F.nullif(F.regexp_extract(clean, BINOMIAL, 0), F.lit("")), clean))
+    binomial = F.regexp_extract(clean, BINOMIAL, 0)
+    return _capitalised(F.when(binomial != "", binomial).otherwise(clean))
+
+
+def distinct_names(names: DataFrame, name: str) -> DataFrame:
+    """Distinct non-null names with their match key.
+
+    The null test is made on a count, after the aggregate: a plain filter would
+    be pushed below it and evaluate the name once more for every input row.
+    """
+    counted = names.groupBy(F.col(f"`{name}`").alias(name)).agg(F.count(f"`{name}`").alias("n"))
+    return counted.filter("n > 0").select(name, match_key(F.col(name)).alias("key"))
 
 
 def edit_limit(key: Column, max_distance: float) -> Column:
@@ -87,30 +106,19 @@ def resolve_names(
     first checklist name in order. A name without an entry within the limit
     gives no row.
     """
-    wanted = names.select(F.col(f"`{name}`").alias(name)).filter(F.col(name).isNotNull()).distinct()
-    wanted = wanted.withColumn("key", match_key(F.col(name)))
+    wanted = distinct_names(names, name)
     entries = prepare_checklist(checklist)
     per_key = entries.groupBy("key").agg(
         F.min(F.struct("rank", *quoted(MATCH_COLUMNS))).alias("entry")
     )
-    exact = wanted.join(per_key, "key", "left")
-    if max_distance == 0:
-        best = exact.filter(F.col("entry").isNotNull()).withColumn("distance", F.lit(0))
-    else:
-        missing = exact.filter(F.col("entry").isNull()).select("key").distinct()
+    best = wanted.join(per_key, "key").select(name, "entry", F.lit(0).alias("distance"))
+    if max_distance > 0:
+        missing = wanted.join(per_key, "key", "left_anti")
         pairs = close_pairs(missing, per_key, max_distance, match_genus)
-        nearest = pairs.groupBy("key").agg(F.min(F.struct("distance", "entry")).alias("near"))
-        best = (
-            exact.join(nearest, "key", "left")
-            .withColumn(
-                "distance",
-                F.when(F.col("entry").isNotNull(), 0).otherwise(F.col("near.distance")),
-            )
-            .withColumn("entry", F.coalesce("entry", "near.entry"))
-            .filter(F.col("entry").isNotNull())
-        )
+        nearest = pairs.groupBy(name).agg(F.min(F.struct("distance", "entry")).alias("near"))
+        best = best.unionByName(nearest.select(name, "near.entry", "near.distance"))
     fields = [F.col("entry").getField(c).alias(c) for c in MATCH_COLUMNS]
-    return best.select(F.col(name), *fields, "distance")
+    return best.select(name, *fields, "distance")
 
 
 def fuzzy_candidates(
@@ -121,8 +129,7 @@ def fuzzy_candidates(
     name: str = "Submitted_Name",
 ) -> DataFrame:
     """Every checklist entry within the limit of each distinct non-null name."""
-    wanted = names.select(F.col(f"`{name}`").alias(name)).filter(F.col(name).isNotNull()).distinct()
-    wanted = wanted.withColumn("key", match_key(F.col(name)))
+    wanted = distinct_names(names, name)
     entries = prepare_checklist(checklist).drop("rank")
     keys = entries.select("key").distinct()
     exact = wanted.select("key").distinct().join(keys, "key", "left_semi")
@@ -139,7 +146,7 @@ def fuzzy_candidates(
 def keep_resolved(resolved: DataFrame, kept: DataFrame, name: str = "Submitted_Name") -> DataFrame:
     """Results for the names kept after curation. The search is deterministic,
     so the first result is reused instead of searching again."""
-    return skew_join(resolved, kept.select(F.col(f"`{name}`").alias(name)).distinct(), [name], "left_semi")
+    return match_join(resolved, kept.select(F.col(f"`{name}`").alias(name)).distinct(), [name], "left_semi")
 
 
 def close_pairs(
@@ -147,17 +154,16 @@ def close_pairs(
 ) -> DataFrame:
     """All (name, entry) pairs within the limit; a pair may come more than once.
 
-    ``names`` holds distinct ``key`` values, ``entries`` distinct ``key`` values
-    and any payload, which is carried along. The result has ``key``,
-    ``entry_key``, the payload and ``distance``.
+    Both tables have a ``key`` and any payload, which is carried along. The
+    result has ``key``, ``entry_key``, the payloads and ``distance``.
     """
-    payload = [c for c in entries.columns if c != "key"]
+    payload = [c for c in (*names.columns, *entries.columns) if c != "key"]
     left = _pieces(names, max_distance, match_genus, of_names=True)
     right = _pieces(entries, max_distance, match_genus, of_names=False)
     right = right.withColumnsRenamed({"key": "entry_key", "body": "entry_body"})
     # Distances are measured on the part after a shared genus (with its space, so
     # that a one-word name counts it): a common start does not change the edits.
-    pairs = skew_join(left, right, ["genus", "edits", "size", "place", "piece"])
+    pairs = left.join(right, ["genus", "edits", "size", "place", "piece"])
     pairs = pairs.withColumn("distance", F.expr("levenshtein(body, entry_body, edits)"))
     return pairs.filter(F.col("distance") >= 0).select("key", "entry_key", *quoted(payload), "distance")
 
@@ -165,18 +171,15 @@ def close_pairs(
 def _pieces(df: DataFrame, max_distance: float, match_genus: bool, of_names: bool) -> DataFrame:
     genus = F.substring_index("key", " ", 1) if match_genus else F.lit("")
     skip = F.length(genus) + 1 if match_genus else F.lit(1)
-    df = df.withColumn("genus", genus).withColumn("body", F.substring(F.col("key"), skip, F.length("key")))
-    df = df.withColumn("n", F.length("body"))
+    body = F.substring(F.col("key"), skip, F.length("key"))
     if of_names:
-        df = df.withColumn("edits", edit_limit(F.col("key"), max_distance))
-        df = df.filter(F.col("edits") > 0)
-        df = df.withColumn("p", F.explode(F.expr(_NAME_PIECES)))
+        edits, pieces = edit_limit(F.col("key"), max_distance), F.expr(_NAME_PIECES)
     else:
-        df = df.withColumn("edits", F.explode(_possible_limits(F.length("key"), max_distance)))
-        df = df.withColumn("p", F.explode(F.expr(_ENTRY_PIECES)))
-    return df.drop("n").select(
-        *quoted([c for c in df.columns if c not in ("n", "p")]), "p.size", "p.place", "p.piece"
-    )
+        edits, pieces = F.explode(_possible_limits(F.length("key"), max_distance)), F.expr(_ENTRY_PIECES)
+    df = df.select("*", genus.alias("genus"), body.alias("body"), edits.alias("edits"))
+    df = df.filter("edits > 0").withColumn("n", F.length("body"))
+    # inline gives no row for a name too short to have a piece.
+    return df.select(*quoted([c for c in df.columns if c != "n"]), F.inline(pieces))
 
 
 def _possible_limits(length: Column, max_distance: float) -> Column:

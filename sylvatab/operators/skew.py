@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 _N, _PIECES, _SALT = "__rows", "__pieces", "__salt"
 
+# Rows of one key that a single task may take before the key is cut.
+PIECE_ROWS = 1_000_000
+
 
 def same_key(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     """Null-safe equality over all pairs of columns."""
@@ -24,23 +27,37 @@ def quoted(names: list[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys with more rows than an average shuffle partition, and the number
-    of pieces each should be cut into.
+def match_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join (inner, left, left_semi or left_anti).
+
+    For tables already reduced to names. The driving side is on the left, the
+    side that the adaptive planner can split when it finds a skewed partition.
+    """
+    other = prefixed(right, keys, "__r_")
+    joined = left.join(other, same_key(left, other, [(k, f"__r_{k}") for k in keys]), how)
+    rest = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return joined.select(*quoted(left.columns), *quoted(rest))
+
+
+def hot_keys(df: DataFrame, keys: list[str], piece: int | None = None) -> DataFrame:
+    """The keys with the most rows and the number of pieces to cut each into.
 
-    With P shuffle partitions a key is hot above total/P rows, so fewer than P
-    keys can be hot whatever the data: that is the bound which makes it safe to
-    broadcast the result. Only the key columns are read, and the count is
-    combined on the map side.
+    Only keys with more than ``piece`` rows count, and of those the P most
+    frequent, P being the number of shuffle partitions: at most P rows whatever
+    the data, which is the bound that makes the result safe to broadcast. A key
+    beyond the first P holds less than a P-th of all rows and needs no cutting.
+    Only the key columns are read, and the count is combined on the map side.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias(_N))
-    total = counts.agg(F.sum(_N).alias("total")).scalar()
-    # A floor of 1000 rows a piece: below it a split costs more than it saves.
-    piece = F.greatest(F.ceil(total / F.lit(parts)), F.lit(1000))
-    return counts.filter(F.col(_N) > piece).select(
-        *quoted(keys), F.ceil(F.col(_N) / piece).cast("int").alias(_PIECES)
-    )
+    return hottest(df.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias(_N)), keys, piece)
+
+
+def hottest(counts: DataFrame, keys: list[str], piece: int | None = None) -> DataFrame:
+    """:func:`hot_keys` from a table of keys and their ``__rows``."""
+    piece = PIECE_ROWS if piece is None else piece
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = counts.filter(F.col(_N) > piece).orderBy(F.col(_N).desc()).limit(parts)
+    pieces = F.least(F.ceil(F.col(_N) / piece), F.lit(parts)).cast("int")
+    return top.select(*quoted(keys), pieces.alias(_PIECES))
 
 
 def skew_join(
@@ -52,11 +69,13 @@ def skew_join(
 ) -> DataFrame:
     """Null-safe equi-join whose hot keys on the ``big`` side are cut in pieces.
 
-    ``how`` is inner, left, left_semi or left_anti, seen from ``big``. Rows of
-    ``small`` with a hot key are repeated once for each piece. The piece of a
-    big row depends on its content and its partition number only, so a task
-    that runs again after a lost executor sends every row to the same place,
-    and whole-row copies still spread over the pieces.
+    For row-level tables, where one key may hold a third of all rows. ``how`` is
+    inner, left, left_semi or left_anti, seen from ``big``. Rows of ``small``
+    with a hot key are repeated once for each piece. The piece of a big row
+    depends on its content and its partition number only, so a task that runs
+    again after a lost executor sends every row to the same place, and whole-row
+    copies still spread over the pieces. Which keys are hot decides where rows
+    go, never which rows come out.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support {how!r}")
@@ -65,19 +84,11 @@ def skew_join(
     hot_names = [f"__hot_{k}" for k in keys]
 
     spread = F.xxhash64(*quoted(big.columns)) + F.spark_partition_id()
+    salt = F.when(F.col(_PIECES).isNull(), 0).otherwise(F.pmod(spread, F.col(_PIECES))).cast("int")
     left = big.join(tag, same_key(big, tag, list(zip(keys, hot_names))), "left")
-    left = left.withColumn(
-        _SALT, F.when(F.col(_PIECES).isNull(), 0).otherwise(F.pmod(spread, F.col(_PIECES))).cast("int")
-    ).select(*quoted(big.columns), _SALT)
+    left = left.select(*quoted(big.columns), salt.alias(_SALT))
 
-    right = small.join(tag, same_key(small, tag, list(zip(keys, hot_names))), "left")
     pieces = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    right = right.withColumn("__r_salt", F.explode(pieces)).select(*quoted(small.columns), "__r_salt")
-    right = prefixed(right, keys, "__r_")
-
-    cond = same_key(left, right, [(k, f"__r_{k}") for k in keys]) & (left[_SALT] == right["__r_salt"])
-    joined = left.join(right, cond, how)
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*quoted(big.columns))
-    rest = [c for c in small.columns if c not in keys]
-    return joined.select(*quoted(big.columns), *quoted(rest))
+    right = small.join(tag, same_key(small, tag, list(zip(keys, hot_names))), "left")
+    right = right.select(*quoted(small.columns), F.explode(pieces).alias(_SALT))
+    return match_join(left, right, [*keys, _SALT], how).drop(_SALT)

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.operators.joins import members_of
-from sylvatab.operators.skew import quoted
+from sylvatab.operators.skew import hottest, quoted, skew_join
 
 
 def column_run(df: DataFrame, first: str, last: str) -> list[str]:
@@ -31,13 +30,21 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
     return having_more_than(count_by(df, column), 1)
 
 
-def duplicate_groups(df: DataFrame, column: str) -> DataFrame:
-    """All rows whose value occurs more than once.
+def mark_repeated(df: DataFrame, column: str, mark: str = "repeated") -> DataFrame:
+    """Add a boolean: does the row's value occur more than once.
 
     Counting then joining, rather than a window: a window would bring the whole
-    of a hot group into one task.
+    of a hot group into one task. The counts also tell which values are hot.
     """
-    return members_of(df, repeated_values(df, column), column)
+    counts = df.groupBy(*quoted([column])).agg(F.count(F.lit(1)).alias("__rows"))
+    more = counts.filter(F.col("__rows") > 1).select(*quoted([column]), F.lit(True).alias(mark))
+    joined = skew_join(df, more, [column], "left", hot=hottest(counts, [column]))
+    return joined.withColumn(mark, F.coalesce(mark, F.lit(False)))
+
+
+def duplicate_groups(df: DataFrame, column: str) -> DataFrame:
+    """All rows whose value occurs more than once."""
+    return mark_repeated(df, column, "__repeated").filter("__repeated").drop("__repeated")
 
 
 def one_row_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

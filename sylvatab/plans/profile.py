@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.operators.skew import skew_join
-from sylvatab.operators.summaries import column_ranges, column_run, repeated_values
+from sylvatab.operators.summaries import column_ranges, column_run, mark_repeated
 
 
 def check_coordinates(sites: DataFrame, name: str = "Site_name") -> DataFrame:
     """Are the coordinates present and on the globe, and is the name its own."""
-    again = repeated_values(sites, name).withColumn("again", F.lit(True))
-    marked = skew_join(sites, again, [name], "left")
+    marked = mark_repeated(sites, name)
     lat_ok = F.coalesce(F.col("Latitude").between(-90, 90), F.lit(False))
     lon_ok = F.coalesce(F.col("Longitude").between(-180, 180), F.lit(False))
     marked = marked.withColumn("latitude_ok", lat_ok).withColumn("longitude_ok", lon_ok)
-    marked = marked.withColumn("name_unique", F.col("again").isNull()).drop("again")
+    marked = marked.withColumn("name_unique", ~F.col("repeated")).drop("repeated")
     return marked.withColumn(
         "sensible", F.col("latitude_ok") & F.col("longitude_ok") & F.col("name_unique")
     )

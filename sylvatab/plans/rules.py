@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.operators.skew import skew_join
-
 # Rule kinds. ``value`` is a pattern for PATTERN, an accepted name for the
 # duplicate labels, a submitted name for the others, and a mode for CASE,
 # DUPLICATES and CODES.
@@ -29,10 +28,6 @@ CODES = "codes"  # "rejoin": the species code is part of the key of unresolved r
 NOT_LISTED = "not in LCVP"
 LABELS = (LISTED_UNRESOLVED, DOUBLE_COUNT, SYNONYM)
 
-# A rule table is written by hand. Up to this many rules it is sent to every
-# executor; a longer one is joined by a shuffle.
-BROADCAST_RULES = 10_000
-
 
 class Rule(NamedTuple):
     site: str
@@ -57,14 +52,25 @@ class RuleBook:
     def modes(self, kind: str) -> dict[str, str]:
         return {r.site: r.value for r in self.of(kind)}
 
-    def table(self, spark: SparkSession, *kinds: str) -> DataFrame:
-        """One row per (site, value) with the kinds as a set and the override target."""
-        rows = [tuple(r) for r in self.of(*kinds)]
-        schema = "site string, rule string, value string, on_mismatch_only boolean, target string"
-        table = spark.createDataFrame(rows, schema)
-        return table.groupBy("site", "value").agg(
-            F.collect_set("rule").alias("kinds"), F.max("target").alias("target")
+    def table(self, spark: SparkSession, kinds: tuple[str, ...], column: str) -> DataFrame:
+        """One row per site and value with its rule kinds and override target.
+
+        Made from Arrow data, so the planner knows its size: it is broadcast
+        while it is below the session's broadcast threshold, and joined by a
+        shuffle beyond that.
+        """
+        found: dict[tuple[str, str], tuple[set[str], str | None]] = {}
+        for r in self.of(*kinds):
+            have, target = found.get((r.site, r.value), (set(), None))
+            found[r.site, r.value] = (have | {r.rule}, r.target or target)
+        schema = pa.schema(
+            {"site": pa.string(), column: pa.string(), "kinds": pa.list_(pa.string()), "target": pa.string()}
         )
+        rows = [
+            {"site": site, column: value, "kinds": sorted(have), "target": target}
+            for (site, value), (have, target) in found.items()
+        ]
+        return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
     def attach(self, df: DataFrame, kinds: tuple[str, ...], column: str) -> DataFrame:
         """Left join the rules of these kinds on site and ``column``.
@@ -73,12 +79,9 @@ class RuleBook:
         """
         none = F.array().cast("array<string>")
         if not self.of(*kinds):
-            return df.withColumn("kinds", none).withColumn("target", F.lit(None).cast("string"))
-        rules = self.table(df.sparkSession, *kinds).withColumnRenamed("value", column)
-        if len(self.of(*kinds)) <= BROADCAST_RULES:
-            joined = df.join(F.broadcast(rules), ["site", column], "left")
-        else:
-            joined = skew_join(df, rules, ["site", column], "left")
+            return df.withColumns({"kinds": none, "target": F.lit(None).cast("string")})
+        rules = self.table(df.sparkSession, kinds, column)
+        joined = df.join(rules, ["site", column], "left")
         return joined.withColumn("kinds", F.coalesce("kinds", none))
 
     def pattern_hit(self, name: Column, mismatch: Column) -> Column:

@@ -10,7 +10,7 @@ from sylvatab.functions.text import paste_na
 from sylvatab.operators.joins import keep_all_right, natural_join
 from sylvatab.operators.resolve import fuzzy_candidates, resolve_names
 from sylvatab.operators.sets import set_difference, union_by_name
-from sylvatab.operators.skew import quoted, skew_join
+from sylvatab.operators.skew import match_join, quoted
 from sylvatab.operators.summaries import column_run, count_by
 
 
@@ -36,7 +36,7 @@ def second_source_taxa(
     wider = fuzzy_candidates(others, checklist, retry_distance).drop("distance")
     counts = count_by(wider, "Submitted_Name")
     few = counts.filter(F.col("n") <= max_candidates).drop("n")
-    fuzzy = skew_join(wider, few, ["Submitted_Name"], "left_semi").withColumn("search", F.lit("fuzzy"))
+    fuzzy = match_join(wider, few, ["Submitted_Name"], "left_semi").withColumn("search", F.lit("fuzzy"))
     resolved = natural_join(union_by_name(identical, fuzzy), names)
     review = others.join(counts, "Submitted_Name", "left").fillna(0, ["n"])
     review = review.filter((F.col("n") == 0) | (F.col("n") > max_candidates))

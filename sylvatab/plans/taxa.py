@@ -10,6 +10,7 @@ third of the input is a single row there.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +25,11 @@ from sylvatab.operators.resolve import (
     resolve_names,
 )
 from sylvatab.operators.sets import set_difference, union_by_name
-from sylvatab.operators.skew import quoted, skew_join
-from sylvatab.operators.summaries import duplicate_groups, repeated_values
+from sylvatab.operators.skew import match_join, quoted, skew_join
+from sylvatab.operators.summaries import mark_repeated
 from sylvatab.plans import rules as k
 from sylvatab.plans.rules import RuleBook
+from sylvatab.sources.tables import written
 
 TAXA_NAMES = {
     "latin": "Submitted_Name",
@@ -127,25 +129,31 @@ def unmatched_by_code(taxa: DataFrame, matches: DataFrame) -> DataFrame:
     return skew_join(taxa, codes, ["Sp_Code"], "left_semi")
 
 
-def triage_duplicates(
+def label_duplicates(
     matches: DataFrame, double_counts: list[str], synonyms: list[str], other: str = k.SYNONYM
-) -> tuple[DataFrame, DataFrame]:
-    """(matches whose accepted name is reached once, the others with ``issue``).
+) -> DataFrame:
+    """Add ``issue``: null where the accepted name is reached once, else a label.
 
     ``other`` labels duplicates on neither list; the accepted name
     ``unresolved`` is labelled as listed but unresolved.
     """
     accepted = F.col("LCVP_Accepted_Taxon")
     label = (
-        F.when(accepted == "unresolved", k.LISTED_UNRESOLVED)
+        F.when(~F.col("repeated"), F.lit(None))
+        .when(accepted == "unresolved", k.LISTED_UNRESOLVED)
         .when(accepted.isin(double_counts), k.DOUBLE_COUNT)
         .when(accepted.isin(synonyms), k.SYNONYM)
         .otherwise(other)
     )
-    repeated = duplicate_groups(matches, "LCVP_Accepted_Taxon").withColumn("issue", label)
-    doubles = repeated_values(matches, "LCVP_Accepted_Taxon")
-    single = skew_join(matches, doubles, ["LCVP_Accepted_Taxon"], "left_anti")
-    return single, repeated
+    return mark_repeated(matches, "LCVP_Accepted_Taxon").withColumn("issue", label).drop("repeated")
+
+
+def triage_duplicates(
+    matches: DataFrame, double_counts: list[str], synonyms: list[str], other: str = k.SYNONYM
+) -> tuple[DataFrame, DataFrame]:
+    """(matches whose accepted name is reached once, the others with ``issue``)."""
+    labelled = label_duplicates(matches, double_counts, synonyms, other)
+    return labelled.filter("issue is null").drop("issue"), labelled.filter("issue is not null")
 
 
 def assemble_unresolved(
@@ -166,25 +174,30 @@ def name_status(
     Columns: site, Submitted_Name, n_rows, the match columns, mismatch_test,
     outcome (resolved or unresolved) and issue (null when resolved).
     """
-    names = taxa.groupBy(*NAME_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
+    names = taxa.groupBy(*NAME_KEY).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("Submitted_Name").alias("n_named")
+    )
     names = rules.attach(names, (k.SENTINEL, k.PRE_EXCLUDE, k.NAME, k.OVERRIDE), "Submitted_Name")
     names = names.withColumn(
         "searched",
-        F.col("Submitted_Name").isNotNull()
+        (F.col("n_named") > 0)
         & ~F.arrays_overlap("kinds", F.array(F.lit(k.SENTINEL), F.lit(k.PRE_EXCLUDE))),
     )
+    # The search is the expensive part and is read twice below, so its result,
+    # one row per distinct name, is written to the shared folder.
     found = resolve_names(names.filter("searched"), checklist, max_distance).drop("distance")
-    matched = skew_join(names, found, ["Submitted_Name"], "left")
+    found = written(found, "name-matches")
+    matched = match_join(names, found, ["Submitted_Name"], "left")
 
     if rules.of(k.OVERRIDE):
-        wanted = names.filter("searched and target is not null").select("Submitted_Name", "target").distinct()
-        chosen = override_targets(wanted, checklist, max_distance)
+        pairs = {(r.value, r.target) for r in rules.of(k.OVERRIDE)}
+        wanted = pa.table(dict(zip(("Submitted_Name", "target"), map(list, zip(*sorted(pairs))))))
+        chosen = override_targets(taxa.sparkSession.createDataFrame(wanted), checklist, max_distance)
         chosen = chosen.groupBy("Submitted_Name", "target").agg(
             F.min(F.struct(*quoted(MATCH_COLUMNS))).alias("chosen")
         )
-        # At most one row per override rule, so as small as the rule table.
-        matched = matched.join(F.broadcast(chosen), ["Submitted_Name", "target"], "left")
-        # The rule rejects the best match, also when its target is not offered.
+        matched = matched.join(chosen, ["Submitted_Name", "target"], "left")
+    # The rule rejects the best match, also when its target is not offered.
         ruled = F.col("target").isNotNull()
         matched = matched.withColumns(
             {
@@ -204,14 +217,17 @@ def name_status(
     )
     kept = matched.withColumn("kept", F.col("First_matched_Name").isNotNull() & ~distrusted).drop("kinds")
 
-    by_accepted = ["site", "kept", "LCVP_Accepted_Taxon"]
+    # Names that are not kept have no partner; the last key spreads them out.
+    part = F.when(F.col("kept"), 0).otherwise(1 + F.pmod(F.hash("Submitted_Name"), F.lit(1023)))
+    kept = kept.withColumn("part", part)
+    by_accepted = ["site", "LCVP_Accepted_Taxon", "part"]
     doubles = (
         kept.filter("kept")
         .groupBy(*by_accepted)
         .agg((F.sum("n_rows") > 1).alias("doubled"))
         .filter("doubled")
     )
-    status = skew_join(kept, doubles, by_accepted, "left")
+    status = match_join(kept, doubles, by_accepted, "left")
     status = rules.attach(status, k.LABELS, "LCVP_Accepted_Taxon")
     other = rules.mode_column(k.DUPLICATES, k.SYNONYM)
     label = F.when(~F.col("kept"), k.NOT_LISTED)

@@ -35,6 +35,7 @@ from sylvatab.sources.tables import (
     write_csv,
     write_split,
     write_table,
+    written,
 )
 
 MEASURES_SQL = ", ".join(quote(c) for c in MEASURE_COLUMNS)
@@ -103,7 +104,7 @@ OBS_WIDTH_SQL = f"WITH s AS ({standin.source_sql()}) " + " UNION ALL ".join(
 def _taxa_tables(spark, sf):
     rules = standin.rule_book()
     taxa = submitted_taxa(standin.source_rows(spark, sf), rules)
-    return rules, taxa, name_status(taxa, checklist(spark, sf), rules)
+    return rules, taxa, written(name_status(taxa, checklist(spark, sf), rules), "name-status")
 
 
 def demography_resolved_query(spark, sf, kind="means"):

@@ -12,6 +12,7 @@ from sylvatab.plans.taxa import (
     apply_override,
     assemble_unresolved,
     exclude_names,
+    label_duplicates,
     name_status,
     override_targets,
     quarantine_by_list,
@@ -27,6 +28,7 @@ from sylvatab.plans.taxa import (
     unresolved_taxa,
 )
 from sylvatab.queries import standin
+from sylvatab.sources.tables import written
 from sylvatab.queries.standin import MATCH_SQL, best_sql, candidates_sql, checklist, source_rows, table
 
 
@@ -252,8 +254,8 @@ def duplicate_triage(spark, sf):
     """All sites' matches as one list: one row per submitted row."""
     taxa, found = _matches(spark, sf)
     rows = skew_join(taxa.select("Submitted_Name", "Sp_Code"), found, ["Submitted_Name"], "inner")
-    single, repeated = triage_duplicates(rows, _DOUBLES, _SYNONYMS, "double count")
-    return union_by_name(single, repeated).select("Submitted_Name", "Sp_Code", "LCVP_Accepted_Taxon", "issue")
+    labelled = label_duplicates(rows, _DOUBLES, _SYNONYMS, "double count")
+    return labelled.select("Submitted_Name", "Sp_Code", "LCVP_Accepted_Taxon", "issue")
 
 
 def _label_sql(other: str) -> str:
@@ -303,7 +305,7 @@ def taxa_resolved(spark, sf):
 
 def taxa_unresolved(spark, sf):
     taxa, status = _status(spark, sf)
-    return unresolved_taxa(taxa, status, standin.rule_book())
+    return unresolved_taxa(taxa, written(status, "name-status"), standin.rule_book())
 
 
 QUERIES = {

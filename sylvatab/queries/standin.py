@@ -24,17 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # The expressions below are common to Spark and the checking engine.
 _LETTER = "chr(97 + p_size % 26)"
 _GENUS = "concat(upper(substr(p_name, 1, 1)), substr(split_part(p_name, ' ', 1), 2))"
-_EPITHET = f"concat(split_part(p_name, ' ', 2), lower(p_type), repeat({_LETTER}, 4))"
-_FULL = f"concat({_GENUS}, ' ', {_EPITHET})"
+_FULL = f"concat(upper(substr(p_name, 1, 1)), substr(p_name, 2), lower(p_type), repeat({_LETTER}, 4))"
 _LATIN = f"""CASE
   WHEN p_partkey % 41 = 0 THEN NULL
   WHEN p_partkey % 37 = 0 THEN 'NA'
   WHEN p_partkey % 31 = 0 THEN {_GENUS}
-  WHEN p_partkey % 29 = 0 THEN concat({_FULL}, 'xx')
-  WHEN p_partkey % 7 = 0 THEN concat(substr({_FULL}, 1, length({_FULL}) - 6), substr({_FULL}, length({_FULL}) - 4, 5))
-  WHEN p_partkey % 11 = 0 THEN upper({_FULL})
-  WHEN p_partkey % 13 = 0 THEN lower({_FULL})
-  ELSE {_FULL} END"""
+  ELSE concat(
+    CASE WHEN p_partkey % 13 = 0 THEN substr(p_name, 1, 1) ELSE upper(substr(p_name, 1, 1)) END,
+    substr(p_name, 2),
+    CASE WHEN p_partkey % 7 = 0 THEN substr(lower(p_type), 2) WHEN p_partkey % 11 = 0 THEN upper(p_type)
+      ELSE lower(p_type) END,
+    repeat({_LETTER}, 4),
+    CASE WHEN p_partkey % 29 = 0 THEN 'xx' ELSE '' END) END"""
 _SOURCE_COLUMNS = {
     "site": "p_brand",
     "latin": _LATIN,
