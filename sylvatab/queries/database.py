@@ -34,7 +34,6 @@ from sylvatab.sources.tables import (
     scratch_path,
     write_csv,
     write_split,
-    write_table,
     written,
 )
 
@@ -308,7 +307,7 @@ def text_table_scan(spark, sf):
     """The source table written as whitespace-delimited text and read back."""
     rows = measures(spark, sf)
     path = scratch_path(spark, "text-table")
-    write_table(rows, path)
+    rows.write.csv(path, sep=" ", header=True, nullValue="NA")
     return read_table(spark, path, rows.schema)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -62,23 +63,6 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType)
     )
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Whitespace-delimited text: strings quoted, ``NA`` for missing, a header in each file."""
-    cells = [
-        F.when(F.col(f"`{f.name}`").isNull(), MISSING)
-        .otherwise(
-            F.concat(F.lit('"'), F.col(f"`{f.name}`"), F.lit('"'))
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f"`{f.name}`").cast("string")
-        )
-        .alias(f.name)
-        for f in df.schema
-    ]
-    df.select(*cells).write.mode("overwrite").csv(
-        path, sep=" ", header=True, quote="", emptyValue="", lineSep="\n"
-    )
-
-
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, nullValue=MISSING)
 
@@ -93,7 +77,8 @@ def read_csv_set(
     file or a folder of part files.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
-    below = F.regexp_extract("path", F.lit(f"{directory.rstrip('/').split('/')[-1]}/([^/]+)"), 1)
+    folder = re.escape(directory.rstrip("/").split("/")[-1])
+    below = F.regexp_extract("path", f"/{folder}/([^/]+)", 1)
     entries = files.select(below.alias("name")).filter(F.col("name").rlike(include))
     if exclude is not None:
         entries = entries.filter(~F.col("name").rlike(exclude))
