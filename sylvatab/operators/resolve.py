@@ -158,7 +158,11 @@ def close_pairs(
     result has ``key``, ``entry_key``, the payloads and ``distance``.
     """
     payload = [c for c in (*names.columns, *entries.columns) if c != "key"]
-    left = _pieces(names, max_distance, match_genus, of_names=True)
+    # Names grow by a factor of ten or more into pieces, and each piece costs a
+    # measured pair: more work than their bytes tell, so they are spread over all
+    # partitions instead of being packed by size.
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = _pieces(names.repartition(parts, "key"), max_distance, match_genus, of_names=True)
     right = _pieces(entries, max_distance, match_genus, of_names=False)
     right = right.withColumnsRenamed({"key": "entry_key", "body": "entry_body"})
     # Distances are measured on the part after a shared genus (with its space, so

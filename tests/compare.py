@@ -1,11 +1,15 @@
 """Run queries and their SQL side by side.
 
     python tests/compare.py [sf] [query ...]
+
+With CLUSTER_LIKE set, nothing is broadcast by size and keys with more than 20
+rows are cut into pieces, as on tables too large to broadcast.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -81,6 +85,12 @@ if __name__ == "__main__":
     sf_dir = f"/root/testdata/sf{sf}"
     wanted = sys.argv[2:] or list(queries())
     spark, con = session(), engine(sf_dir)
+    if os.environ.get("CLUSTER_LIKE"):
+        from sylvatab.operators import skew
+
+        skew.PIECE_ROWS = 20
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     bad = 0
     for name in wanted:
         try:
