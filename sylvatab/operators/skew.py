@@ -55,7 +55,8 @@ def hottest(counts: DataFrame, keys: list[str], piece: int | None = None) -> Dat
     """:func:`hot_keys` from a table of keys and their ``__rows``."""
     piece = PIECE_ROWS if piece is None else piece
     parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = counts.filter(F.col(_N) > piece).orderBy(F.col(_N).desc()).limit(parts)
+    # Ordered by key as well: both sides of a join must come to the same choice.
+    top = counts.filter(F.col(_N) > piece).orderBy(F.col(_N).desc(), *quoted(keys)).limit(parts)
     pieces = F.least(F.ceil(F.col(_N) / piece), F.lit(parts)).cast("int")
     return top.select(*quoted(keys), pieces.alias(_PIECES))
 

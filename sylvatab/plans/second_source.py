@@ -12,6 +12,7 @@ from sylvatab.operators.resolve import fuzzy_candidates, resolve_names
 from sylvatab.operators.sets import set_difference, union_by_name
 from sylvatab.operators.skew import match_join, quoted
 from sylvatab.operators.summaries import column_run, count_by
+from sylvatab.sources.tables import written
 
 
 def binomials(source: DataFrame) -> DataFrame:
@@ -29,11 +30,12 @@ def second_source_taxa(
     identical, or when the wider search offers no more than ``max_candidates``
     entries. The others are listed with the number of candidates, 0 for none.
     """
+    # Both results are read from the two searches, so each is written once.
     names = binomials(source)
-    exact = resolve_names(names, checklist, max_distance=0).drop("distance")
+    exact = written(resolve_names(names, checklist, max_distance=0).drop("distance"), "exact-matches")
     identical = exact.filter(F.col("`PL.comparison`") == "identical").withColumn("search", F.lit("exact"))
     others = set_difference(names.select("Submitted_Name"), identical.select("Submitted_Name"))
-    wider = fuzzy_candidates(others, checklist, retry_distance).drop("distance")
+    wider = written(fuzzy_candidates(others, checklist, retry_distance).drop("distance"), "wider-matches")
     counts = count_by(wider, "Submitted_Name")
     few = counts.filter(F.col("n") <= max_candidates).drop("n")
     fuzzy = match_join(wider, few, ["Submitted_Name"], "left_semi").withColumn("search", F.lit("fuzzy"))

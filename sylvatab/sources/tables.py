@@ -43,18 +43,20 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType)
     """Whitespace-delimited text with a header line and optional double quotes.
 
     Columns are found by the header, in any order; ``NA`` is missing. Every
-    file of the path carries the same header.
+    file of the path carries the same header line.
     """
     tokens = F.transform(
         F.regexp_extract_all("value", F.lit(r'"[^"]*"|\S+'), F.lit(0)),
         lambda t: F.regexp_replace(t, '^"|"$', ""),
     )
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    header = lines.select(tokens.alias("t")).first()["t"]
-    if set(header) < set(schema.fieldNames()):
-        raise ValueError(f"columns missing from the header: {set(schema.fieldNames()) - set(header)}")
-    rows = lines.select(tokens.alias("t")).filter(F.col("t") != F.array(*map(F.lit, header)))
-    place = {name: i for i, name in enumerate(header)}
+    first = lines.select("value", tokens.alias("header")).first()
+    place = {name: i for i, name in enumerate(first["header"])}
+    absent = [c for c in schema.fieldNames() if c not in place]
+    if absent:
+        raise ValueError(f"columns missing from the header: {absent}")
+    # Compared as a line: a test on the tokens would split every line twice.
+    rows = lines.filter(F.col("value") != first["value"]).select(tokens.alias("t"))
     return rows.select(
         *[
             F.nullif(F.get("t", F.lit(place[f.name])), F.lit(MISSING)).try_cast(f.dataType).alias(f.name)

@@ -1,0 +1,95 @@
+import pytest
+from pyspark.sql import types as T
+
+from sylvatab.sources.tables import (
+    completeness,
+    data_dictionary,
+    literal_table,
+    read_csv,
+    read_csv_set,
+    read_table,
+    scratch_path,
+    write_csv,
+    write_split,
+    written,
+)
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("latin", T.StringType()),
+        T.StructField("growth_layer1_CI.05", T.DoubleType()),
+        T.StructField("ok", T.BooleanType()),
+    ]
+)
+ROWS = [("bci", "Ficus carica", 1.5, True), ("hkk", None, None, False), ("hkk", "a(b", 1e-5, None)]
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_text_table(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text(
+        'site  latin\tgrowth_layer1_CI.05   ok\n'
+        'bci "Ficus carica"  1.5 TRUE\n'
+        '\n'
+        '  hkk NA NA FALSE  \n'
+        'hkk a(b 1e-05 NA\n'
+    )
+    assert rows(read_table(spark, str(path), SCHEMA)) == sorted(ROWS, key=repr)
+    # Columns are found by name.
+    part = T.StructType([SCHEMA.fields[3], SCHEMA.fields[0]])
+    assert rows(read_table(spark, str(path), part)) == [(False, "hkk"), (None, "hkk"), (True, "bci")]
+    with pytest.raises(ValueError):
+        read_table(spark, str(path), T.StructType([*SCHEMA.fields, T.StructField("more", T.StringType())]))
+
+
+def test_text_table_of_several_files(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / f"{i}.txt").write_text("site latin\nbci x\n")
+    assert read_table(spark, str(tmp_path), T.StructType(SCHEMA.fields[:2])).count() == 2
+
+
+def test_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    write_csv(df, str(tmp_path / "out"))
+    assert rows(read_csv(spark, str(tmp_path / "out"), SCHEMA)) == rows(df)
+    write_csv(df.limit(1), str(tmp_path / "out"))  # overwrites
+    assert read_csv(spark, str(tmp_path / "out"), SCHEMA).count() == 1
+
+
+def test_csv_set_unites_by_name(spark, tmp_path):
+    (tmp_path / "a_taxa.csv").write_text("x,y\n1,a\n")
+    (tmp_path / "b_taxa.csv").write_text("y\nb\n")
+    (tmp_path / "a_taxa_unresvd.csv").write_text("x,y\n9,z\n")
+    (tmp_path / "a_site.csv").write_text("q\n9\n")
+    schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.StringType())])
+    got = read_csv_set(spark, str(tmp_path), "taxa", r"unresvd\.csv", schema)
+    assert rows(got.select("x", "y")) == [(1, "a"), (None, "b")]
+    assert read_csv_set(spark, str(tmp_path), "taxa", None, schema).count() == 3
+    with pytest.raises(FileNotFoundError):
+        read_csv_set(spark, str(tmp_path), "none", None, schema)
+
+
+def test_split_sink(spark, tmp_path):
+    df = literal_table(spark, [("x", "resolved", "bci"), ("y", "unresolved", "bci")], "v string, outcome string, site string")
+    write_split(df, str(tmp_path / "s"))
+    back = spark.read.csv(str(tmp_path / "s" / "outcome=unresolved"), header=True)
+    assert [r["v"] for r in back.collect()] == ["y"]
+
+
+def test_dictionary(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    assert rows(data_dictionary(df, {"site": "Code of the site"}))[3] == ("site", "Code of the site")
+    assert dict(rows(completeness(df))) == {"site": 3, "latin": 2, "growth_layer1_CI.05": 2, "ok": 2}
+
+
+def test_shared_folder_comes_from_the_session(spark, tmp_path):
+    other = spark.newSession()
+    other.conf.set("spark.sql.legacy.setCommandRejectsSparkCoreConfs", "false")
+    other.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    assert scratch_path(other, "x").startswith(str(tmp_path / "shared"))
+    df = written(other.createDataFrame(ROWS, SCHEMA), "x")
+    assert rows(df) == sorted(ROWS, key=repr) and list((tmp_path / "shared").iterdir())
