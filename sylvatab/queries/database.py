@@ -106,14 +106,19 @@ def _taxa_tables(spark, sf):
     return rules, taxa, written(name_status(taxa, checklist(spark, sf), rules), "name-status")
 
 
-def demography_resolved_query(spark, sf, kind="means"):
-    rules, _, status = _taxa_tables(spark, sf)
+def _resolved_measures(spark, sf, rules, resolved, kind="means"):
     columns = measure_columns(measures(spark, sf, kind), rules)
-    return with_imputed_flags(demography_resolved(columns, resolved_taxa(status)))
+    return with_imputed_flags(demography_resolved(columns, resolved))
+
+
+def demography_resolved_query(spark, sf):
+    rules, _, status = _taxa_tables(spark, sf)
+    return _resolved_measures(spark, sf, rules, resolved_taxa(status))
 
 
 def medians_resolved(spark, sf):
-    return demography_resolved_query(spark, sf, "medians")
+    rules, _, status = _taxa_tables(spark, sf)
+    return _resolved_measures(spark, sf, rules, resolved_taxa(status), "medians")
 
 
 def demography_unresolved_query(spark, sf):
@@ -236,9 +241,9 @@ _SITES_SQL = """sites AS (SELECT p_brand AS "Site_name", min(p_retailprice) AS "
 
 def combine_sites(spark, sf):
     """The three combined tables stacked, each row with its table."""
-    _, _, status = _taxa_tables(spark, sf)
+    rules, _, status = _taxa_tables(spark, sf)
     resolved = resolved_taxa(status)
-    means = demography_resolved_query(spark, sf)
+    means = _resolved_measures(spark, sf, rules, resolved)
     tables = {
         "site": combined_sites(_sites(spark, sf)),
         "taxa": combined_taxa(resolved),
@@ -256,9 +261,10 @@ COMBINE_SQL = f"""WITH {_resolved_demography_sql()}, {_SITES_SQL}
 
 
 def merged_database(spark, sf):
-    _, _, status = _taxa_tables(spark, sf)
-    means = combined_means(demography_resolved_query(spark, sf))
-    return merged(combined_sites(_sites(spark, sf)), combined_taxa(resolved_taxa(status)), means)
+    rules, _, status = _taxa_tables(spark, sf)
+    resolved = resolved_taxa(status)
+    means = written(combined_means(_resolved_measures(spark, sf, rules, resolved)), "means")
+    return merged(combined_sites(_sites(spark, sf)), combined_taxa(resolved), means)
 
 
 def full_run_query(spark, sf):

@@ -28,14 +28,19 @@ from sylvatab.plans.taxa import (
     unresolved_taxa,
 )
 from sylvatab.queries import standin
-from sylvatab.sources.tables import written
 from sylvatab.queries.standin import MATCH_SQL, best_sql, candidates_sql, checklist, source_rows, table
+from sylvatab.sources.tables import written
 
 
 def _taxa(spark, sf):
     return submitted_taxa(source_rows(spark, sf), standin.rule_book())
 
 
+def _searched(taxa, spark, sf):
+    """The result of the search, written once as a script would keep it."""
+    return written(resolve_with_test(taxa, checklist(spark, sf)), "matches")
+
+
 RAW_SQL = f"SELECT {standin._LATIN} AS Submitted_Name, p_partkey FROM part"
 
 
@@ -131,7 +136,7 @@ RESOLUTION_TEST_SQL = f"WITH {_TESTED_SQL} SELECT * FROM m"
 
 
 def mismatch_review(spark, sf):
-    found = resolve_with_test(_taxa(spark, sf), checklist(spark, sf))
+    found = _searched(_taxa(spark, sf), spark, sf)
     return review_list(found, checklist(spark, sf))
 
 
@@ -149,7 +154,7 @@ RESOLVE_KEPT_SQL = f"{RESOLVE_FUZZY_SQL} WHERE NOT regexp_matches(Submitted_Name
 
 
 def quarantine_pattern(spark, sf):
-    found = resolve_with_test(_taxa(spark, sf), checklist(spark, sf))
+    found = _searched(_taxa(spark, sf), spark, sf)
     out, kept = quarantine_by_pattern(found, "xx|a[[:punct:]]", on_mismatch_only=True)
     return union_by_name(
         out.withColumn("trusted", F.lit(False)), kept.withColumn("trusted", F.lit(True))
@@ -165,7 +170,7 @@ _LISTED_SQL = ", ".join(f"'{n}'" for n in _LISTED)
 
 def quarantine_list(spark, sf):
     taxa = _taxa(spark, sf)
-    out, kept = quarantine_by_list(taxa, resolve_with_test(taxa, checklist(spark, sf)), _LISTED)
+    out, kept = quarantine_by_list(taxa, _searched(taxa, spark, sf), _LISTED)
     return union_by_name(out.select("Submitted_Name", "Sp_Code"), kept.select("Submitted_Name", "First_matched_Name"))
 
 
@@ -190,7 +195,7 @@ _GIVEN_UP_SQL = ", ".join(f"'{n}'" for n in _GIVEN_UP)
 
 def manual_override(spark, sf):
     taxa, listed = _taxa(spark, sf), checklist(spark, sf)
-    found = resolve_with_test(taxa, listed).drop("mismatch_test")
+    found = _searched(taxa, spark, sf).drop("mismatch_test")
     wanted = found.filter(F.col("Submitted_Name").isin(_GIVEN_UP)).select(
         "Submitted_Name", F.concat(F.replace("Submitted_Name", F.lit(" rod"), F.lit(" ring")), F.lit(" Auth.")).alias("target")
     )
@@ -208,7 +213,7 @@ MANUAL_OVERRIDE_SQL = f"""WITH {_TESTED_SQL}
 
 def _matches(spark, sf):
     taxa = split_missing(_taxa(spark, sf), ("Na NA",))[1]
-    return taxa, resolve_with_test(taxa, checklist(spark, sf))
+    return taxa, _searched(taxa, spark, sf)
 
 
 _MATCHED_SQL = f"""{standin.taxa_sql()}, present AS (SELECT * FROM taxa WHERE Submitted_Name IS NOT NULL
