@@ -77,12 +77,10 @@ CANDIDATES_SQL = f"WITH raw AS ({RAW_SQL}), {candidates_sql('raw')} SELECT Submi
 
 
 def _document_names(spark, sf):
-    """Names from text: the first two words of each document that are letters only,
-    and a checklist of those found in documents without a label."""
-    docs = table(spark, sf, "documents")
-    words = docs.select("doc_id", F.regexp_extract("text", "^([A-Za-z]+) ([A-Za-z]+)", 0).alias("found"))
-    words = words.select("doc_id", F.concat(F.substring("found", 1, 1), F.lower(F.substring("found", 2, 1000))).alias("found"))
-    words = words.filter(F.col("found") != "").withColumnRenamed("found", "Submitted_Name")
+    """Two-word names in whole texts (a capitalised word and a lower-case one),
+    and a checklist of those that occur in a document without a label."""
+    found = F.regexp_extract_all("text", F.lit("[A-Z][a-z]+ [a-z]+"), F.lit(0))
+    words = table(spark, sf, "documents").select("doc_id", F.explode(found).alias("Submitted_Name"))
     labels = table(spark, sf, "labels").select("doc_id").distinct()
     listed = words.join(labels, "doc_id", "left_anti").select("Submitted_Name").distinct()
     none = F.lit(None).cast("string")
@@ -105,24 +103,25 @@ def resolve_document_names(spark, sf):
 
 def resolve_document_names_any_genus(spark, sf):
     names, listed = _document_names(spark, sf)
-    found = fuzzy_candidates(names, listed, max_distance=0.2, match_genus=False)
+    found = fuzzy_candidates(names, listed, max_distance=0.1, match_genus=False)
     return found.select("Submitted_Name", "LCVP_Accepted_Taxon", "distance")
 
 
-_DOCUMENT_NAMES_SQL = """WITH f AS (SELECT doc_id, regexp_extract(text, '^([A-Za-z]+) ([A-Za-z]+)', 0) AS x FROM documents),
-  w AS (SELECT doc_id, concat(substr(x, 1, 1), lower(substr(x, 2))) AS n FROM f WHERE x <> ''),
-  w1 AS (SELECT DISTINCT n, concat(upper(substr(n, 1, 1)), substr(n, 2)) AS nk FROM w),
-  l AS (SELECT DISTINCT n AS entry, concat(upper(substr(n, 1, 1)), substr(n, 2)) AS k
-    FROM w WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
-  pairs AS (SELECT n AS Submitted_Name, entry AS "LCVP_Accepted_Taxon", levenshtein(nk, k) AS distance
-    FROM w1 JOIN l ON abs(length(nk) - length(k)) <= (length(nk) + 4) // 5
-      AND levenshtein(nk, k) <= (length(nk) + 4) // 5"""
+def _document_sql(limit: str, condition: str) -> str:
+    return f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+ [a-z]+')) AS n FROM documents),
+  a AS (SELECT DISTINCT n AS nk, split_part(n, ' ', 1) AS g, {limit} AS edits FROM w),
+  l AS (SELECT DISTINCT n AS k, split_part(n, ' ', 1) AS g FROM w WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+  pairs AS (SELECT nk AS Submitted_Name, k AS "LCVP_Accepted_Taxon", levenshtein(nk, k) AS distance
+    FROM a JOIN l ON {condition} AND length(k) BETWEEN length(nk) - edits AND length(nk) + edits
+      AND levenshtein(nk, k) <= edits)"""
 
-DOCUMENT_NAMES_SQL = f"""{_DOCUMENT_NAMES_SQL} AND split_part(nk, ' ', 1) = split_part(k, ' ', 1))
+
+DOCUMENT_NAMES_SQL = f"""{_document_sql("(length(n) + 4) // 5", "a.g = l.g")}
   SELECT * FROM pairs QUALIFY row_number() OVER (
     PARTITION BY Submitted_Name ORDER BY distance, "LCVP_Accepted_Taxon") = 1"""
 
-DOCUMENT_ANY_SQL = f"{_DOCUMENT_NAMES_SQL}) SELECT * FROM pairs"
+# Every name with every entry, whatever the genus.
+DOCUMENT_ANY_SQL = f"{_document_sql('(length(n) + 9) // 10', 'TRUE')} SELECT * FROM pairs"
 
 
 def resolution_test(spark, sf):
@@ -249,12 +248,6 @@ _DOUBLES = [f"{g} boltbbbb Auth." for g in standin.GENERA]
 _SYNONYMS = [f"{g} gearbbbb Auth." for g in standin.GENERA]
 
 
-def _one_site(spark, sf):
-    taxa, found = _matches(spark, sf)
-    own = taxa.filter(F.col("site") == "Brand#16")
-    return own, skew_join(own.select("Submitted_Name"), found, ["Submitted_Name"], "inner")
-
-
 def duplicate_triage(spark, sf):
     """All sites' matches as one list: one row per submitted row."""
     taxa, found = _matches(spark, sf)
@@ -277,22 +270,22 @@ DUPLICATE_TRIAGE_SQL = f"""WITH {_MATCHED_SQL} SELECT p.Submitted_Name, Sp_Code,
 
 
 def unresolved_assembly(spark, sf):
-    """One site, step by step, the way a script would do it."""
-    missing = split_missing(_taxa(spark, sf).filter(F.col("site") == "Brand#16"))[0]
-    own, found = _one_site(spark, sf)
-    _, repeated = triage_duplicates(found, _DOUBLES, _SYNONYMS)
-    repeated = repeated.select("Submitted_Name", "First_matched_Name", "LCVP_Accepted_Taxon", "issue")
-    repeated = repeated.withColumn("site", F.lit("Brand#16"))
-    return assemble_unresolved(own, unmatched_by_name(own, found), missing, repeated)
-
-
-UNRESOLVED_ASSEMBLY_SQL = f"""WITH {_MATCHED_SQL}, own AS (SELECT * FROM present WHERE site = 'Brand#16'),
-  d AS (SELECT b.*, count(*) OVER (PARTITION BY "LCVP_Accepted_Taxon") AS n
-    FROM own JOIN best b ON b.Submitted_Name = own.Submitted_Name)
-  SELECT DISTINCT *, 'not in LCVP' AS issue FROM taxa WHERE site = 'Brand#16' AND (Submitted_Name IS NULL
-    OR (Submitted_Name <> 'Na NA' AND Submitted_Name NOT IN (SELECT Submitted_Name FROM best)))
-  UNION ALL BY NAME SELECT DISTINCT Submitted_Name, "First_matched_Name", "LCVP_Accepted_Taxon",
-    {_label_sql("synonym")} AS issue, 'Brand#16' AS site FROM d WHERE n > 1"""
+    """Step by step, the way a script would do it, with all rows as one list."""
+    missing = split_missing(_taxa(spark, sf))[0]
+    taxa, found = _matches(spark, sf)
+    rows = skew_join(taxa.select("Submitted_Name", "site"), found, ["Submitted_Name"], "inner")
+    _, repeated = triage_duplicates(rows, _DOUBLES, _SYNONYMS)
+    repeated = repeated.select("Submitted_Name", "First_matched_Name", "LCVP_Accepted_Taxon", "issue", "site")
+    return assemble_unresolved(taxa, unmatched_by_name(taxa, found), missing, repeated)
+
+
+UNRESOLVED_ASSEMBLY_SQL = f"""WITH {_MATCHED_SQL},
+  d AS (SELECT p.Submitted_Name, "First_matched_Name", "LCVP_Accepted_Taxon", site,
+      count(*) OVER (PARTITION BY "LCVP_Accepted_Taxon") AS n
+    FROM present p JOIN best b ON b.Submitted_Name = p.Submitted_Name)
+  SELECT DISTINCT *, 'not in LCVP' AS issue FROM taxa WHERE Submitted_Name IS NULL
+    OR (Submitted_Name <> 'Na NA' AND Submitted_Name NOT IN (SELECT Submitted_Name FROM best))
+  UNION ALL BY NAME SELECT DISTINCT * EXCLUDE (n), {_label_sql("synonym")} AS issue FROM d WHERE n > 1"""
 
 
 def _status(spark, sf):

@@ -167,12 +167,17 @@ def _star(spark, sf):
     region = table(spark, sf, "region").withColumnRenamed("r_regionkey", "regionkey")
     nation = table(spark, sf, "nation").withColumnsRenamed({"n_regionkey": "regionkey", "n_nationkey": "nationkey"})
     supplier = table(spark, sf, "supplier").withColumnRenamed("s_nationkey", "nationkey")
-    return region, nation.filter("regionkey <> 2"), supplier.filter("nationkey <> 6")
+    # Region 2 and nation 6 have no partner: their rows point elsewhere.
+    nation = nation.withColumn("regionkey", F.expr("CASE WHEN regionkey = 2 THEN -1 ELSE regionkey END"))
+    supplier = supplier.withColumn("nationkey", F.expr("CASE WHEN nationkey = 6 THEN -1 ELSE nationkey END"))
+    return region, nation, supplier
 
 
 STAR_SQL = """r AS (SELECT r_regionkey AS regionkey, r_name FROM region),
-  n AS (SELECT n_nationkey AS nationkey, n_name, n_regionkey AS regionkey FROM nation WHERE n_regionkey <> 2),
-  s AS (SELECT s_suppkey, s_name, s_nationkey AS nationkey, s_acctbal FROM supplier WHERE s_nationkey <> 6)"""
+  n AS (SELECT n_nationkey AS nationkey, n_name,
+    CASE WHEN n_regionkey = 2 THEN -1 ELSE n_regionkey END AS regionkey FROM nation),
+  s AS (SELECT s_suppkey, s_name, CASE WHEN s_nationkey = 6 THEN -1 ELSE s_nationkey END AS nationkey, s_acctbal
+    FROM supplier)"""
 
 
 def star_left_join(spark, sf):
@@ -185,13 +190,17 @@ STAR_LEFT_SQL = f"""WITH {STAR_SQL} SELECT r.regionkey, r_name, n.nationkey, n_n
 
 
 def _partly(spark, sf):
-    """Orders and customers where either side has rows without a partner."""
+    """Orders and customers where either side has rows without a partner: the
+    keys of cheap orders and of rich customers are moved out of each other's way."""
     orders, customers = _keyed(spark, sf)
-    return orders.filter("o_totalprice > 100000"), customers.filter("c_acctbal < 5000 OR custkey IS NULL")
+    orders = orders.withColumn("custkey", F.expr("CASE WHEN o_totalprice < 100000 THEN -1 - custkey ELSE custkey END"))
+    rich = "CASE WHEN c_acctbal > 5000 THEN -1000000000 - custkey ELSE custkey END"
+    return orders, customers.withColumn("custkey", F.expr(rich))
 
 
-PARTLY_SQL = f"""{KEYED_SQL}, op AS (SELECT * FROM o WHERE o_totalprice > 100000),
-  cp AS (SELECT * FROM c WHERE c_acctbal < 5000 OR custkey IS NULL)"""
+PARTLY_SQL = f"""{KEYED_SQL}, op AS (SELECT * REPLACE (
+    CASE WHEN o_totalprice < 100000 THEN -1 - custkey ELSE custkey END AS custkey) FROM o),
+  cp AS (SELECT * REPLACE (CASE WHEN c_acctbal > 5000 THEN -1000000000 - custkey ELSE custkey END AS custkey) FROM c)"""
 
 
 def natural_right(spark, sf):
@@ -206,10 +215,9 @@ def natural_full(spark, sf):
     return natural_join(*_partly(spark, sf), "full", balanced=True)
 
 
-# IS NOT DISTINCT FROM is no condition for a full join there, so an equal stand-in key is used.
 NATURAL_FULL_SQL = f"""WITH {PARTLY_SQL} SELECT COALESCE(op.custkey, cp.custkey) AS custkey,
     o_orderkey, o_totalprice, c_name, c_acctbal
-  FROM op FULL JOIN cp ON COALESCE(op.custkey, -1) = COALESCE(cp.custkey, -1)"""
+  FROM op FULL JOIN cp ON COALESCE(op.custkey, -2000000000000) = COALESCE(cp.custkey, -2000000000000)"""
 
 
 def natural_full_star(spark, sf):
