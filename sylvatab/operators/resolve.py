@@ -158,11 +158,7 @@ def close_pairs(
     result has ``key``, ``entry_key``, the payloads and ``distance``.
     """
     payload = [c for c in (*names.columns, *entries.columns) if c != "key"]
-    # Names grow by a factor of ten or more into pieces, and each piece costs a
-    # measured pair: more work than their bytes tell, so they are spread over all
-    # partitions instead of being packed by size.
-    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = _pieces(names.repartition(parts, "key"), max_distance, match_genus, of_names=True)
+    left = _pieces(names, max_distance, match_genus, of_names=True)
     right = _pieces(entries, max_distance, match_genus, of_names=False)
     right = right.withColumnsRenamed({"key": "entry_key", "body": "entry_body"})
     # Distances are measured on the part after a shared genus (with its space, so
@@ -173,6 +169,12 @@ def close_pairs(
 
 
 def _pieces(df: DataFrame, max_distance: float, match_genus: bool, of_names: bool) -> DataFrame:
+    # A name grows by a factor of ten or more into pieces, and each costs a few
+    # measured pairs: more work than its bytes tell. So names are spread over all
+    # partitions instead of being packed by size. (By a hash of the key, since a
+    # partitioning by the key itself would be taken for the one already there.)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(parts, F.hash("key"))
     genus = F.substring_index("key", " ", 1) if match_genus else F.lit("")
     skip = F.length(genus) + 1 if match_genus else F.lit(1)
     body = F.substring(F.col("key"), skip, F.length("key"))
@@ -181,7 +183,7 @@ def _pieces(df: DataFrame, max_distance: float, match_genus: bool, of_names: boo
     else:
         edits, pieces = F.explode(_possible_limits(F.length("key"), max_distance)), F.expr(_ENTRY_PIECES)
     df = df.select("*", genus.alias("genus"), body.alias("body"), edits.alias("edits"))
-    df = df.filter("edits > 0").withColumn("n", F.length("body"))
+    df = df.withColumn("n", F.length("body"))
     # inline gives no row for a name too short to have a piece.
     return df.select(*quoted([c for c in df.columns if c != "n"]), F.inline(pieces))
 

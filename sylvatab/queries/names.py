@@ -81,6 +81,7 @@ def _document_names(spark, sf):
     and a checklist of those that occur in a document without a label."""
     found = F.regexp_extract_all("text", F.lit("[A-Z][a-z]+ [a-z]+"), F.lit(0))
     words = table(spark, sf, "documents").select("doc_id", F.explode(found).alias("Submitted_Name"))
+    words = written(words, "words")
     labels = table(spark, sf, "labels").select("doc_id").distinct()
     listed = words.join(labels, "doc_id", "left_anti").select("Submitted_Name").distinct()
     none = F.lit(None).cast("string")
