@@ -78,12 +78,13 @@ def distinct_names(names: DataFrame, name: str) -> DataFrame:
 
 def edit_limit(key: Column, max_distance: float) -> Column:
     """Edits allowed for a name: a fraction below 1 counts per character and is
-    rounded up, a number from 1 on is taken as it is. Integer arithmetic keeps
-    0.1 of 70 characters at exactly 7."""
+    rounded up, a number from 1 on is taken as it is. The share as a fraction
+    keeps 0.1 of 70 characters at exactly 7. Never null, like the key."""
     if max_distance >= 1:
         return F.lit(int(max_distance))
     share = Fraction(str(max_distance))
-    return F.ceil(F.length(key) * share.numerator / F.lit(share.denominator)).cast("int")
+    limit = F.ceil(F.length(key) * share.numerator / F.lit(share.denominator)).cast("int")
+    return F.coalesce(limit, F.lit(0))
 
 
 def prepare_checklist(checklist: DataFrame) -> DataFrame:
