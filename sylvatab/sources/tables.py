@@ -19,10 +19,12 @@ _LOCAL_FOLDER: dict[str, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder the cluster names for checkpoints.
 
-    Only a session without that setting (a test on one machine) gets a local one.
+    Only a session on one machine may do without that setting.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_FOLDER:
             _LOCAL_FOLDER[app] = tempfile.mkdtemp(prefix="sylvatab-")
