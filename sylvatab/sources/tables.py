@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,23 +12,31 @@ from pyspark.sql import types as T
 from sylvatab.operators.sets import union_by_name
 
 MISSING = "NA"
-_LOCAL_FOLDER: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names for checkpoints.
-
-    Only a session on one machine may do without that setting.
-    """
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this run's shared results: below ``spark.checkpoint.dir``,
+    or below the warehouse where that is unset and the session runs on one
+    machine. Each application has its own, so that ``clear_scratch`` takes
+    nothing from others."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_FOLDER:
-            _LOCAL_FOLDER[app] = tempfile.mkdtemp(prefix="sylvatab-")
-        folder = _LOCAL_FOLDER[app]
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    return f"{folder.rstrip('/')}/sylvatab-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for one shared result."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every shared result this application wrote; results that read
+    them can't be computed again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
