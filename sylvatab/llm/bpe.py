@@ -234,7 +234,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and the text of ``ids``; null ids give null."""
-    schema = df.withColumn(out, F.lit("")).schema
+    schema = df.withColumn(out, F.lit(None).cast("string")).schema
 
     def run(batches):
         table = np.array(pieces(path), object)
@@ -243,8 +243,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
             for start in range(0, batch.num_rows, 256):
                 part, few = batch.slice(start, 256), column.slice(start, 256)
                 texts = [
-                    None if x is None else b"".join(table[x.values.to_numpy()]).decode("utf-8", "replace")
-                    for x in few
+                    b"".join(table[x.values.to_numpy()]).decode("utf-8", "replace") if x.is_valid else None for x in few
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
