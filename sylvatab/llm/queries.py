@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe
+from sylvatab.llm import bpe, langid, licenses, secrets
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +17,56 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), BPE_FILE)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those not held out."""
+    return langid.predict(documents(spark, sf_dir))
+
+
+def joined(labels: Column) -> Column:
+    """Distinct labels in order, joined by commas."""
+    return F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template spans of every document."""
+    found = licenses.scan(documents(spark, sf_dir), keep=["doc_id"])
+    base = F.transform("phrases", lambda x: x["label"])
+    best = F.coalesce(F.array_max(F.transform("spans", lambda x: x["cover"])), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(F.transform("phrases", lambda x: x["first"])).alias("first_word"),
+        F.array_max(F.transform("phrases", lambda x: x["first"])).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.transform("spans", lambda x: x["label"]))).alias("labels"),
+        F.when(F.size("phrases") > 0, 1.0).otherwise(F.least(best, F.lit(1.0))).alias("score"),
+    )
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secrets.scan(documents(spark, sf_dir), [*secrets.BASE, *secrets.MORE], keep=["doc_id"])
+    kinds = [r.kind for r in secrets.BASE]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    base = F.filter("found", lambda x: x["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[count(k) for k in kinds],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_bpe": (op1_bpe, None),
+    "op3_language": (op3_language, None),
+    "op5_licenses": (op5_licenses, None),
+    "op7_secrets": (op7_secrets, None),
 }
