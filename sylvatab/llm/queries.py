@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe, langid, licenses, secrets
+from sylvatab.llm import bpe, langid, licenses, quality, secrets
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,9 +64,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality.report(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op3_language": (op3_language, None),
     "op5_licenses": (op5_licenses, None),
     "op7_secrets": (op7_secrets, None),
+    "op10_quality": (op10_quality, None),
 }
