@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe, langid, licenses, quality, secrets
+from sylvatab.llm import bpe, langid, licenses, quality, secrets, simhash, urls
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,11 @@ def joined(labels: Column) -> Column:
     return F.array_join(F.sort_array(F.array_distinct(labels)), ",")
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    return urls.judge(documents(spark, sf_dir, "pages"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and template spans of every document."""
     found = licenses.scan(documents(spark, sf_dir), keep=["doc_id"])
@@ -64,6 +69,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return simhash.report(documents(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality.report(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
@@ -72,7 +82,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op3_language": (op3_language, None),
+    "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
     "op7_secrets": (op7_secrets, None),
+    "op8_fingerprints": (op8_fingerprints, None),
     "op10_quality": (op10_quality, None),
 }
