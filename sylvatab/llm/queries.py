@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe, langid, licenses, quality, secrets, simhash, urls
+from sylvatab.llm import bpe, langid, licenses, lines, quality, secrets, simhash, urls
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), BPE_FILE)
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines that stand on many sites."""
+    return lines.report(documents(spark, sf_dir))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those not held out."""
     return langid.predict(documents(spark, sf_dir))
@@ -81,6 +86,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": (op1_bpe, None),
+    "op2_lines": (op2_lines, lines.SQL),
     "op3_language": (op3_language, None),
     "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
