@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe, langid, licenses, lines, quality, secrets, simhash, urls
+from sylvatab.llm import bpe, langid, licenses, lines, minhash, quality, secrets, simhash, urls
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,11 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return minhash.report(documents(spark, sf_dir))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     found = secrets.scan(documents(spark, sf_dir), [*secrets.BASE, *secrets.MORE], keep=["doc_id"])
@@ -90,6 +95,7 @@ QUERIES = {
     "op3_language": (op3_language, None),
     "op4_urls": (op4_urls, None),
     "op5_licenses": (op5_licenses, None),
+    "op6_near_duplicates": (op6_near_duplicates, None),
     "op7_secrets": (op7_secrets, None),
     "op8_fingerprints": (op8_fingerprints, None),
     "op10_quality": (op10_quality, None),
