@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe, langid, licenses, lines, minhash, quality, secrets, simhash, urls
+from sylvatab.llm import bpe, langid, licenses, lines, minhash, mixing, quality, secrets, simhash, urls
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,6 +84,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(documents(spark, sf_dir))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posteriors, rate and copies of every document."""
+    return mixing.report(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality.report(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
@@ -98,5 +103,6 @@ QUERIES = {
     "op6_near_duplicates": (op6_near_duplicates, None),
     "op7_secrets": (op7_secrets, None),
     "op8_fingerprints": (op8_fingerprints, None),
+    "op9_mixing": (op9_mixing, None),
     "op10_quality": (op10_quality, None),
 }
