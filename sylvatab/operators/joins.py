@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.operators.skew import hot_keys, prefixed, quoted, same_key, skew_join
+from sylvatab.operators.skew import prefixed, quoted, same_key, skew_join
 
 
 def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
@@ -23,8 +23,9 @@ def natural_join(
     """Join on every shared column; key columns appear once.
 
     For the right and full forms the key comes from whichever side has the row.
-    ``balanced`` cuts hot keys in pieces: of the left side for an inner join, of
-    the side that need not be kept whole for the outer ones.
+    ``balanced`` takes the form in which the adaptive planner can split hot keys:
+    of the left side for an inner join, of the side that need not be kept whole
+    for the outer ones.
     """
     keys = shared_columns(left, right)
     if balanced:
@@ -54,8 +55,7 @@ def keep_all_left(left: DataFrame, right: DataFrame) -> DataFrame:
     against the distinct keys of the right side.
     """
     keys = shared_columns(left, right)
-    hot = hot_keys(right, keys)
-    matched = skew_join(right, left, keys, "inner", hot=hot)
+    matched = skew_join(right, left, keys, "inner")
     alone = skew_join(left, right.select(*quoted(keys)).distinct(), keys, "left_anti")
     rest = [c for c in right.columns if c not in keys]
     order = quoted(left.columns) + quoted(rest)

@@ -5,12 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-_N, _PIECES, _SALT = "__rows", "__pieces", "__salt"
-
-# Rows of one key that a single task may take before the key is cut.
-PIECE_ROWS = 1_000_000
 
 
 def same_key(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -39,57 +33,17 @@ def match_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return joined.select(*quoted(left.columns), *quoted(rest))
 
 
-def hot_keys(df: DataFrame, keys: list[str], piece: int | None = None) -> DataFrame:
-    """The keys with the most rows and the number of pieces to cut each into.
-
-    Only keys with more than ``piece`` rows count, and of those the P most
-    frequent, P being the number of shuffle partitions: at most P rows whatever
-    the data, which is the bound that makes the result safe to broadcast. A key
-    beyond the first P holds less than a P-th of all rows and needs no cutting.
-    Only the key columns are read, and the count is combined on the map side.
-    """
-    return hottest(df.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias(_N)), keys, piece)
-
-
-def hottest(counts: DataFrame, keys: list[str], piece: int | None = None) -> DataFrame:
-    """:func:`hot_keys` from a table of keys and their ``__rows``."""
-    piece = PIECE_ROWS if piece is None else piece
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Ordered by key as well: both sides of a join must come to the same choice.
-    top = counts.filter(F.col(_N) > piece).orderBy(F.col(_N).desc(), *quoted(keys)).limit(parts)
-    pieces = F.least(F.ceil(F.col(_N) / piece), F.lit(parts)).cast("int")
-    return top.select(*quoted(keys), pieces.alias(_PIECES))
-
-
-def skew_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Null-safe equi-join whose hot keys on the ``big`` side are cut in pieces.
+def skew_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join of a row-level table, where one key may hold a third
+    of all rows, with a table that has few rows for each key.
 
-    For row-level tables, where one key may hold a third of all rows. ``how`` is
-    inner, left, left_semi or left_anti, seen from ``big``. Rows of ``small``
-    with a hot key are repeated once for each piece. The piece of a big row
-    depends on its content and its partition number only, so a task that runs
-    again after a lost executor sends every row to the same place, and whole-row
-    copies still spread over the pieces. Which keys are hot decides where rows
-    go, never which rows come out.
+    ``how`` is inner, left, left_semi or left_anti, seen from ``big``: the forms
+    in which the adaptive planner can split the driving side's hot partitions by
+    map output, reading the other side's partition again for each part. Both
+    sides come to the join from a shuffle of their own, which it needs for that.
+    Where the result is grouped next by the same keys, deal it out anew first
+    (``repartition`` by more columns), or the planner keeps the partitions whole.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not support {how!r}")
-    hot = hot_keys(big, keys) if hot is None else hot
-    tag = F.broadcast(prefixed(hot, keys, "__hot_"))
-    hot_names = [f"__hot_{k}" for k in keys]
-
-    spread = F.xxhash64(*quoted(big.columns)) + F.spark_partition_id()
-    salt = F.when(F.col(_PIECES).isNull(), 0).otherwise(F.pmod(spread, F.col(_PIECES))).cast("int")
-    left = big.join(tag, same_key(big, tag, list(zip(keys, hot_names))), "left")
-    left = left.select(*quoted(big.columns), salt.alias(_SALT))
-
-    pieces = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    right = small.join(tag, same_key(small, tag, list(zip(keys, hot_names))), "left")
-    right = right.select(*quoted(small.columns), F.explode(pieces).alias(_SALT))
-    return match_join(left, right, [*keys, _SALT], how).drop(_SALT)
+    return match_join(big, small, keys, how)

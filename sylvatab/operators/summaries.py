@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.operators.skew import hottest, quoted, skew_join
+from sylvatab.operators.skew import quoted, skew_join
 
 
 def column_run(df: DataFrame, first: str, last: str) -> list[str]:
@@ -34,11 +34,11 @@ def mark_repeated(df: DataFrame, column: str, mark: str = "repeated") -> DataFra
     """Add a boolean: does the row's value occur more than once.
 
     Counting then joining, rather than a window: a window would bring the whole
-    of a hot group into one task. The counts also tell which values are hot.
+    of a hot group into one task.
     """
     counts = df.groupBy(*quoted([column])).agg(F.count(F.lit(1)).alias("__rows"))
     more = counts.filter(F.col("__rows") > 1).select(*quoted([column]), F.lit(True).alias(mark))
-    joined = skew_join(df, more, [column], "left", hot=hottest(counts, [column]))
+    joined = skew_join(df, more, [column], "left")
     return joined.withColumn(mark, F.coalesce(mark, F.lit(False)))
 
 
@@ -102,11 +102,11 @@ def _count(test: Column) -> Column:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Counts in ``bins`` equal-width bins from the smallest to the largest value.
 
-    The last bin includes its upper edge; null and NaN are left out; empty bins
-    give no row. The edges are scalar subqueries, so nothing comes to the driver.
+    The last bin includes its upper edge; null, NaN and infinite values are left
+    out (:func:`column_ranges` counts them); empty bins give no row. The edges are
+    scalar subqueries, so nothing comes to the driver.
     """
-    x = F.col(f"`{column}`").cast("double")
-    values = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    values = _finite(df, column)
     lo = values.agg(F.min("x").alias("lo")).scalar()
     width = values.agg(((F.max("x") - F.min("x")) / bins).alias("width")).scalar()
     place = F.when(width == 0, 0).otherwise(F.floor((F.col("x") - lo) / F.nullif(width, F.lit(0.0))))
@@ -115,15 +115,24 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     return counts.select("bin", (lo + F.col("bin") * width).alias("lower"), "n")
 
 
+def _finite(df: DataFrame, column: str) -> DataFrame:
+    """The finite values of a column, as ``x``."""
+    x = F.col(f"`{column}`").cast("double")
+    return df.select(x.alias("x")).filter(F.abs("x") < float("inf"))
+
+
 def pretty_histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Histogram on rounded edges: the bin width is 1, 2, 5 or 10 times a power
     of ten, chosen near (largest - smallest) / ``bins``; a bin holds the values
     above its lower edge up to and including its upper edge, and the first bin
-    also holds its lower edge.
+    also holds its lower edge. Where all values are equal the width is chosen as
+    for a range of their size (of 1 for zeros). Null, NaN and infinite values are
+    left out.
     """
-    x = F.col(f"`{column}`").cast("double")
-    values = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    cell = (F.max("x") - F.min("x")) / bins
+    values = _finite(df, column)
+    span = F.max("x") - F.min("x")
+    size = F.when(F.max(F.abs("x")) > 0, F.max(F.abs("x"))).otherwise(1.0)
+    cell = F.when(span > 0, span).otherwise(size) / bins
     power = F.pow(F.lit(10.0), F.floor(F.log10(cell)))
     # The bias of the usual rounded-edges rule towards wider bins.
     bias, bias5 = 1.5, 2.75

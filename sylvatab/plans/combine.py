@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.operators.joins import keep_all_left
+from sylvatab.operators.sets import union_by_name
+from sylvatab.operators.skew import quoted, skew_join
 from sylvatab.plans.demography import (
     demography_resolved,
     demography_unresolved,
@@ -13,8 +14,8 @@ from sylvatab.plans.demography import (
     with_imputed_flags,
 )
 from sylvatab.plans.rules import RuleBook
-from sylvatab.plans.taxa import name_status, resolved_taxa, submitted_taxa, unresolved_taxa
-from sylvatab.sources.tables import write_csv, write_split, written
+from sylvatab.plans.taxa import name_status, resolved_names, resolved_taxa, submitted_taxa, unresolved_taxa
+from sylvatab.sources.tables import completeness, data_dictionary, write_csv, write_split, written
 
 # Meanings of the columns of the finished tables.
 MEANINGS = {
@@ -32,6 +33,12 @@ MEANINGS = {
     "Site_name": "Code of the site, the key of the site table",
     "Latitude": "Latitude in degrees",
     "Longitude": "Longitude in degrees",
+    "Sp_Code": "Species code as given in the source file",
+    "Submitted_Genus": "Genus as given in the source file",
+    "Submitted_Family": "Family as given in the source file",
+    "IDlevel": "How far the taxon was identified, as given in the source file",
+    "site": "Code of the site",
+    "issue": "Why the name is not resolved",
 }
 
 
@@ -49,8 +56,37 @@ def combined_means(demography: DataFrame) -> DataFrame:
 
 
 def merged(sites: DataFrame, taxa: DataFrame, means: DataFrame) -> DataFrame:
-    """Site, then taxa, then measurements; every site and every taxon stays."""
-    return keep_all_left(keep_all_left(sites, taxa), means)
+    """Site, then taxa, then measurements; every site and every taxon stays.
+
+    A taxon counts once, however often its name was submitted: a name submitted
+    k times has k measurements, not k times k. Driven by the measurements, the
+    only table with many rows; then come taxa without any, and sites without
+    taxa.
+    """
+    taxa = written(taxa.distinct(), "merged-taxa")
+    key = ["Site_name", "LCVP_Accepted_Taxon"]
+    measured = skew_join(skew_join(means, taxa, key), sites, ["Site_name"])
+    bare = skew_join(taxa, means.select(*key).distinct(), key, "left_anti")
+    empty = skew_join(sites, taxa.select("Site_name").distinct(), ["Site_name"], "left_anti")
+    out = measured.unionByName(skew_join(bare, sites, ["Site_name"]), allowMissingColumns=True)
+    out = out.unionByName(empty, allowMissingColumns=True)
+    rest = [c for c in means.columns if c not in key]
+    return out.select(*quoted(sites.columns), *quoted([c for c in taxa.columns if c != "Site_name"]), *quoted(rest))
+
+
+def dictionary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Name, meaning and number of present values of each column of the tables."""
+    parts = [
+        data_dictionary(t, MEANINGS).join(completeness(t), "variable").select(F.lit(name).alias("table_name"), "*")
+        for name, t in tables.items()
+    ]
+    return union_by_name(*parts)
+
+
+def stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables in one, each row with its table's name; columns that a table
+    lacks are null."""
+    return union_by_name(*[t.withColumn("table_name", F.lit(name)) for name, t in tables.items()])
 
 
 def full_run(
@@ -64,19 +100,21 @@ def full_run(
     """
     taxa = submitted_taxa(means, rules)
     status = written(name_status(taxa, checklist, rules), "name-status")
-    resolved, unresolved = resolved_taxa(status), unresolved_taxa(taxa, status, rules)
+    resolved, unresolved = resolved_taxa(taxa, status), unresolved_taxa(taxa, status, rules)
+    names = resolved_names(status)
     tables = {"taxa": resolved, "taxa_unresolved": unresolved}
     keys = unresolved.select("site", "Submitted_Name", "Sp_Code")
     for kind, source in (("means", means), ("medians", medians)):
         columns = measure_columns(source, rules)
-        tables[kind] = with_imputed_flags(demography_resolved(columns, resolved))
+        tables[kind] = with_imputed_flags(demography_resolved(columns, names))
         if kind == "means":
             tables[kind] = written(tables[kind], "means")
         tables[f"{kind}_unresolved"] = with_imputed_flags(demography_unresolved(columns, keys, rules))
     tables["site_table"] = combined_sites(sites)
     tables["taxa_table"] = combined_taxa(resolved)
     tables["means_table"] = combined_means(tables["means"])
-    tables["merged"] = merged(tables["site_table"], tables["taxa_table"], tables["means_table"])
+    tables["merged"] = merged(tables["site_table"], combined_taxa(names), tables["means_table"])
+    tables["dictionary"] = dictionary({name: tables[name] for name in ("site_table", "taxa_table")})
     return tables
 
 
@@ -87,5 +125,5 @@ def write_database(tables: dict[str, DataFrame], path: str) -> None:
         good = tables[kind].withColumn("outcome", F.lit("resolved"))
         bad = tables[f"{kind}_unresolved"].withColumn("outcome", F.lit("unresolved"))
         write_split(good.unionByName(bad, allowMissingColumns=True), f"{path}/{kind}")
-    for kind in ("site_table", "taxa_table", "means_table", "merged"):
+    for kind in ("site_table", "taxa_table", "means_table", "merged", "dictionary"):
         write_csv(tables[kind], f"{path}/full/{kind}")

@@ -25,7 +25,8 @@ def measure_columns(measures: DataFrame, rules: RuleBook | None = None) -> DataF
 
 def demography_resolved(measures: DataFrame, resolved: DataFrame) -> DataFrame:
     """Measurements under the accepted name; the submitted name and code go."""
-    names = resolved.select("site", "Submitted_Name", "LCVP_Accepted_Taxon")
+    # A name that is submitted several times is one key, not one for each time.
+    names = resolved.select("site", "Submitted_Name", "LCVP_Accepted_Taxon").distinct()
     joined = skew_join(measures, names, ["site", "Submitted_Name"], "inner")
     rest = [c for c in measures.columns if c not in ("site", "Submitted_Name", "Sp_Code")]
     return joined.select("LCVP_Accepted_Taxon", "site", *quoted(rest))
@@ -47,7 +48,9 @@ def demography_unresolved(
     out = skew_join(keyed, names, ["site", "Submitted_Name", "key_code"], "left_semi")
     first = ["Submitted_Name", "Sp_Code", "site"]
     rest = [c for c in measures.columns if c not in first]
-    return out.select(*first, *quoted(rest)).distinct()
+    # Dealt out by the whole row, so that the join's hot keys can be split.
+    whole = out.select(*first, *quoted(rest))
+    return whole.repartition(*quoted(whole.columns)).distinct()
 
 
 def with_imputed_flags(measures: DataFrame, exact_zero: bool = False) -> DataFrame:

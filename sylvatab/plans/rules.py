@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -37,9 +39,32 @@ class Rule(NamedTuple):
     target: str | None = None
 
 
+# Names of POSIX character classes and what Java calls them.
+POSIX_CLASSES = {
+    "alnum": "Alnum",
+    "alpha": "Alpha",
+    "blank": "Blank",
+    "cntrl": "Cntrl",
+    "digit": "Digit",
+    "graph": "Graph",
+    "lower": "Lower",
+    "print": "Print",
+    "punct": "Punct",
+    "space": "Space",
+    "upper": "Upper",
+    "xdigit": "XDigit",
+}
+
+
 def java_pattern(pattern: str) -> str:
-    """POSIX character classes in the spelling of Java."""
-    return pattern.replace("[[:punct:]]", r"\p{Punct}")
+    """POSIX character classes in the spelling of Java; an unknown one is an error."""
+
+    def spelled(found: re.Match) -> str:
+        if found[1] not in POSIX_CLASSES:
+            raise ValueError(f"unknown character class {found[0]} in {pattern!r}")
+        return f"\\p{{{POSIX_CLASSES[found[1]]}}}"
+
+    return re.sub(r"\[:(\w*):\]", spelled, pattern)
 
 
 @dataclass(frozen=True)
@@ -50,10 +75,16 @@ class RuleBook:
         return [r for r in self.rules if r.rule in kinds]
 
     def modes(self, kind: str) -> dict[str, str]:
-        return {r.site: r.value for r in self.of(kind)}
+        """The mode of each site that has one; two different ones are an error."""
+        found: dict[str, str] = {}
+        for r in self.of(kind):
+            if found.setdefault(r.site, r.value) != r.value:
+                raise ValueError(f"site {r.site!r} has two {kind} rules: {found[r.site]!r} and {r.value!r}")
+        return found
 
     def table(self, spark: SparkSession, kinds: tuple[str, ...], column: str) -> DataFrame:
-        """One row per site and value with its rule kinds and override target.
+        """One row per site and value with its rule kinds and override target; two
+        different targets for one name are an error.
 
         Made from Arrow data, so the planner knows its size: it is broadcast
         while it is below the session's broadcast threshold, and joined by a
@@ -62,6 +93,8 @@ class RuleBook:
         found: dict[tuple[str, str], tuple[set[str], str | None]] = {}
         for r in self.of(*kinds):
             have, target = found.get((r.site, r.value), (set(), None))
+            if target and r.target and target != r.target:
+                raise ValueError(f"{r.value!r} at {r.site!r} has two targets: {target!r} and {r.target!r}")
             found[r.site, r.value] = (have | {r.rule}, r.target or target)
         schema = pa.schema(
             {"site": pa.string(), column: pa.string(), "kinds": pa.list_(pa.string()), "target": pa.string()}
@@ -84,33 +117,49 @@ class RuleBook:
         joined = df.join(rules, ["site", column], "left")
         return joined.withColumn("kinds", F.coalesce("kinds", none))
 
-    def pattern_hit(self, name: Column, mismatch: Column) -> Column:
-        """Does a pattern of the row's site say the name is not to be trusted.
-
-        One literal pattern per site, so each is compiled once. A rule for
-        mismatches looks at those only.
-        """
-        hit = F.lit(False)
+    def patterns(self, spark: SparkSession) -> DataFrame:
+        """One row for each site with patterns: ``always`` and ``on_mismatch``, the
+        site's patterns of either kind joined to one, null where it has none."""
+        joined: dict[str, dict[bool, list[str]]] = defaultdict(lambda: {False: [], True: []})
         for r in self.of(PATTERN):
-            test = (F.col("site") == r.site) & name.rlike(java_pattern(r.value))
-            hit = hit | ((test & mismatch) if r.on_mismatch_only else test)
-        return F.coalesce(hit, F.lit(False))
-
-    def mode_column(self, kind: str, default: str) -> Column:
-        out = None
-        for site, mode in self.modes(kind).items():
-            test = F.col("site") == site
-            out = F.when(test, mode) if out is None else out.when(test, mode)
-        return F.lit(default) if out is None else out.otherwise(F.lit(default))
-
-
-def read_rules(table: DataFrame, most: int = 100_000) -> RuleBook:
-    """Rule book from a table with the columns of :class:`Rule`.
-
-    Rules steer the plan, so they are read on the driver; a table too long to
-    have been written by hand is refused rather than cut.
-    """
-    rows = table.select(*Rule._fields).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} curation rules")
-    return RuleBook(tuple(Rule(*r) for r in rows))
+            joined[r.site][r.on_mismatch_only].append(f"(?:{java_pattern(r.value)})")
+        rows = [
+            {"site": site, "always": "|".join(of[False]) or None, "on_mismatch": "|".join(of[True]) or None}
+            for site, of in joined.items()
+        ]
+        schema = pa.schema({"site": pa.string(), "always": pa.string(), "on_mismatch": pa.string()})
+        return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
+
+    def with_pattern_hit(self, names: DataFrame, name: str, mismatch: Column, out: str) -> DataFrame:
+        """Add ``out``: does a pattern of the row's site say the name is not to be
+        trusted. Patterns are a table joined by site, so the plan is as long for
+        one rule as for thousands. A rule for mismatches looks at those only."""
+        if not self.of(PATTERN):
+            return names.withColumn(out, F.lit(False))
+        joined = names.join(self.patterns(names.sparkSession), "site", "left")
+        text = F.col(f"`{name}`")
+        hit = F.coalesce(F.rlike(text, F.col("always")), F.lit(False)) | F.coalesce(
+            mismatch & F.rlike(text, F.col("on_mismatch")), F.lit(False)
+        )
+        return joined.withColumn(out, hit).drop("always", "on_mismatch")
+
+    def appended(self, spark: SparkSession) -> DataFrame:
+        """The rows that the rules add to the names without a match: site, Submitted_Name."""
+        rows = [{"site": r.site, "Submitted_Name": r.value} for r in self.of(APPEND)]
+        schema = pa.schema({"site": pa.string(), "Submitted_Name": pa.string()})
+        return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
+
+    def with_mode(self, df: DataFrame, kind: str, default: str, out: str) -> DataFrame:
+        """Add ``out``: the site's mode of this kind, or the default."""
+        modes = self.modes(kind)
+        if not modes:
+            return df.withColumn(out, F.lit(default))
+        table = pa.table({"site": list(modes), out: list(modes.values())})
+        joined = df.join(df.sparkSession.createDataFrame(table), "site", "left")
+        return joined.withColumn(out, F.coalesce(out, F.lit(default)))
+
+
+def read_rules(table: DataFrame) -> RuleBook:
+    """Rule book from a table with the columns of :class:`Rule`: decisions that
+    people have made about single names, as many as they have made."""
+    return RuleBook(tuple(Rule(*r) for r in table.select(*Rule._fields).collect()))

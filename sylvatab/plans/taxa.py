@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvatab.functions.text import mentions, normalise_name_case
-from sylvatab.operators.joins import natural_join
+from sylvatab.operators.joins import shared_columns
 from sylvatab.operators.resolve import (
     MATCH_COLUMNS,
     edit_limit,
@@ -161,7 +161,7 @@ def assemble_unresolved(
 ) -> DataFrame:
     """Names without a match with their submitted columns, rows without a name,
     and labelled duplicates, each row once."""
-    not_listed = natural_join(without_match.distinct(), taxa)
+    not_listed = skew_join(taxa, without_match.distinct(), shared_columns(taxa, without_match))
     not_listed = union_by_name(not_listed, missing).withColumn("issue", F.lit(k.NOT_LISTED))
     return union_by_name(not_listed, duplicates).distinct()
 
@@ -197,7 +197,7 @@ def name_status(
             F.min(F.struct(*quoted(MATCH_COLUMNS))).alias("chosen")
         )
         matched = matched.join(chosen, ["Submitted_Name", "target"], "left")
-    # The rule rejects the best match, also when its target is not offered.
+        # The rule rejects the best match, also when its target is not offered.
         ruled = F.col("target").isNotNull()
         matched = matched.withColumns(
             {
@@ -212,10 +212,9 @@ def name_status(
     matched = matched.withColumn(
         "mismatch_test", mentions(F.col("First_matched_Name"), F.col("Submitted_Name"))
     )
-    distrusted = F.array_contains("kinds", k.NAME) | rules.pattern_hit(
-        F.col("Submitted_Name"), ~F.col("mismatch_test")
-    )
-    kept = matched.withColumn("kept", F.col("First_matched_Name").isNotNull() & ~distrusted).drop("kinds")
+    matched = rules.with_pattern_hit(matched, "Submitted_Name", ~F.col("mismatch_test"), "pattern_hit")
+    distrusted = F.array_contains("kinds", k.NAME) | F.col("pattern_hit")
+    kept = matched.withColumn("kept", F.col("First_matched_Name").isNotNull() & ~distrusted).drop("kinds", "pattern_hit")
 
     # Names that are not kept have no partner; the last key spreads them out.
     part = F.when(F.col("kept"), 0).otherwise(1 + F.pmod(F.hash("Submitted_Name"), F.lit(1023)))
@@ -229,7 +228,8 @@ def name_status(
     )
     status = match_join(kept, doubles, by_accepted, "left")
     status = rules.attach(status, k.LABELS, "LCVP_Accepted_Taxon")
-    other = rules.mode_column(k.DUPLICATES, k.SYNONYM)
+    status = rules.with_mode(status, k.DUPLICATES, k.SYNONYM, "other")
+    other = F.col("other")
     label = F.when(~F.col("kept"), k.NOT_LISTED)
     label = label.when(F.col("doubled").isNull(), F.lit(None))
     for kind in k.LABELS:
@@ -246,14 +246,27 @@ def name_status(
     )
 
 
-def resolved_taxa(status: DataFrame) -> DataFrame:
-    """Resolved search results, one row per submitted row."""
+def resolved_names(status: DataFrame) -> DataFrame:
+    """Resolved search results, one row per site and name."""
     rows = status.filter(F.col("outcome") == "resolved")
-    # A name is submitted more than once only where a site keeps duplicates.
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
     return rows.select("Submitted_Name", *quoted(MATCH_COLUMNS), "mismatch_test", "site")
 
 
+def resolved_taxa(taxa: DataFrame, status: DataFrame) -> DataFrame:
+    """Resolved search results, one row per submitted row. (A name is submitted
+    more than once only where a site keeps duplicates.)"""
+    submitted = taxa.select("site", "Submitted_Name")
+    joined = skew_join(submitted, resolved_names(status), NAME_KEY, "inner")
+    return joined.select("Submitted_Name", *quoted(MATCH_COLUMNS), "mismatch_test", "site")
+
+
+def unmatched_with_added(status: DataFrame, rules: RuleBook) -> DataFrame:
+    """Names without a match at each site, and the rows that the rules add to
+    them: site, Submitted_Name."""
+    none = status.filter(F.col("First_matched_Name").isNull() & F.col("Submitted_Name").isNotNull())
+    return none.select("site", "Submitted_Name").unionByName(rules.appended(status.sparkSession))
+
+
 def unresolved_taxa(taxa: DataFrame, status: DataFrame, rules: RuleBook) -> DataFrame:
     """Unresolved rows with their issue, each once.
 

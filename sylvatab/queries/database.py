@@ -10,7 +10,9 @@ from sylvatab.plans.combine import (
     combined_sites,
     combined_taxa,
     full_run,
+    dictionary,
     merged,
+    stacked,
 )
 from sylvatab.plans.demography import (
     demography_resolved,
@@ -20,14 +22,13 @@ from sylvatab.plans.demography import (
     with_imputed_flags,
     with_interval_widths,
 )
+from sylvatab.operators.resolve import MATCH_COLUMNS
 from sylvatab.plans.profile import check_coordinates, profile
 from sylvatab.plans.second_source import second_source_demography, second_source_taxa
-from sylvatab.plans.taxa import name_status, resolved_taxa, submitted_taxa, unresolved_taxa
+from sylvatab.plans.taxa import name_status, resolved_names, resolved_taxa, submitted_taxa, unresolved_taxa
 from sylvatab.queries import standin
 from sylvatab.queries.standin import FLAG_COLUMNS, MEASURE_COLUMNS, checklist, measures, quote, table
 from sylvatab.sources.tables import (
-    completeness,
-    data_dictionary,
     read_csv,
     read_csv_set,
     read_table,
@@ -113,12 +114,12 @@ def _resolved_measures(spark, sf, rules, resolved, kind="means"):
 
 def demography_resolved_query(spark, sf):
     rules, _, status = _taxa_tables(spark, sf)
-    return _resolved_measures(spark, sf, rules, resolved_taxa(status))
+    return _resolved_measures(spark, sf, rules, resolved_names(status))
 
 
 def medians_resolved(spark, sf):
     rules, _, status = _taxa_tables(spark, sf)
-    return _resolved_measures(spark, sf, rules, resolved_taxa(status), "medians")
+    return _resolved_measures(spark, sf, rules, resolved_names(status), "medians")
 
 
 def demography_unresolved_query(spark, sf):
@@ -135,7 +136,8 @@ def _measured_sql(kind: str = "means") -> str:
 def _resolved_demography_sql(kind: str = "means") -> str:
     return f"""{standin.resolved_sql()}, {_measured_sql(kind)},
     demography AS (SELECT r."LCVP_Accepted_Taxon", m.site, {MEASURES_SQL}, {_flags_sql()}
-      FROM measured m JOIN resolved r ON r.site = m.site AND r.Submitted_Name = m.Submitted_Name)"""
+      FROM measured m JOIN (SELECT DISTINCT site, Submitted_Name, "LCVP_Accepted_Taxon" FROM resolved) r
+        ON r.site = m.site AND r.Submitted_Name = m.Submitted_Name)"""
 
 
 DEMOGRAPHY_UNRESOLVED_SQL = f"""WITH {standin.unresolved_sql()}, {_measured_sql()}
@@ -160,7 +162,7 @@ def _second_source(spark, sf):
 
 
 def second_source_taxa_query(spark, sf):
-    resolved, review = second_source_taxa(_second_source(spark, sf), checklist(spark, sf), 2)
+    resolved, review = second_source_taxa(_second_source(spark, sf), checklist(spark, sf), 5)
     out = resolved.unionByName(review, allowMissingColumns=True)
     return out.select(
         "Submitted_Name", "Genus_author", "Species_author", "First_matched_Name", "LCVP_Accepted_Taxon", "search",
@@ -170,7 +172,7 @@ def second_source_taxa_query(spark, sf):
 
 def second_source_demography_query(spark, sf):
     source = _second_source(spark, sf)
-    resolved, _ = second_source_taxa(source, checklist(spark, sf), 2)
+    resolved, _ = second_source_taxa(source, checklist(spark, sf), 5)
     return second_source_demography(source, resolved, "BCI")
 
 
@@ -180,7 +182,7 @@ def _second_sql() -> str:
       FROM ({standin.source_sql()}) x),
     names AS (SELECT DISTINCT g AS "Genus_author", s AS "Species_author",
       concat(COALESCE(g, 'NA'), ' ', COALESCE(s, 'NA')) AS Submitted_Name FROM src),
-    {standin.candidates_sql("names", limit="2")},
+    {standin.candidates_sql("names", limit="5")},
     best AS (SELECT * FROM candidates WHERE distance = 0 QUALIFY row_number() OVER (PARTITION BY Submitted_Name
       ORDER BY CASE WHEN "Status" = 'accepted' THEN 0 ELSE 1 END, "First_matched_Name") = 1),
     identical AS (SELECT * FROM best WHERE "PL.comparison" = 'identical'),
@@ -241,33 +243,31 @@ _SITES_SQL = """sites AS (SELECT p_brand AS "Site_name", min(p_retailprice) AS "
 
 def combine_sites(spark, sf):
     """The three combined tables stacked, each row with its table."""
-    rules, _, status = _taxa_tables(spark, sf)
-    resolved = resolved_taxa(status)
-    means = _resolved_measures(spark, sf, rules, resolved)
+    rules, taxa, status = _taxa_tables(spark, sf)
+    means = _resolved_measures(spark, sf, rules, resolved_names(status))
     tables = {
         "site": combined_sites(_sites(spark, sf)),
-        "taxa": combined_taxa(resolved),
-        "means": combined_means(means).select("Site_name", "LCVP_Accepted_Taxon", "growth_layer_1_obs", "max_tax"),
+        "taxa": combined_taxa(resolved_taxa(taxa, status)),
+        "means": combined_means(means),
     }
-    marked = [t.withColumn("table_name", F.lit(n)) for n, t in tables.items()]
-    return marked[0].unionByName(marked[1], allowMissingColumns=True).unionByName(marked[2], allowMissingColumns=True)
+    return stacked(tables)
 
 
 COMBINE_SQL = f"""WITH {_resolved_demography_sql()}, {_SITES_SQL}
   SELECT *, 'site' AS table_name FROM sites
   UNION ALL BY NAME SELECT * EXCLUDE (site), site AS "Site_name", 'taxa' AS table_name FROM resolved
-  UNION ALL BY NAME SELECT site AS "Site_name", "LCVP_Accepted_Taxon", growth_layer_1_obs, max_tax,
-    'means' AS table_name FROM demography"""
+  UNION ALL BY NAME SELECT * EXCLUDE (site), site AS "Site_name", 'means' AS table_name FROM demography"""
 
 
 def merged_database(spark, sf):
     rules, _, status = _taxa_tables(spark, sf)
-    resolved = resolved_taxa(status)
-    means = written(combined_means(_resolved_measures(spark, sf, rules, resolved)), "means")
-    return merged(combined_sites(_sites(spark, sf)), combined_taxa(resolved), means)
+    names = resolved_names(status)
+    means = written(combined_means(_resolved_measures(spark, sf, rules, names)), "means")
+    return merged(combined_sites(_sites(spark, sf)), combined_taxa(names), means)
 
 
 def full_run_query(spark, sf):
+    """Every table of the full run, stacked."""
     tables = full_run(
         measures(spark, sf),
         measures(spark, sf, "medians"),
@@ -275,38 +275,80 @@ def full_run_query(spark, sf):
         checklist(spark, sf),
         standin.rule_book(),
     )
-    return tables["merged"]
+    return stacked(tables)
 
 
-MERGED_SQL = f"""WITH {_resolved_demography_sql()}, {_SITES_SQL}
-  SELECT s.*, r.* EXCLUDE (site), d.* EXCLUDE (site, "LCVP_Accepted_Taxon") FROM sites s
-  LEFT JOIN resolved r ON r.site = s."Site_name"
+_MERGED_SQL = """SELECT s.*, r.* EXCLUDE (site), d.* EXCLUDE (site, "LCVP_Accepted_Taxon") FROM sites s
+  LEFT JOIN (SELECT DISTINCT * FROM resolved) r ON r.site = s."Site_name"
   LEFT JOIN demography d ON d.site = s."Site_name"
     AND d."LCVP_Accepted_Taxon" IS NOT DISTINCT FROM r."LCVP_Accepted_Taxon" """
 
+MERGED_SQL = f"WITH {_resolved_demography_sql()}, {_SITES_SQL} {_MERGED_SQL}"
+
 
 def data_dictionary_query(spark, sf):
-    """Dictionary of the site and submitted-taxa tables, with the number of
+    """Dictionary of the site table and the resolved taxa, with the number of
     values present in each column."""
-    part = submitted_taxa(standin.source_rows(spark, sf))
-    sites = combined_sites(_sites(spark, sf))
-    out = None
-    for t in (part, sites):
-        rows = data_dictionary(t, MEANINGS).join(completeness(t), "variable")
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
-def _dictionary_sql() -> str:
-    parts = []
-    for c in ("Submitted_Name", "Sp_Code", "Submitted_Genus", "Submitted_Family", "IDlevel", "site"):
-        meaning = f"'{MEANINGS[c]}'" if c in MEANINGS else "NULL"
-        parts.append(f"SELECT '{c}' AS variable, {meaning} AS meaning, count({c}) AS n_present FROM t")
-    for c in ("Site_name", "Latitude", "Longitude"):
-        parts.append(f"SELECT '{c}', '{MEANINGS[c]}', count(\"{c}\") FROM sites")
-    columns = ", ".join(f"{e} AS {c}" for c, e in standin._SOURCE_COLUMNS.items())
-    return f"""WITH {_SITES_SQL}, t AS (SELECT latin AS Submitted_Name, sp AS Sp_Code, genus AS Submitted_Genus,
-      family AS Submitted_Family, "IDlevel", site FROM (SELECT {columns} FROM part) s) """ + " UNION ALL ".join(parts)
+    _, taxa, status = _taxa_tables(spark, sf)
+    return dictionary(
+        {"site_table": combined_sites(_sites(spark, sf)), "taxa_table": combined_taxa(resolved_taxa(taxa, status))}
+    )
+
+
+_TAXA_VARIABLES = ("Submitted_Name", *MATCH_COLUMNS, "mismatch_test", "Site_name")
+
+
+def _dictionary_rows_sql() -> str:
+    parts = [
+        f"""SELECT 'site_table' AS table_name, '{c}' AS variable, '{MEANINGS[c]}' AS meaning,
+          count("{c}") AS n_present FROM sites"""
+        for c in ("Site_name", "Latitude", "Longitude")
+    ]
+    for c in _TAXA_VARIABLES:
+        column = "site" if c == "Site_name" else c
+        parts.append(f"""SELECT 'taxa_table', '{c}', '{MEANINGS[c]}', count("{column}") FROM resolved""")
+    return " UNION ALL ".join(parts)
+
+
+DICTIONARY_SQL = f"WITH {standin.resolved_sql()}, {_SITES_SQL} {_dictionary_rows_sql()}"
+
+
+def _stack_sql(name: str, select: str) -> str:
+    return f"SELECT *, '{name}' AS table_name FROM ({select}) x"
+
+
+def _full_run_sql() -> str:
+    """All tables by brute force: those of the means, the medians, both kinds of
+    unresolved rows, the combined tables, the merged one and the dictionary."""
+    both = []
+    for kind in ("means", "medians"):
+        both.append(f"""m_{kind} AS (SELECT {standin.case_sql("latin")} AS Submitted_Name, sp AS Sp_Code, site,
+            {MEASURES_SQL}, {_flags_sql()} FROM ({standin.source_sql(kind)}) s),
+          {kind}_good AS (SELECT r."LCVP_Accepted_Taxon", m.* EXCLUDE (Submitted_Name, Sp_Code) FROM m_{kind} m
+            JOIN (SELECT DISTINCT site, Submitted_Name, "LCVP_Accepted_Taxon" FROM resolved) r
+              ON r.site = m.site AND r.Submitted_Name = m.Submitted_Name),
+          {kind}_bad AS (SELECT DISTINCT m.* FROM m_{kind} m WHERE EXISTS (SELECT 1 FROM unresolved u
+            WHERE u.site = m.site AND u.Submitted_Name IS NOT DISTINCT FROM m.Submitted_Name
+            AND (u.site NOT IN (SELECT site FROM rejoined) OR u.Sp_Code = m.Sp_Code)))""")
+    tables = {
+        "taxa": "SELECT * FROM resolved",
+        "taxa_unresolved": "SELECT * FROM unresolved",
+        "means": "SELECT * FROM means_good",
+        "means_unresolved": "SELECT * FROM means_bad",
+        "medians": "SELECT * FROM medians_good",
+        "medians_unresolved": "SELECT * FROM medians_bad",
+        "site_table": "SELECT * FROM sites",
+        "taxa_table": 'SELECT * EXCLUDE (site), site AS "Site_name" FROM resolved',
+        "means_table": 'SELECT * EXCLUDE (site), site AS "Site_name" FROM means_good',
+        "merged": _MERGED_SQL.replace("LEFT JOIN demography", "LEFT JOIN means_good"),
+    }
+    parts = [_stack_sql(name, select) for name, select in tables.items()]
+    # The dictionary names its own tables; in the stack it is one table itself.
+    parts.append(_stack_sql("dictionary", f"SELECT * EXCLUDE (table_name) FROM ({_dictionary_rows_sql()}) y"))
+    return f"WITH {standin.unresolved_sql()}, {', '.join(both)}, {_SITES_SQL} " + " UNION ALL BY NAME ".join(parts)
+
+
+FULL_RUN_SQL = _full_run_sql()
 
 
 def text_table_scan(spark, sf):
@@ -378,8 +420,8 @@ QUERIES = {
     "profile_measures": (profile_measures, PROFILE_SQL),
     "combine_sites": (combine_sites, COMBINE_SQL),
     "merged_database": (merged_database, MERGED_SQL),
-    "full_run": (full_run_query, MERGED_SQL),
-    "data_dictionary": (data_dictionary_query, _dictionary_sql()),
+    "full_run": (full_run_query, FULL_RUN_SQL),
+    "data_dictionary": (data_dictionary_query, DICTIONARY_SQL),
     "text_table_scan": (text_table_scan, TEXT_TABLE_SQL),
     "csv_round_trip": (csv_round_trip, CSV_SQL),
     "multi_file_scan": (multi_file_scan, MULTI_FILE_SQL),

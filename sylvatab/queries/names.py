@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sylvatab.operators.resolve import fuzzy_candidates, keep_resolved, resolve_names
-from sylvatab.operators.sets import append_rows, union_by_name
+from sylvatab.operators.sets import union_by_name
 from sylvatab.operators.skew import skew_join
 from sylvatab.plans import rules as k
 from sylvatab.plans.taxa import (
@@ -25,6 +25,7 @@ from sylvatab.plans.taxa import (
     triage_duplicates,
     unmatched_by_code,
     unmatched_by_name,
+    unmatched_with_added,
     unresolved_taxa,
 )
 from sylvatab.queries import standin
@@ -237,13 +238,13 @@ NO_MATCH_CODE_SQL = f"""WITH {_MATCHED_SQL} SELECT * FROM present WHERE Sp_Code
 
 
 def no_match_with_added(spark, sf):
-    """Names without a match, plus the rows a person added."""
-    added = [{"Submitted_Name": "Unidentified ."}] * 10 + [{"Submitted_Name": "Trichoscypha sp."}]
-    return append_rows(unmatched_by_name(*_matches(spark, sf)), added)
+    """Names without a match at each site, plus the rows that the rules add."""
+    return unmatched_with_added(_status(spark, sf)[1], standin.rule_book())
 
 
-NO_MATCH_ADDED_SQL = f"""{NO_MATCH_NAME_SQL} UNION ALL SELECT 'Unidentified .' FROM range(10)
-  UNION ALL SELECT 'Trichoscypha sp.'"""
+NO_MATCH_ADDED_SQL = f"""WITH {standin.status_sql()}
+  SELECT site, Submitted_Name FROM status WHERE "First_matched_Name" IS NULL AND Submitted_Name IS NOT NULL
+  UNION ALL SELECT site, val FROM rules WHERE rule = 'append'"""
 
 _DOUBLES = [f"{g} boltbbbb Auth." for g in standin.GENERA]
 _SYNONYMS = [f"{g} gearbbbb Auth." for g in standin.GENERA]
@@ -299,7 +300,7 @@ def name_status_query(spark, sf):
 
 
 def taxa_resolved(spark, sf):
-    return resolved_taxa(_status(spark, sf)[1])
+    return resolved_taxa(*_status(spark, sf))
 
 
 def taxa_unresolved(spark, sf):

@@ -163,6 +163,7 @@ def rule_book() -> RuleBook:
         for g in GENERA
         for kind, w in ((k.DOUBLE_COUNT, "bolt"), (k.SYNONYM, "gear"))
     ]
+    rules += [Rule("Brand#22", k.APPEND, "Unidentified .")] * 10 + [Rule("Brand#23", k.APPEND, "Trichoscypha sp.")]
     rules += [Rule("Brand#13", k.DUPLICATES, "double count")]
     rules += [Rule(f"Brand#{i}", k.DUPLICATES, "keep") for i in (22, 23)]
     rules += [Rule(f"Brand#{i}", k.CODES, "rejoin") for i in (22, 24)]

@@ -86,9 +86,6 @@ if __name__ == "__main__":
     wanted = sys.argv[2:] or list(queries())
     spark, con = session(), engine(sf_dir)
     if os.environ.get("CLUSTER_LIKE"):
-        from sylvatab.operators import skew
-
-        skew.PIECE_ROWS = 20
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     bad = 0

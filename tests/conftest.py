@@ -26,8 +26,19 @@ def sql():
 
 
 @pytest.fixture
-def hot(monkeypatch):
-    """Cut every key with more than two rows into pieces, and broadcast nothing by size."""
-    from sylvatab.operators import skew
-
-    monkeypatch.setattr(skew, "PIECE_ROWS", 2)
+def hot(spark):
+    """Broadcast nothing by size, and take small partitions for large and skewed."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500b",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -126,7 +126,7 @@ def test_rules_hold_what_the_sites_need():
     assert len(YASUNI_NAMES.strip().splitlines()) == 66
     assert len(PATTERNS) == 9 and len(book.of(k.APPEND)) == 12
     assert book.modes(k.CASE)["pasoh"] == "lower_genus"
-    assert java_pattern("sp[[:punct:]]") == r"sp\p{Punct}"
+    assert java_pattern("sp[[:punct:]]") == r"sp[\p{Punct}]"
 
 
 def test_rule_table_round_trip(spark):
@@ -135,8 +135,40 @@ def test_rule_table_round_trip(spark):
         "site string, rule string, value string, on_mismatch_only boolean, target string",
     )
     assert sorted(map(repr, read_rules(table).rules)) == sorted(map(repr, site_rules().rules))
+
+
+def test_contradicting_rules_are_refused(spark):
+    with pytest.raises(ValueError):
+        RuleBook((Rule("a", k.CASE, "genus"), Rule("a", k.CASE, "lower_genus"))).modes(k.CASE)
+    two = RuleBook((Rule("a", k.OVERRIDE, "x", target="p"), Rule("a", k.OVERRIDE, "x", target="q")))
+    with pytest.raises(ValueError):
+        two.table(spark, (k.OVERRIDE,), "Submitted_Name")
+
+
+def test_posix_classes(spark):
+    assert java_pattern("sp[[:digit:][:space:]]") == r"sp[\p{Digit}\p{Space}]"
+    hits = spark.createDataFrame([("abc sp1",), ("abc sp:",), ("abc spd",)], "n string")
+    assert [r.n for r in hits.filter(hits.n.rlike(java_pattern("sp[[:digit:]]"))).collect()] == ["abc sp1"]
     with pytest.raises(ValueError):
-        read_rules(table, most=3)
+        java_pattern("[[:vowel:]]")
+
+
+def test_thousands_of_pattern_rules(spark):
+    book = RuleBook(tuple(Rule("a", k.PATTERN, f"sp{i}$", i % 2 == 1) for i in range(5000)))
+    names = spark.createDataFrame(
+        [("a", "x sp10", True), ("a", "x sp11", True), ("a", "x sp11", False), ("b", "x sp10", False), ("a", None, None)],
+        "site string, n string, found boolean",
+    )
+    out = book.with_pattern_hit(names, "n", ~F.col("found"), "hit")
+    assert [r.hit for r in out.orderBy("site", F.col("n").desc_nulls_last(), "found").collect()] == [
+        True, False, True, False, False,
+    ]
+
+
+def test_a_name_with_very_many_rows(spark, done):
+    taxa, status = done
+    many = status.withColumn("n_rows", F.lit(3_000_000_000))
+    assert resolved_taxa(taxa, many).count() == resolved_taxa(taxa, status).count()
 
 
 def test_each_name_ends_where_it_should(done):
@@ -152,7 +184,7 @@ def test_every_submitted_row_is_counted_once(done):
 
 
 def test_override_and_typing_error(done):
-    found = {(r["site"], r["Submitted_Name"]): r for r in resolved_taxa(done[1]).collect()}
+    found = {(r["site"], r["Submitted_Name"]): r for r in resolved_taxa(*done).collect()}
     assert found["lambir", "Cinnamomum tahyanum"]["First_matched_Name"] == "Cinnamomum tahijanum Kosterm."
     typo = found["korup", "Ficus variegataa"]
     assert typo["LCVP_Accepted_Taxon"] == "Ficus variegata Blume" and typo["mismatch_test"] is False
@@ -166,7 +198,7 @@ def test_override_without_its_candidate_is_no_match(spark, means, checklist):
 
 
 def test_kept_duplicates_come_once_per_submitted_row(done):
-    kept = resolved_taxa(done[1]).filter("site = 'hkk'")
+    kept = resolved_taxa(*done).filter("site = 'hkk'")
     assert [r["Submitted_Name"] for r in kept.collect()] == ["Ficus racemosa"] * 2
 
 
@@ -194,10 +226,10 @@ def test_code_rejoined_where_the_rules_say_so(spark, means, checklist):
 def test_demography_follows_the_names(done, means):
     taxa, status = done
     columns = measure_columns(means, site_rules())
-    good = demography_resolved(columns, resolved_taxa(status))
+    good = demography_resolved(columns, resolved_taxa(taxa, status))
     assert good.columns[:2] == ["LCVP_Accepted_Taxon", "site"] and "Sp_Code" not in good.columns
-    # Two kept rows of one name meet two measurement rows of that name.
-    assert good.filter("site = 'hkk'").count() == 4
+    # Two kept rows of one name have two measurement rows, one each.
+    assert good.filter("site = 'hkk'").count() == 2
     assert good.filter("site = 'luquillo'").count() == 1
     bad = demography_unresolved(columns, unresolved_taxa(taxa, status, site_rules()), site_rules())
     codes = {(r["site"], r["Sp_Code"]) for r in bad.collect()}

@@ -1,9 +1,10 @@
+import re
+
 import pytest
 
-from sylvatab.operators import skew
 from sylvatab.operators.joins import join_keep_right, members_of, natural_join, non_members_of
 from sylvatab.operators.sets import append_rows, set_difference, union_by_name
-from sylvatab.operators.skew import hot_keys, match_join, skew_join
+from sylvatab.operators.skew import skew_join
 from sylvatab.operators.summaries import (
     column_ranges,
     column_run,
@@ -57,29 +58,29 @@ def test_natural_join_matches_missing_keys(tables, hot, how, balanced):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_cutting_hot_keys_changes_no_result(tables, hot, how):
+def test_hot_keys_change_no_result(tables, hot, how):
     left, right = tables
-    assert hot_keys(left, ["k", "g"]).collect()[0][:2] == (7, "hot")
     got = skew_join(left, right, ["k", "g"], how)
-    assert rows(got) == expected(how.removeprefix("left_")) == rows(match_join(left, right, ["k", "g"], how))
+    assert rows(got) == expected(how.removeprefix("left_"))
 
 
-def test_hot_key_is_spread_and_small_side_repeated(spark, tables, monkeypatch):
-    monkeypatch.setattr(skew, "PIECE_ROWS", 10)
-    left, _ = tables
-    found = hot_keys(left, ["k", "g"]).collect()
-    assert [tuple(r) for r in found] == [(7, "hot", 3)]
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    try:
-        assert hot_keys(left, ["k", "g"]).collect()[0][2] == 2  # never more pieces than partitions
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def test_copies_of_one_row_are_spread_too(spark, hot):
-    copies = spark.range(0, 400, 1, 8).selectExpr("1 AS k", "'same' AS v")
-    small = spark.createDataFrame([(1, "x")], "k int, w string")
-    assert skew_join(copies, small, ["k"]).count() == 400
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_a_hot_key_is_split(spark, hot, how):
+    big = spark.range(0, 4000, 1, 8).selectExpr("IF(id % 10 < 9, 1, id) AS k", "id AS v")
+    joined = skew_join(big, spark.range(0, 4000, 1, 8).selectExpr("id AS k"), ["k"], how)
+    assert joined.count() == 4000
+    joined.collect()
+    assert "skewed" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_join_reads_only_the_columns_it_needs(spark):
+    def read(name):
+        return spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+
+    line = read("lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    two = skew_join(line, read("part"), ["p_partkey"]).select("l_quantity", "p_size")
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", two._jdf.queryExecution().executedPlan().toString())
+    assert sorted(len(x.split(",")) for x in schemas) == [2, 2]
 
 
 def test_no_shared_column_is_an_error(spark):
