@@ -352,10 +352,13 @@ FULL_RUN_SQL = _full_run_sql()
 
 
 def text_table_scan(spark, sf):
-    """The source table written as whitespace-delimited text and read back."""
+    """The source table written as whitespace-delimited text, in two orders of
+    the columns, and read back."""
     rows = measures(spark, sf)
     path = scratch_path(spark, "text-table")
-    rows.write.csv(path, sep=" ", header=True, nullValue="NA")
+    first = F.col("site") < "Brand#3"
+    for part, columns in ((rows.filter(first), rows.columns), (rows.filter(~first), rows.columns[::-1])):
+        part.select(*[f"`{c}`" for c in columns]).write.mode("append").csv(path, sep=" ", header=True, nullValue="NA")
     return read_table(spark, path, rows.schema)
 
 
@@ -365,21 +368,24 @@ TEXT_TABLE_SQL = f"SELECT * REPLACE (NULLIF(latin, 'NA') AS latin) FROM ({standi
 
 def csv_round_trip(spark, sf):
     rows = submitted_taxa(standin.source_rows(spark, sf), standin.rule_book())
+    rows = rows.withColumn("IDlevel", F.concat(F.lit('"'), "IDlevel", F.lit('", \\')))
     path = scratch_path(spark, "csv")
     write_csv(rows, path)
     return read_csv(spark, path, rows.schema)
 
 
-CSV_SQL = f"WITH {standin.taxa_sql()} SELECT * REPLACE (NULLIF(Submitted_Name, 'NA') AS Submitted_Name) FROM taxa"
+CSV_SQL = f"""WITH {standin.taxa_sql()} SELECT * REPLACE (NULLIF(Submitted_Name, 'NA') AS Submitted_Name,
+  '"' || "IDlevel" || '", ' || chr(92) AS "IDlevel") FROM taxa"""
 
 
 def multi_file_scan(spark, sf):
-    """Four tables in one folder, two of them wanted, one without a column."""
+    """Four tables in one folder, two of them wanted, one without a column and
+    one with a column that the schema does not name."""
     rows = submitted_taxa(standin.source_rows(spark, sf)).fillna("none", ["Submitted_Name"])
     folder = scratch_path(spark, "tables")
     low = F.col("Submitted_Family").isin("ECONOMY", "PROMO", "SMALL")
     write_csv(rows.filter(low), f"{folder}/a_taxa.csv")
-    write_csv(rows.filter(~low).drop("IDlevel"), f"{folder}/b_taxa.csv")
+    write_csv(rows.filter(~low).drop("IDlevel").withColumn("remark", F.lit("b")), f"{folder}/b_taxa.csv")
     write_csv(rows.filter(low), f"{folder}/a_taxa_unresvd.csv")
     write_csv(rows, f"{folder}/a_means.csv")
     return read_csv_set(spark, folder, "taxa", r"unresvd\.csv", rows.schema)
@@ -387,7 +393,8 @@ def multi_file_scan(spark, sf):
 
 MULTI_FILE_SQL = f"""SELECT NULLIF(COALESCE(latin, 'none'), 'NA') AS Submitted_Name, sp AS Sp_Code,
   genus AS Submitted_Genus, family AS Submitted_Family,
-  CASE WHEN family IN ('ECONOMY', 'PROMO', 'SMALL') THEN "IDlevel" END AS "IDlevel", site
+  CASE WHEN family IN ('ECONOMY', 'PROMO', 'SMALL') THEN "IDlevel" END AS "IDlevel", site,
+  CASE WHEN NOT COALESCE(family IN ('ECONOMY', 'PROMO', 'SMALL'), FALSE) THEN 'b' END AS remark
   FROM (SELECT {", ".join(f"{e} AS {c}" for c, e in standin._SOURCE_COLUMNS.items())} FROM part) s"""
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,31 +52,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Whitespace-delimited text with a header line and optional double quotes.
 
-    Columns are found by the header, in any order; ``NA`` is missing. Every
-    file of the path carries the same header line.
+    Columns are found by the header of the file a line stands in, in any order,
+    so files may differ in it; a header is a line that names every column of the
+    schema. ``NA`` is missing. A value that is not of its column's type is an
+    error, and so is a file without a header.
     """
     tokens = F.transform(
         F.regexp_extract_all("value", F.lit(r'"[^"]*"|\S+'), F.lit(0)),
         lambda t: F.regexp_replace(t, '^"|"$', ""),
     )
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    first = lines.select("value", tokens.alias("header")).first()
-    place = {name: i for i, name in enumerate(first["header"])}
-    absent = [c for c in schema.fieldNames() if c not in place]
-    if absent:
-        raise ValueError(f"columns missing from the header: {absent}")
-    # Compared as a line: a test on the tokens would split every line twice.
-    rows = lines.filter(F.col("value") != first["value"]).select(tokens.alias("t"))
-    return rows.select(
-        *[
-            F.nullif(F.get("t", F.lit(place[f.name])), F.lit(MISSING)).try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), tokens.alias("t"))
+    lines = lines.filter(F.size("t") > 0)
+    names = F.array(*[F.lit(c) for c in schema.fieldNames()])
+    is_header = F.size(F.array_except(names, "t")) == 0
+    headers = lines.filter(is_header).groupBy("file").agg(F.first("t").alias("header"))
+    rows = lines.filter(~is_header).join(headers, "file", "left")
+
+    values = F.transform(names, lambda c: F.get("t", F.array_position(F.col("header"), c).cast("int") - 1))
+    # As a generator's row: a filter on the values is not moved below it, where
+    # it would find them anew for each column.
+    texts = rows.select("file", "header", F.explode(F.array(values)).alias("values"))
+
+    def text(i: int) -> Column:
+        return F.nullif(F.get("values", F.lit(i)), F.lit(MISSING))
 
+    def fault(i: int, field: T.StructField) -> Column:
+        message = F.concat(F.lit(f"{field.name}: "), text(i), F.lit(f" is no {field.dataType.simpleString()}"))
+        return F.when(text(i).isNotNull() & text(i).try_cast(field.dataType).isNull(), message)
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema, nullValue=MISSING)
+    no_header = F.when(F.col("header").isNull(), F.concat(F.lit("columns missing from the header of "), "file"))
+    fields = list(enumerate(schema))
+    faults = F.concat_ws("; ", no_header, *[fault(i, f) for i, f in fields if f.dataType != T.StringType()])
+    sound = texts.filter(F.when(faults == "", True).otherwise(F.raise_error(faults).cast("boolean")))
+    return sound.select(*[text(i).try_cast(f.dataType).alias(f.name) for i, f in fields])
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, lines_in_fields: bool = False) -> DataFrame:
+    """CSV with a header; a quote inside a quoted field is doubled. Fields that
+    hold line ends need ``lines_in_fields``, which reads each file in one task."""
+    return spark.read.csv(path, header=True, schema=schema, nullValue=MISSING, escape='"', multiLine=lines_in_fields)
 
 
 def read_csv_set(
@@ -84,27 +99,37 @@ def read_csv_set(
     """All tables of a directory whose name matches ``include`` and not
     ``exclude``, stacked by column name.
 
-    ``schema`` types the columns; a table may lack some of them. A table is a
-    file or a folder of part files.
+    ``schema`` types the columns; a table may lack some of them, and columns it
+    does not name are kept as text. A table is a file or a folder of part files;
+    each file is read by its own header. The headers of all files are found in
+    one job, and files of one header are read together.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
     folder = re.escape(directory.rstrip("/").split("/")[-1])
-    below = F.regexp_extract("path", f"/{folder}/([^/]+)", 1)
-    entries = files.select(below.alias("name")).filter(F.col("name").rlike(include))
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(directory)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            "value",
+            F.monotonically_increasing_id().alias("at"),
+        )
+    )
+    name = F.regexp_extract("file", f"/{folder}/([^/]+)", 1)
+    firsts = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    wanted = firsts.filter(name.rlike(include))
     if exclude is not None:
-        entries = entries.filter(~F.col("name").rlike(exclude))
-    # One name per table: as long as the directory listing, not as the data.
-    names = sorted(r["name"] for r in entries.distinct().collect())
-    if not names:
+        wanted = wanted.filter(~name.rlike(exclude))
+    # One row for each file: as long as the directory listing, not as the data.
+    by_columns: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(wanted.collect()):
+        columns = next(csv.reader([row["header"]]))
+        by_columns.setdefault(tuple(columns), []).append(row["file"])
+    if not by_columns:
         raise FileNotFoundError(f"no table in {directory} matches {include!r}")
     types = {f.name: f for f in schema}
-    by_columns: dict[tuple, list[str]] = {}
-    for name in names:
-        path = f"{directory.rstrip('/')}/{name}"
-        columns = tuple(spark.read.csv(path, header=True).columns)
-        by_columns.setdefault(columns, []).append(path)
     tables = [
-        read_csv(spark, paths, T.StructType([types[c] for c in columns]))
+        read_csv(spark, paths, T.StructType([types.get(c, T.StructField(c, T.StringType())) for c in columns]))
         for columns, paths in by_columns.items()
     ]
     return union_by_name(*tables)
@@ -125,7 +150,7 @@ def write_csv(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     writer = df.write.mode("overwrite")
     if by:
         writer = writer.partitionBy(*by)
-    writer.csv(path, header=True, nullValue=MISSING)
+    writer.csv(path, header=True, nullValue=MISSING, escape='"')
 
 
 def write_split(df: DataFrame, path: str, outcome: str = "outcome", site: str = "site") -> None:
