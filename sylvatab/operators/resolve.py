@@ -7,13 +7,16 @@ two strings are within k edits and one of them is cut into k + 1 pieces, at
 least one piece survives unchanged in the other, at a position that can have
 moved only a few places (the pigeonhole partition scheme of published
 string-similarity joins). Entries emit their pieces, names emit the substrings
-that could be such a piece, and only pairs that share one are measured. No
-pair within the limit is missed, and nothing is cut off.
+that could be such a piece, and only pairs that share one and whose letters
+differ by no more than the edits can change are measured. No pair within the
+limit is missed, and nothing is cut off.
 """
 
 from __future__ import annotations
 
+import string
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,10 +164,16 @@ def close_pairs(
     payload = [c for c in (*names.columns, *entries.columns) if c != "key"]
     left = _pieces(names, max_distance, match_genus, of_names=True)
     right = _pieces(entries, max_distance, match_genus, of_names=False)
-    right = right.withColumnsRenamed({"key": "entry_key", "body": "entry_body"})
+    right = right.withColumnsRenamed({"key": "entry_key", "body": "entry_body", "letters": "entry_letters"})
     # Distances are measured on the part after a shared genus (with its space, so
     # that a one-word name counts it): a common start does not change the edits.
-    pairs = left.join(right, ["genus", "edits", "size", "place", "piece"])
+    # An edit changes two bits of the letters at most: pairs further apart are not
+    # measured, and not listed either, since this is part of the join.
+    same = ["genus", "edits", "size", "place", "piece"]
+    found = right.withColumnsRenamed({c: f"entry_{c}" for c in same})
+    apart = F.bit_count(F.col("letters").bitwiseXOR(F.col("entry_letters")))
+    shared = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"entry_{c}") for c in same])
+    pairs = left.join(found, shared & (apart <= 2 * F.col("edits")))
     pairs = pairs.withColumn("distance", F.expr("levenshtein(body, entry_body, edits)"))
     return pairs.filter(F.col("distance") >= 0).select("key", "entry_key", *quoted(payload), "distance")
 
@@ -183,12 +192,24 @@ def _pieces(df: DataFrame, max_distance: float, match_genus: bool, of_names: boo
         edits, pieces = edit_limit(F.col("key"), max_distance), F.expr(_NAME_PIECES)
     else:
         edits, pieces = F.explode(_possible_limits(F.length("key"), max_distance)), F.expr(_ENTRY_PIECES)
-    df = df.select("*", genus.alias("genus"), body.alias("body"), edits.alias("edits"))
+    df = df.select("*", genus.alias("genus"), body.alias("body"), edits.alias("edits"), letters(body).alias("letters"))
     df = df.withColumn("n", F.length("body"))
     # inline gives no row for a name too short to have a piece.
     return df.select(*quoted([c for c in df.columns if c != "n"]), F.inline(pieces))
 
 
+def letters(text: Column) -> Column:
+    """A long with two bits for each of the letters a to z: it occurs, and it
+    occurs twice or more. Adding or removing a letter changes one bit at most."""
+
+    def bits(place: int, letter: str) -> Column:
+        n = F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+        one, two = 1 << (2 * place), 3 << (2 * place)
+        return F.when(n == 0, F.lit(0)).when(n == 1, F.lit(one)).otherwise(F.lit(two)).cast("long")
+
+    return reduce(lambda x, y: x.bitwiseOR(y), [bits(i, c) for i, c in enumerate(string.ascii_lowercase)])
+
+
 def _possible_limits(length: Column, max_distance: float) -> Column:
     """Limits that a name within reach of an entry of this length can have."""
     if max_distance >= 1:
