@@ -17,7 +17,10 @@ the smallest one only; what is confirmed is linked and components are formed. A
 group of near copies is then one component. Then, for keys whose classes still
 lie in several components, the classes outside the key's largest one are
 compared with those of other components: at most twice as many pairs as there
-are open ones, and none between classes that are linked already.
+are open ones, and none between classes that are linked already. Of these only
+pairs are listed whose sets can have enough in common: shingles that stand in
+one of the sets only are left out, the others counted in ``BINS`` bins, and two
+sets share in each bin at most the smaller of their numbers.
 
 Links are confirmed on full sets (of 64-bit shingle hashes): 100 * common >= 75
 * union. Words are runs without [\\x20\\x09-\\x0D], after A-Z has been lower-cased;
@@ -47,6 +50,10 @@ CHUNKS, LENGTH, ERRORS, VALUE_BITS = 10, 4, 1, 16
 VALUES = CHUNKS * LENGTH
 #: Signatures that differ in so many values are not confirmed.
 FAR = 27
+#: Bins in which the shingles of sets are counted before pairs of them are listed.
+BINS = 64
+#: Up to so many ids (8 bytes each) are broadcast to find their documents.
+BROADCAST_NODES = 500_000
 #: Word hashes a worker remembers; beyond it, it forgets all and goes on.
 REMEMBERED = 400_000
 
@@ -157,12 +164,8 @@ def not_far(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs of nodes ``a``, ``b`` whose sets are similar enough.
-
-    Sizes and signatures are compared first. The sets of the nodes that are left
-    are made again from their documents.
-    """
+def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of nodes ``a``, ``b`` whose sizes and signatures allow a link."""
 
     def of(name: str) -> DataFrame:
         return classes.select(
@@ -171,13 +174,21 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
 
     sized = pairs.join(of("a"), "a").join(of("b"), "b")
     sized = sized.filter(100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
-    near = written(not_far(sized).distinct(), "pairs")
+    return not_far(sized).distinct()
 
-    wanted = written(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "nodes")
+
+def sets_of(nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``node`` and ``shingles`` of the documents with these ids. The ids are
+    broadcast while they are few; beyond that Spark chooses the join."""
+    wanted = written(nodes.select("node").distinct(), "nodes")
     given = docs.select(F.col(f"`{key}`").alias("node"), F.col(f"`{text}`").alias("text"))
-    sets = written(_sets(given.join(wanted, "node", "left_semi")), "sets")
+    few = wanted.count() <= BROADCAST_NODES
+    return written(_sets(given.join(F.broadcast(wanted) if few else wanted, "node", "left_semi")), "sets")
+
 
-    left = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a")), "a")
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of nodes ``a``, ``b`` whose sets are similar enough."""
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b")), "b")
     common = both.select(
         "a",
@@ -188,6 +199,25 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
     return common.filter(100 * F.col("n") >= SIMILAR * (F.col("n_both") - F.col("n"))).select("a", "b")
 
 
+def shared_bins(sets: DataFrame) -> DataFrame:
+    """For each node whose set can be similar to another's: ``n``, its size, and
+    ``h0`` ..., how many of its shingles that stand in another set, too, fall in
+    each of ``BINS`` bins.
+
+    What two sets have in common is in each bin at most the smaller of their
+    numbers. A set of which fewer than ``SIMILAR`` percent stand elsewhere is
+    similar to none.
+    """
+    rows = sets.select("node", F.explode("shingles").alias("shingle"))
+    common = rows.groupBy("shingle").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    common = common.filter("least < most").select("shingle")
+    place = F.pmod(F.shiftright("shingle", 20), F.lit(BINS))
+    bins = [F.count_if(place == i).alias(f"h{i}") for i in range(BINS)]
+    counted = rows.join(common, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("u"), *bins)
+    sizes = sets.groupBy("node").agg(F.max(F.size("shingles")).alias("n"))
+    return counted.join(sizes, "node").filter(100 * F.col("u") >= SIMILAR * F.col("n")).drop("u")
+
+
 def _sets(found: DataFrame) -> DataFrame:
     """``node`` and its ``shingles``."""
 
@@ -215,25 +245,47 @@ def links(classes: DataFrame, docs: DataFrame, key: str = "doc_id", text: str =
     shared = written(shared.filter("least < most").select("key", "least"), "keys")
     placed = written(all_keys.join(shared, "key"), "shared-keys")
     stars = placed.filter("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    first = written(confirmed(stars, classes, docs, key, text), "links")
+    near = written(likely(stars, classes), "pairs")
+    ends = near.select(F.col("a").alias("node")).union(near.select("b"))
+    first = written(confirmed(near, sets_of(ends, docs, key, text)), "links")
 
     found = components(first)
     component = F.coalesce("component", "node").alias("component")
-    members = placed.select("key", "node").join(found, "node", "left").select("key", "node", component)
+    members = written(placed.select("key", "node").join(found, "node", "left").select("key", "node", component), "members")
+    sets = sets_of(_open(members), docs, key, text)
+    bins = written(shared_bins(sets), "bins")
+    live = written(_open(members.join(bins.select("node"), "node", "left_semi")), "open-nodes")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rows = df.join(bins, "node")
+        return rows.withColumnsRenamed({c: f"{c}_{name}" for c in rows.columns if c not in ("key", "largest")})
+
+    outside = side(live.filter("component <> largest").drop("largest"), "a")
+    inside = side(live, "b")
+    together = sum((F.least(f"h{i}_a", f"h{i}_b") for i in range(BINS)), F.lit(0))
+    n_both = F.col("n_a") + F.col("n_b")
+    crossing = outside.join(
+        inside,
+        (outside["key"] == inside["key"])
+        & (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b")))
+        & (100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b"))
+        & ((100 + SIMILAR) * together >= SIMILAR * n_both),
+    )
+    pairs = crossing.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
+    untested = likely(pairs.distinct().join(stars, ["a", "b"], "left_anti"), classes)
+    return first.unionByName(confirmed(untested, sets))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The rows of ``key``, ``node``, ``component`` whose key has several
+    components, with the key's ``largest`` one."""
     counts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("key").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts")
     )
-    largest = written(largest.filter("parts > 1").select("key", "largest"), "open-keys")
-    rows = written(members.join(largest, "key"), "open-nodes")
-    outside = rows.filter("component <> largest").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("in_a")
-    )
-    inside = rows.select("key", F.col("node").alias("b"), F.col("component").alias("in_b"), "largest")
-    crossing = outside.join(inside, "key").filter("in_a <> in_b and (in_b = largest or a < b)")
-    pairs = crossing.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    second = confirmed(pairs.join(stars, ["a", "b"], "left_anti"), classes, docs, key, text)
-    return first.unionByName(second)
+    # Written, so that the join that follows can be split at a hot key.
+    return members.join(written(largest.filter("parts > 1").select("key", "largest"), "open-keys"), "key")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
