@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvatab.llm.common import per_text
@@ -106,7 +106,7 @@ def classify(
     return per_text(df, make, text, keep or [c for c in df.columns if c != text], added)
 
 
-def held_out(key: str) -> F.Column:
+def held_out(key: str) -> Column:
     """Whether the row is kept from learning: CRC-32 of the key, remainder 1 of 3."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
