@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvatab.operators.summaries import column_ranges, column_run, mark_repeated
+from sylvatab.operators.summaries import column_ranges, column_run, mark_repeated, pretty_histogram
 
 
 def check_coordinates(sites: DataFrame, name: str = "Site_name") -> DataFrame:
@@ -20,10 +20,24 @@ def check_coordinates(sites: DataFrame, name: str = "Site_name") -> DataFrame:
     )
 
 
-def profile(df: DataFrame, runs: list[tuple[str, str]], single: list[str] = (), na_rm: bool = False) -> DataFrame:
+def profile(
+    df: DataFrame,
+    runs: list[tuple[str, str]],
+    single: list[str] = (),
+    na_rm: bool = False,
+    sizes: str | None = None,
+) -> DataFrame:
     """Ranges and null, NaN, infinite and zero counts for runs of columns (given
-    by first and last name) and for single columns, in one pass."""
+    by first and last name) and for single columns, in one pass.
+
+    With ``sizes`` also the histogram of that column: rows with ``lower``,
+    ``upper`` and ``n`` of each bin, the rest null.
+    """
     columns = [c for first, last in runs for c in column_run(df, first, last)]
-    return column_ranges(df, [*columns, *single], na_rm)
+    ranges = column_ranges(df, [*columns, *single], na_rm)
+    if sizes is None:
+        return ranges
+    bins = pretty_histogram(df, sizes).withColumn("variable", F.lit(sizes))
+    return ranges.unionByName(bins, allowMissingColumns=True)
 
 

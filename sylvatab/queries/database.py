@@ -212,15 +212,37 @@ SECOND_DEMOGRAPHY_SQL = f"""WITH {_second_sql()}
 
 
 def profile_measures(spark, sf):
+    """The second source, with infinite values, values that are not a number and
+    a constant column, and the histogram of the sample sizes."""
     source = _second_source(spark, sf)
-    return profile(source, [("mu1_1", "mu4_1"), ("G1_1", "G4_1")], ["F_1", "SampleSize"])
-
-
-PROFILE_SQL = f"WITH {_second_sql()}, p AS (SELECT {_SECOND_MEASURES_SQL} FROM src) " + " UNION ALL ".join(
-    f"""SELECT '{c}' AS variable, CASE WHEN count(*) = count("{c}") THEN min("{c}") END AS min,
-      CASE WHEN count(*) = count("{c}") THEN max("{c}") END AS max, count(*) - count("{c}") AS n_null,
-      0 AS n_nan, 0 AS n_inf, count(*) FILTER ("{c}" = 0) AS n_zero FROM p"""
-    for c in [f"mu{i}_1" for i in range(1, 5)] + [f"G{i}_1" for i in range(1, 5)] + ["F_1", "SampleSize"]
+    odd = F.when(F.col("SampleSize") > 40, F.lit(float("inf"))).when(F.col("SampleSize") < 5, F.lit(float("nan")))
+    source = source.withColumns({"mu1_1": odd.otherwise(F.col("mu1_1")), "mu2_1": F.lit(3.0)})
+    return profile(source, [("mu1_1", "mu4_1"), ("G1_1", "G4_1")], ["F_1", "SampleSize"], sizes="SampleSize")
+
+
+_PROFILED = [f"mu{i}_1" for i in range(1, 5)] + [f"G{i}_1" for i in range(1, 5)] + ["F_1", "SampleSize"]
+PROFILE_SQL = (
+    f"""WITH {_second_sql()}, q AS (SELECT {_SECOND_MEASURES_SQL} FROM src),
+  p AS (SELECT * REPLACE (CASE WHEN "SampleSize" > 40 THEN CAST('inf' AS DOUBLE)
+    WHEN "SampleSize" < 5 THEN CAST('nan' AS DOUBLE) ELSE mu1_1 END AS mu1_1, 3.0 AS mu2_1) FROM q),
+  e AS (SELECT min("SampleSize") AS lo, (max("SampleSize") - min("SampleSize")) / 30 AS c FROM p),
+  w1 AS (SELECT lo, c, pow(10.0, floor(log10(c))) AS u FROM e),
+  w2 AS (SELECT lo, CASE WHEN 10 * u - c < 1.5 * (c - 5 * u) THEN 10 * u WHEN 5 * u - c < 2.75 * (c - 2 * u) THEN 5 * u
+    WHEN 2 * u - c < 1.5 * (c - u) THEN 2 * u ELSE u END AS w FROM w1),
+  bins AS (SELECT CAST(greatest(ceil("SampleSize" / w - 1e-7) - 1, floor(lo / w + 1e-7)) AS BIGINT) AS bin, w
+    FROM p, w2 WHERE "SampleSize" IS NOT NULL) """
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS variable,
+      CASE WHEN count(*) = count("{c}") AND NOT bool_or(isnan("{c}")) THEN min("{c}") END AS min,
+      CASE WHEN count(*) = count("{c}") AND NOT bool_or(isnan("{c}")) THEN max("{c}") END AS max,
+      count(*) - count("{c}") AS n_null, count(*) FILTER (isnan("{c}")) AS n_nan,
+      count(*) FILTER (isinf("{c}")) AS n_inf, count(*) FILTER ("{c}" = 0) AS n_zero,
+      CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper, CAST(NULL AS BIGINT) AS n
+      FROM (SELECT CAST("{c}" AS DOUBLE) AS "{c}" FROM p) x"""
+        for c in _PROFILED
+    )
+    + """ UNION ALL BY NAME SELECT 'SampleSize' AS variable, bin * w AS lower, (bin + 1) * w AS upper, count(*) AS n
+      FROM bins GROUP BY bin, w"""
 )
 
 

@@ -281,27 +281,33 @@ COLUMN_RANGES_SQL = " UNION ALL ".join(
 )
 
 
+def _prices(spark, sf):
+    """Prices, some of which are infinite and some not a number."""
+    price = F.when(F.col("l_quantity") == 50, F.lit(float("inf"))).when(F.col("l_quantity") == 49, F.lit(float("nan")))
+    return table(spark, sf, "lineitem").select(price.otherwise(F.col("l_extendedprice")).alias("price"))
+
+
 def histogram_bins(spark, sf):
-    return histogram(table(spark, sf, "lineitem"), "l_extendedprice", 30)
+    return histogram(_prices(spark, sf), "price", 30)
 
 
-HISTOGRAM_SQL = """WITH e AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 30 AS w
-    FROM lineitem),
-  b AS (SELECT CAST(least(floor((l_extendedprice - lo) / w), 29) AS INTEGER) AS bin, lo, w FROM lineitem, e)
+HISTOGRAM_SQL = """WITH v AS (SELECT l_extendedprice FROM lineitem WHERE l_quantity NOT IN (49, 50)),
+  e AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 30 AS w FROM v),
+  b AS (SELECT CAST(least(floor((l_extendedprice - lo) / w), 29) AS INTEGER) AS bin, lo, w FROM v, e)
   SELECT bin, lo + bin * w AS lower, count(*) AS n FROM b GROUP BY bin, lo, w"""
 
 
 def histogram_pretty(spark, sf):
-    return pretty_histogram(table(spark, sf, "lineitem"), "l_extendedprice", 30)
+    return pretty_histogram(_prices(spark, sf), "price", 30)
 
 
-PRETTY_SQL = """WITH e AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 30 AS c
-    FROM lineitem),
+PRETTY_SQL = """WITH v AS (SELECT l_extendedprice FROM lineitem WHERE l_quantity NOT IN (49, 50)),
+  e AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 30 AS c FROM v),
   p AS (SELECT lo, c, pow(10.0, floor(log10(c))) AS u FROM e),
   s AS (SELECT lo, CASE WHEN 10 * u - c < 1.5 * (c - 5 * u) THEN 10 * u WHEN 5 * u - c < 2.75 * (c - 2 * u) THEN 5 * u
     WHEN 2 * u - c < 1.5 * (c - u) THEN 2 * u ELSE u END AS w FROM p),
   b AS (SELECT CAST(greatest(ceil(l_extendedprice / w - 1e-7) - 1, floor(lo / w + 1e-7)) AS BIGINT) AS bin, w
-    FROM lineitem, s)
+    FROM v, s)
   SELECT bin * w AS lower, (bin + 1) * w AS upper, count(*) AS n FROM b GROUP BY bin, w"""
 
 

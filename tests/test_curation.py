@@ -292,12 +292,22 @@ def test_full_run_and_merge(spark, means, checklist, tmp_path):
     whole = tables["merged"]
     assert whole.select("Site_name").distinct().count() == 13  # sites without taxa stay
     assert whole.filter("Site_name = 'ituri_lenda'").first()["Submitted_Name"] is None
-    assert whole.filter("Site_name = 'hkk'").count() == 8  # two taxa rows, four measurement rows each
+    assert whole.filter("Site_name = 'hkk'").count() == 2  # one name with two measurement rows
     n = tables["taxa"].count() + tables["taxa_unresolved"].count()
     write_database(tables, str(tmp_path / "db"))
     back = spark.read.csv(str(tmp_path / "db" / "taxa"), header=True, nullValue="NA")
     assert back.count() == n and {"outcome", "site"} < set(back.columns)
     assert (tmp_path / "db" / "medians" / "outcome=resolved" / "site=hkk").is_dir()
+    meanings = spark.read.csv(str(tmp_path / "db" / "full" / "dictionary"), header=True, nullValue="NA")
+    assert meanings.filter("meaning is null").count() == 0 and meanings.count() == 13
+
+
+def test_a_name_submitted_often_has_as_many_measurements(spark, means, checklist):
+    one = means.filter("site = 'hkk' and latin = 'Ficus racemosa'").limit(1)
+    often = one.crossJoin(spark.range(1000).select("id")).withColumn("sp", F.concat(F.lit("c"), "id")).drop("id")
+    tables = full_run(often, often, site_table(spark), checklist, site_rules())
+    assert tables["taxa"].count() == tables["means"].count() == 1000
+    assert tables["merged"].filter("Site_name = 'hkk'").count() == 1000
 
 
 def test_sites_without_partner_survive_the_merge(spark):

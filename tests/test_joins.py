@@ -145,3 +145,22 @@ def test_histograms(spark):
     assert [tuple(r) for r in pretty_histogram(df, "x", 5).orderBy("lower").collect()] == [
         (0.0, 2.0, 3), (2.0, 4.0, 2), (4.0, 6.0, 2), (6.0, 8.0, 2), (8.0, 10.0, 2)
     ]
+
+
+def test_histograms_of_values_that_are_not_finite(spark):
+    inf = float("inf")
+    odd = spark.createDataFrame([(x,) for x in (1.0, 2.0, 5.0, inf, -inf, float("nan"), None)], "x double")
+    assert sum(r.n for r in histogram(odd, "x", 4).collect()) == 3
+    assert min(r.lower for r in histogram(odd, "x", 4).collect()) == 1.0
+    edges = pretty_histogram(odd, "x", 4).collect()
+    assert sum(r.n for r in edges) == 3 and all(r.lower < r.upper for r in edges)
+    ranges = column_ranges(odd, ["x"], na_rm=True).first()
+    assert (ranges.n_null, ranges.n_nan, ranges.n_inf) == (1, 1, 2)
+
+
+@pytest.mark.parametrize("value", [0.0, 7.0, -250.0])
+def test_histograms_of_a_constant(spark, value):
+    same = spark.createDataFrame([(value,)] * 5, "x double")
+    assert [tuple(r) for r in histogram(same, "x", 4).collect()] == [(0, value, 5)]
+    (one,) = pretty_histogram(same, "x", 4).collect()
+    assert one.lower <= value <= one.upper and one.upper > one.lower and one.n == 5
