@@ -2,8 +2,7 @@
 
     python tests/compare.py [sf] [query ...]
 
-With CLUSTER_LIKE set, nothing is broadcast by size and keys with more than 20
-rows are cut into pieces, as on tables too large to broadcast.
+With CLUSTER_LIKE set, nothing is broadcast by size, as on tables too large for it.
 """
 
 from __future__ import annotations

@@ -9,6 +9,8 @@ sys.path.insert(0, str(HERE))
 
 from compare import engine, session  # noqa: E402
 
+from sylvatab.sources.tables import clear_scratch  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -17,6 +19,7 @@ def spark():
     s = session()
     s.conf.set("spark.sql.shuffle.partitions", "4")
     yield s
+    clear_scratch(s)
     s.stop()
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import types as T
 
 from sylvatab.sources.tables import (
+    clear_scratch,
     completeness,
     data_dictionary,
     literal_table,
@@ -123,3 +124,10 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path):
     assert scratch_path(other, "x").startswith(str(tmp_path / "shared"))
     df = written(other.createDataFrame(ROWS, SCHEMA), "x")
     assert rows(df) == sorted(ROWS, key=repr) and list((tmp_path / "shared").iterdir())
+    clear_scratch(other)
+    assert not list((tmp_path / "shared").iterdir())
+
+
+def test_each_application_has_its_own_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
+    assert scratch_path(spark, "x").startswith(f"{folder}/sylvatab-{spark.sparkContext.applicationId}/x-")
