@@ -28,7 +28,8 @@ BLOCK = 2048
 LEVEL = 6
 #: The smallest size must be smaller than the second by this share.
 MARGIN = 0.02
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and signs for numbers that are no digits.
+NEARLY = re.compile(r"[^\W\d_]")
 
 
 class Answer(NamedTuple):
@@ -58,6 +59,10 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
     return {name: b"\n".join(parts) for name, parts in sorted(found.items())}
 
 
+def has_letter(text: str) -> bool:
+    return any(found.group().isalpha() for found in NEARLY.finditer(text))
+
+
 class Judge:
     """Compressors for all languages, made once a task."""
 
@@ -72,7 +77,7 @@ class Judge:
 
     def __call__(self, text: bytes) -> Answer:
         letters = text.decode()
-        if not self.names or not LETTER.search(letters):
+        if not self.names or not has_letter(letters):
             return Answer(UNKNOWN, 0.0, True)
         text = letters.lower().encode()
         blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]

@@ -44,3 +44,7 @@ def test_no_label_at_all(odd):
 def test_tie_goes_to_the_first():
     answer = langid.Judge({"b": b"same words here", "a": b"same words here"})(b"same words here")
     assert (answer.lang, answer.score, answer.rejected) == ("a", 0.0, True)
+
+
+def test_letters():
+    assert [langid.has_letter(t) for t in ("", "12 ² ½ Ⅷ _ !", "1a", "é", "日", "٣")] == [False, False, True, True, True, False]
