@@ -38,7 +38,7 @@ TARGETS = {"clean": 0.98, "poor": 0.02, "toxic": 0.0}
 PROTECTED = ["clean"]
 #: The classifier is fitted on so many labelled documents at most, by the hash of their id.
 TRAINED_ON = 10_000
-FEATURES = 1 << 16
+FEATURES = 1 << 15
 STEPS = 64
 #: Rounds of the fit at most, and the change of the domains' tokens that ends it.
 ROUNDS, SETTLED = 60, 1e-5
@@ -74,7 +74,9 @@ def classified(df: DataFrame, docs: DataFrame, labels: DataFrame, text: str, key
     chosen = known.dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(TRAINED_ON)
     texts = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
     sample = featured(texts.join(F.broadcast(chosen), "__id"), "__text").select("__features", "__domain")
-    sample = written(sample, "labelled")
+    # Few rows, of a bounded number: in few partitions, since every partition
+    # sends as many numbers to the driver as there are weights, in every round.
+    sample = written(sample, "labelled").coalesce(2)
     present = [d for d in DOMAINS if d in {r[0] for r in sample.select("__domain").distinct().collect()}]
     if len(present) < 2:
         sure = present[0] if present else DOMAINS[0]
