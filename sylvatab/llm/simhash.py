@@ -16,6 +16,7 @@ have equal fingerprints. Repeated rows stay: each is a row of its own.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,12 @@ from sylvatab.sources.tables import written
 
 BITS = 128
 BLANK = r"[\x20\x09-\x0D]+"
-#: Fingerprints within so many bits are near; there is one block table more.
-RADIUS = 3
+#: Fingerprints within so many bits are near. Measured on planted edits of the test
+#: texts: of copies with a Jaccard similarity of 0.75 to 0.8 on five-word shingles
+#: half lie within 13 bits and 95 % within 20.
+RADIUS = 20
+#: Least bits of a block, so that its values stay selective.
+LEAST_BLOCK = 18
 _LANES = 32
 
 
@@ -93,29 +98,49 @@ def near(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFram
     ``f0``, ``f1``) that differ in ``radius`` bits at most: ``q0``, ``q1``,
     ``f0``, ``f1``, ``distance``.
 
-    The bits are cut into ``radius + 1`` blocks; two fingerprints within the
-    radius are equal in one. There is one table for each block, with the block
-    as its key, and the pairs that share a key are compared whole. A pair comes
-    out of the first table that it shares a key in only.
+    The bits are cut into blocks and each may have some ``errors``, so many that
+    the blocks are long enough; two fingerprints within the radius have a block
+    with no more than these (pigeonhole). There is one table for each block, with
+    the block as its key; a query looks up its own block and all that differ from
+    it in ``errors`` bits at most. The pairs that share a key are compared whole. A
+    pair comes out of the first table that it shares a key in only.
     """
-    blocks = radius + 1
-
-    def block(f0: Column, f1: Column, k: int) -> Column:
-        start, end = BITS * k // blocks, BITS * (k + 1) // blocks
-        masks = [_signed(sum(1 << (b - 64 * h) for b in range(start, end) if b // 64 == h)) for h in range(2)]
-        return F.xxhash64(F.lit(k), f0.bitwiseAND(F.lit(masks[0])), f1.bitwiseAND(F.lit(masks[1])))
+    errors = next((e for e in range(radius) if BITS // (radius // (e + 1) + 1) >= LEAST_BLOCK), radius)
+    blocks = radius // (errors + 1) + 1
+    bits = [range(BITS * k // blocks, BITS * (k + 1) // blocks) for k in range(blocks)]
+
+    def halves(places) -> tuple[int, int]:
+        return tuple(_signed(sum(1 << (b - 64 * h) for b in places if b // 64 == h)) for h in range(2))
+
+    def table_of(flips: int) -> Column:
+        """For each block and each choice of ``flips`` or fewer bits of it: table, block, bits."""
+        rows = [(k, *halves(bits[k]), *halves(x)) for k in range(blocks) for n in range(flips + 1) for x in combinations(bits[k], n)]
+        names = ["table", "b0", "b1", "x0", "x1"]
+        return F.arrays_zip(
+            *[F.split(F.lit(",".join(map(str, c))), ",").cast("array<bigint>").alias(name) for name, c in zip(names, zip(*rows))]
+        )
+
+    def keyed(df: DataFrame, a: str, b: str, flips: int) -> DataFrame:
+        def entry(x: Column) -> Column:
+            f0, f1 = (F.col(f).bitwiseXOR(x[f"x{h}"]).bitwiseAND(x[f"b{h}"]) for h, f in enumerate(("f0", "f1")))
+            return F.struct(x["table"].alias("table"), F.xxhash64(x["table"], f0, f1).alias("key"))
+
+        entries = F.inline(F.transform(table_of(flips), entry))
+        return df.select("f0", "f1").distinct().select("*", entries).withColumnsRenamed({"f0": a, "f1": b})
+
+    left, right = keyed(queries, "q0", "q1", errors), keyed(table, "f0", "f1", 0).withColumnsRenamed({"table": "t", "key": "k"})
+    q, f = (F.col("q0"), F.col("q1")), (F.col("f0"), F.col("f1"))
 
-    def keyed(df: DataFrame, a: str, b: str) -> DataFrame:
-        keys = [F.struct(F.lit(k).alias("table"), block(F.col("f0"), F.col("f1"), k).alias("key")) for k in range(blocks)]
-        return df.select("f0", "f1").distinct().select(F.col("f0").alias(a), F.col("f1").alias(b), F.inline(F.array(*keys)))
+    def shared(k: int) -> Column:
+        here = [F.bit_count(x.bitwiseXOR(y).bitwiseAND(F.lit(m))) for x, y, m in zip(q, f, halves(bits[k]), strict=True)]
+        return here[0] + here[1] <= errors
 
-    pairs = keyed(queries, "q0", "q1").join(keyed(table, "f0", "f1"), ["table", "key"])
-    q, f = (F.col("q0"), F.col("q1")), (F.col("f0"), F.col("f1"))
-    earlier = reduce(
-        lambda x, y: x | y, [(F.col("table") > k) & (block(*q, k) == block(*f, k)) for k in range(blocks)]
-    )
-    close = pairs.withColumn("distance", distance(*q, *f)).filter((F.col("distance") <= radius) & ~earlier)
-    return close.select("q0", "q1", "f0", "f1", "distance")
+    earlier = reduce(lambda x, y: x | y, [(F.col("table") > k) & shared(k) for k in range(blocks)])
+    # In the join's own condition, so that candidates are not rows.
+    same = (F.col("table") == F.col("t")) & (F.col("key") == F.col("k"))
+    # Merged: Spark takes the looked up keys for as few as the queries and would broadcast them.
+    close = left.hint("merge").join(right, same & (distance(*q, *f) <= radius) & ~earlier)
+    return close.select("q0", "q1", "f0", "f1", distance(*q, *f).alias("distance"))
 
 
 def part_of(key: Column, bounds: list[int]) -> Column:

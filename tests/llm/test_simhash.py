@@ -95,6 +95,34 @@ def test_near(spark, radius):
     assert set(got) == want
 
 
+def test_edited_copies_are_found(spark):
+    """Copies with every fiftieth word replaced (Jaccard 0.75 or more on five-word shingles)."""
+    rng, rows = random.Random(3), []
+    texts = [WORD.findall(r.text or "") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    words = [w for t in texts for w in t]
+
+    def shingles(t):
+        return {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+
+    for t in texts:
+        copy = list(t)
+        for i in rng.sample(range(len(t)), len(t) // 50):
+            copy[i] = rng.choice(words)
+        a, b = shingles(t), shingles(copy)
+        if len(t) >= 50 and a != b and len(a & b) >= 0.75 * len(a | b):
+            rows += [(100 * len(rows), " ".join(t)), (100 * len(rows) + 1, " ".join(copy))]
+    found = simhash.report(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("n_near is not null")
+    got = [r.n_near > 0 for r in found.collect()]
+    assert len(got) > 200
+    assert sum(got) > 0.9 * len(got)
+
+
+def test_looked_up_keys_are_not_broadcast(spark):
+    few = spark.createDataFrame([(1, 2)], "f0 bigint, f1 bigint")
+    plan = simhash.near(few, few)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_odd_rows(spark, odd, nothing):
     rows = simhash.report(odd).collect()
     assert sorted(r.n_chars for r in rows) == sorted(len(r.text or "") for r in odd.collect())
