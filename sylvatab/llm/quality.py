@@ -7,7 +7,7 @@ ratio of the two; it is kept from ``THRESHOLD`` on.
 
 Only DataFrame functions: the counts are one aggregate over the buckets, their
 ratios a constant of ``BUCKETS`` numbers, and every document is scored where it
-stands, without a shuffle of texts. Words are runs without ``[\\x20\\x09-\\x0D]``.
+stands; texts are shuffled only where the trusted ids are too many to broadcast. Words are runs without ``[\\x20\\x09-\\x0D]``.
 
 A null or empty text has no words and fails the base rules. Without a trusted
 document all ratios are 0 and the base rules alone decide. Repeated rows are
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 BUCKETS = 1 << 16
-#: Of the trusted documents so many, chosen by the hash of their id, make the
-#: target; their ids are the only rows that are broadcast.
+#: Size of the sample of ``trusted_ids``; the target is of all trusted documents.
 TRUSTED = 20_000
 #: Least mean log ratio of a document that is kept.
 THRESHOLD = -0.04
@@ -105,25 +104,32 @@ def base_counts(text: Column, word_list: Column, hashes: Column) -> list[Column]
 
 
 def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Ids of at most ``TRUSTED`` documents of quality 1, chosen by hash."""
+    """Ids of at most ``TRUSTED`` documents of quality 1, chosen by hash. Scores don't use it."""
     good = labels.filter(F.col("quality") == 1).select(F.col(key).alias("__id")).dropna().distinct()
     return good.orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED)
 
 
-def bucket_counts(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """For each bucket its n-grams in all documents and in trusted ones."""
-    ids = trusted_ids(labels, key).withColumn("__target", F.lit(1))
-    marked = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text")).join(
-        F.broadcast(ids), "__id", "left"
-    )
-    split = marked.select("__target", words(F.col("__text")).alias("w"))
+def grams(docs: DataFrame, text: str) -> DataFrame:
+    """The bucket of every n-gram of the texts."""
+    split = docs.select(words(F.col(f"`{text}`")).alias("w"))
     # The last word's pair has no second word and counts nowhere.
     following = F.slice("w", 2, F.greatest(F.size("w"), F.lit(1)))
-    pairs = split.select("__target", F.inline(F.arrays_zip(F.col("w").alias("a"), following.alias("b"))))
+    pairs = split.select(F.inline(F.arrays_zip(F.col("w").alias("a"), following.alias("b"))))
     a, b = F.xxhash64("a"), F.xxhash64("b")
     both = F.array(bucket(a), F.when(F.col("b").isNotNull(), bucket(pair_hash(a, b))))
-    grams = pairs.select("__target", F.explode(both).alias("bucket")).filter("bucket is not null")
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"), F.count("__target").alias("n_target"))
+    return pairs.select(F.explode(both).alias("bucket")).filter("bucket is not null")
+
+
+def bucket_counts(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """For each bucket its n-grams in all documents and in trusted ones. All
+    documents are counted where they stand; the trusted ones are counted after an
+    inner join driven by the documents, which the adaptive planner can split."""
+    given = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    good = labels.filter(F.col("quality") == 1).select(F.col(key).alias("__id")).dropna().distinct()
+    trusted = given.join(good, "__id")
+    every = grams(given, "__text").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"))
+    target = grams(trusted, "__text").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_target"))
+    return every.join(target, "bucket", "left").fillna(0, ["n_target"])
 
 
 def log_ratios(counts: DataFrame) -> list[float]:

@@ -103,6 +103,15 @@ def test_trusted_sample_is_bounded(spark, monkeypatch):
     assert quality.trusted_ids(labels).count() == 3
 
 
+def test_all_trusted_documents_make_the_target(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRUSTED", 1, raising=False)
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in (0, 5, 7)] * 2, LABELS)
+    want = scores(TEXTS, [i in (0, 5, 7) for i in range(len(TEXTS))])
+    got = [r.score for r in sorted(quality.report(docs, labels).collect())]
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
