@@ -38,7 +38,7 @@ TARGETS = {"clean": 0.98, "poor": 0.02, "toxic": 0.0}
 PROTECTED = ["clean"]
 #: The classifier is fitted on so many labelled documents at most, by the hash of their id.
 TRAINED_ON = 10_000
-FEATURES = 1 << 15
+FEATURES = 1 << 16
 STEPS = 64
 #: Rounds of the fit at most, and the change of the domains' tokens that ends it.
 ROUNDS, SETTLED = 60, 1e-5

@@ -87,6 +87,13 @@ def test_mix_repeats_rows(spark, monkeypatch):
     assert mixing.mix(docs, none).collect() == []
 
 
+def test_words_rarely_collide(spark):
+    """Of 3,000 words about 70 share a feature with another in 1 << 16, twice as many in half."""
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)]
+    row = mixing.featured(spark.createDataFrame([(" ".join(words),)], "text string"), "text").first()
+    assert len(words) - row["__features"].numNonzeros() < 100
+
+
 def test_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (6, 0, 0), (None, 1, 1), (5, None, None), (1, 1, 0), (77, 0, 1)], LABELS)
     rows = mixing.report(odd, labels).collect()
