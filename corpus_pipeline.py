@@ -22,8 +22,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites stay in one document only; no document goes."""
-    left = lines.dedup(docs).drop("__gone")
+    """Lines that stand on many sites stay in one document only; a document that
+    loses all it has goes, since each of its lines stands where it was first."""
+    emptied = (F.col("__gone") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    left = lines.dedup(docs).filter(~F.coalesce(emptied, F.lit(False)))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -80,6 +80,14 @@ def test_run(spark, outputs):
     assert got == sorted((r.doc_id, r.n_tokens) for r in outputs[5].collect())
 
 
+def test_copies_over_many_sources(spark):
+    """Of exact copies on many sources one is left, with the whole text; blank documents stay."""
+    rows = [(i, "one line\n\nand another", "en", f"s{i}", 21, None) for i in range(1, 15)] + [(20, " ", "en", "s", 1, None), (21, None, "en", "s", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, ids string")
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert left == {1: rows[0][1], 20: " ", 21: None}
+
+
 def test_odd_rows(spark, odd, nothing):
     docs = odd.select("doc_id", "text", "lang", "source", "n_chars", "ids")
     for stage in (s for _, s in corpus_pipeline.STAGES):
