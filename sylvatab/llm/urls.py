@@ -3,7 +3,7 @@
 The trees learn from the URLs that a rule decides. Features are lexical:
 lengths, depth, digit ratio, entropy, parameter counts, and for the last label
 and the last two labels of the host and the first part of the path the share of
-blocked URLs among those learnt from. Only DataFrame functions and MLlib.
+blocked URLs among all URLs, with those that no rule decides. Only DataFrame functions and MLlib.
 
 Host: what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end. A null URL, or one
@@ -95,10 +95,10 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def shares(learnt: DataFrame, suffix: str) -> DataFrame:
-    """For each suffix the smoothed share of blocked URLs."""
-    blocked = F.count_if(F.col("known") == BLOCK)
-    return learnt.groupBy(suffix).agg(((blocked + PRIOR / 2) / (F.count(F.lit(1)) + PRIOR)).alias(f"{suffix}_share"))
+def shares(urls: DataFrame, suffix: str) -> DataFrame:
+    """For each suffix the smoothed share of URLs that a rule blocks, among all."""
+    blocked = F.count_if(F.coalesce(F.col("known") == BLOCK, F.lit(False)))
+    return urls.groupBy(suffix).agg(((blocked + PRIOR / 2) / (F.count(F.lit(1)) + PRIOR)).alias(f"{suffix}_share"))
 
 
 def with_shares(urls: DataFrame, tables: list[DataFrame]) -> DataFrame:
@@ -135,7 +135,7 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, key: str = "page_id",
         chosen = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share * (1 << 20)
         # Written once: every tree reads it again. Its size is bounded, so few files do.
         learnt = written(urls.filter("known is not null").filter(chosen).coalesce(8), "url-sample")
-        tables = [shares(learnt, s) for s in SUFFIXES]
+        tables = [shares(urls, s) for s in SUFFIXES]
         model = fit(with_shares(learnt, tables))
         scored = model.transform(with_shares(urls, tables))
         judged = scored.withColumn("p_block", vector_to_array("probability")[1])

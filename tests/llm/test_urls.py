@@ -92,6 +92,22 @@ def test_held_out_accuracy(spark, monkeypatch):
     assert right / len(rows) > 0.9
 
 
+def test_shares_are_of_all_urls(spark):
+    rows = [("a", "block")] * 30 + [("a", None)] * 60 + [("b", "allow")] * 5
+    got = urls.shares(spark.createDataFrame(rows, "last string, known string"), "last").collect()
+    assert {r["last"]: r.last_share for r in got} == pytest.approx({"a": 35 / 100, "b": 5 / 15})
+
+
+def test_shares_are_not_of_the_sample(spark, monkeypatch):
+    """Suffix statistics do not depend on the size of the sample the trees are fitted on."""
+    seen, shares = [], urls.shares
+    monkeypatch.setattr(urls, "TRAINED_ON", 100)
+    monkeypatch.setattr(urls, "shares", lambda df, suffix: seen.append(df.count()) or shares(df, suffix))
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    urls.judge(pages)
+    assert seen == [pages.count()] * len(urls.SUFFIXES)
+
+
 def test_query(spark):
     rows = op4_urls(spark, SF).collect()
     given = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
