@@ -59,7 +59,7 @@ MORE = [
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}=*", 0, 0, re.ASCII | re.IGNORECASE),
-    Rule("url_login", r"[a-z][a-z0-9+]{1,20}://[^\s/:@]{1,80}:[^\s/:@]{3,80}@[A-Za-z0-9.-]+"),
+    Rule("url_login", r"[a-z][a-z0-9+]{1,20}://[^\s/:@]+:[^\s/:@]{3,}@[A-Za-z0-9.-]+"),
 ]
 
 

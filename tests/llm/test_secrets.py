@@ -75,6 +75,13 @@ def test_query_holds_for_every_match(pattern):
         assert len(spans) == len(re.findall(pattern, text))
 
 
+def test_long_logins():
+    scanner = secrets.Scanner([*secrets.BASE, *secrets.MORE])
+    text = "x https://" + "u" * 200 + ":" + "Pq_" * 400 + "@host.example y"
+    place = [r.kind for r in secrets.MORE].index("url_login") + len(secrets.BASE)
+    assert (2, place, len(text) - 2) in scanner.scan([text.encode()])[0]
+
+
 def test_very_long_text():
     text = "x" * ((1 << 20) - 1) + "token=abcdefgh" + "é" * 1000 + "token=abcdefgh"
     assert len(secrets.Scanner(secrets.BASE).scan([text.encode()])[0]) == 2
