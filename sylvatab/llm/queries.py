@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvatab.llm import bpe, langid, licenses, lines, minhash, mixing, quality, secrets, simhash, urls
+from sylvatab.llm import (
+    bpe,
+    indexing,
+    langid,
+    licenses,
+    lines,
+    minhash,
+    mixing,
+    periodic,
+    quality,
+    resampling,
+    secrets,
+    simhash,
+    urls,
+)
 from sylvatab.llm.common import documents
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,6 +108,61 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op11_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a network on pooled word vectors."""
+    return indexing.predict(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and text; in one of ten documents, by the CRC-32 of the id, the
+    words from a place on repeat those before with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+
+        def from_place(x: Column) -> Column:
+            a, g = x["a"], x["g"]
+            period = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+            return F.transform(
+                F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % period).cast("int"))
+            )
+
+        g = F.floor(h / 10)
+        return quality.let(F.struct((g % n).alias("a"), g.alias("g")), from_place)
+
+    words = quality.words(F.col("text"))
+    changed = F.array_join(quality.let(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(w)), " ")
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, and what is left when each is cut to one period."""
+    found = periodic.find(made_periodic(documents(spark, sf_dir)), keep=["doc_id"])
+    order = F.transform(
+        "runs", lambda r: F.struct((r["length"] / r["period"]).alias("e"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r["length"].alias("n"))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    longest = found.withColumn("longest", F.array_max(order))
+    best = F.col("longest")
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-best["s"]).alias("start"),
+        best["n"].alias("length"),
+        (-best["p"]).alias("period"),
+        F.floor(1000 * best["n"] / -best["p"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark's texts."""
+    return resampling.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_lines": (op2_lines, lines.SQL),
@@ -105,4 +174,7 @@ QUERIES = {
     "op8_fingerprints": (op8_fingerprints, None),
     "op9_mixing": (op9_mixing, None),
     "op10_quality": (op10_quality, None),
+    "op11_indexing": (op11_indexing, None),
+    "op12_periodic": (op12_periodic, None),
+    "op13_resampling": (op13_resampling, None),
 }
