@@ -4,7 +4,9 @@ A classifier learnt from labelled documents gives each document a posterior
 over domains. Nonnegative rates for all documents are fitted by projected
 gradient, so that the expected tokens of each domain (rate x tokens x posterior)
 come closest to the targets in least squares, each domain in units of what it
-has. A document whose likeliest domain is protected has a rate of 1 at least.
+has. ``keep_protected`` gives a document whose likeliest domain is protected a
+rate of 1 at least, for stages that are to keep such documents; the totals then
+miss the targets by what these documents hold of other domains.
 The rate becomes whole copies: its integer part, and one more where the hash of
 id and text falls below the rest.
 
@@ -14,7 +16,9 @@ as there are such posteriors. Each round is one small aggregate; only one number
 for each domain comes to the driver, and the rate is an expression of these.
 
 A null or empty text has no tokens; its posterior is that of no words. Labels
-without quality and toxicity, and labels of no document, teach nothing. With
+without quality and toxicity, and labels of no document, teach nothing; of several labels of
+one id the most frequent domain counts, of equally frequent ones the first, and of
+several texts of one id the one with the smallest hash teaches. With
 fewer than two domains among the labels every document belongs to the one there
 is (or the first). A domain without any expected tokens is left out of the fit.
 Repeated rows have equal rates and equal copies.
@@ -34,7 +38,8 @@ from sylvatab.sources.tables import written
 DOMAINS = ["clean", "poor", "toxic"]
 #: Wanted share of the tokens after mixing for each domain.
 TARGETS = {"clean": 0.98, "poor": 0.02, "toxic": 0.0}
-#: There are to be as many tokens in all as make these domains' targets what they have.
+#: There are to be as many tokens in all as make these domains' targets what they
+#: have; with ``keep_protected`` their documents stay.
 PROTECTED = ["clean"]
 #: The classifier is fitted on so many labelled documents at most, by the hash of their id.
 TRAINED_ON = 10_000
@@ -66,14 +71,26 @@ def featured(df: DataFrame, text: str) -> DataFrame:
     return hashing.transform(with_terms).drop("__terms")
 
 
+def chosen_labels(labels: DataFrame) -> DataFrame:
+    """``__id`` and ``__domain`` of at most ``TRAINED_ON`` labelled ids, by hash."""
+    known = labels.select(F.col("doc_id").alias("__id"), domain_of().alias("__domain")).dropna()
+    place = F.array_position(F.array(*map(F.lit, DOMAINS)), F.col("__domain"))
+    counts = known.groupBy("__id", "__domain").agg((-F.count(F.lit(1))).alias("n"))
+    first = F.min_by("__domain", F.struct("n", place.alias("place"))).alias("__domain")
+    return counts.groupBy("__id").agg(first).orderBy(F.xxhash64("__id"), "__id").limit(TRAINED_ON)
+
+
 def classified(df: DataFrame, docs: DataFrame, labels: DataFrame, text: str, key: str) -> DataFrame:
     """``df`` and ``__posterior``, an array of one number for each domain; the
     classifier is learnt from the labelled ones of ``docs``. Few words decide: a
     penalty on their weights' size leaves the others out."""
-    known = labels.select(F.col("doc_id").alias("__id"), domain_of().alias("__domain")).dropna()
-    chosen = known.dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(TRAINED_ON)
     texts = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
-    sample = featured(texts.join(F.broadcast(chosen), "__id"), "__text").select("__features", "__domain")
+    # TRAINED_ON ids at most, so they may be broadcast; a row for each.
+    given = texts.join(F.broadcast(chosen_labels(labels)), "__id")
+    one = given.groupBy("__id").agg(
+        F.first("__domain").alias("__domain"), F.min_by("__text", F.xxhash64("__text")).alias("__text")
+    )
+    sample = featured(one, "__text").select("__features", "__domain")
     # Few rows, of a bounded number: in few partitions, since every partition
     # sends as many numbers to the driver as there are weights, in every round.
     sample = written(sample, "labelled").coalesce(2)
@@ -108,10 +125,10 @@ def least_rate(posterior: Column) -> Column:
     return F.when(likeliest.isin([DOMAINS.index(d) + 1 for d in PROTECTED]), 1.0).otherwise(0.0)
 
 
-def rate(posterior: Column, steps: list[list[float]]) -> Column:
+def rate(posterior: Column, steps: list[list[float]], keep_protected: bool = False) -> Column:
     """The rate after these steps: each takes off the posterior's product with the
     scaled gradient, and projects on what the rate may be."""
-    floor = least_rate(posterior)
+    floor = least_rate(posterior) if keep_protected else F.lit(0.0)
     if not steps:
         return F.greatest(F.lit(1.0), floor)
 
@@ -131,7 +148,7 @@ def wanted_tokens(has: list[float], targets: dict[str, float]) -> list[float]:
     return [targets[d] * total for d in DOMAINS]
 
 
-def fit(scored: DataFrame, targets: dict[str, float]) -> list[list[float]]:
+def fit(scored: DataFrame, targets: dict[str, float], keep_protected: bool = False) -> list[list[float]]:
     """The steps that lead to the rates, from ``__posterior`` and ``__tokens``."""
     cells = scored.groupBy("__posterior").agg(F.sum("__tokens").alias("tokens"))
     cells = written(cells, "cells")
@@ -145,7 +162,7 @@ def fit(scored: DataFrame, targets: dict[str, float]) -> list[list[float]]:
     steps: list[list[float]] = []
     before = None
     for _ in range(ROUNDS):
-        now = has if not steps else totals(rate(F.col("__posterior"), steps))
+        now = has if not steps else totals(rate(F.col("__posterior"), steps, keep_protected))
         if before and max(abs(a - b) for a, b in zip(now, before, strict=True)) <= SETTLED * max(sum(has), 1.0):
             break
         before = now
@@ -155,7 +172,12 @@ def fit(scored: DataFrame, targets: dict[str, float]) -> list[list[float]]:
 
 
 def mixed(
-    docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, text: str = "text", key: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float] = TARGETS,
+    text: str = "text",
+    key: str = "doc_id",
+    keep_protected: bool = False,
 ) -> DataFrame:
     """All rows and columns with ``__tokens``, ``__posterior``, ``__rate`` and ``__copies``."""
     counted = docs.withColumn("__tokens", tokens(F.col(f"`{text}`")).cast("long")).withColumn(
@@ -163,19 +185,36 @@ def mixed(
     )
     # Written with the documents, so that nothing is shuffled or classified twice.
     scored = written(classified(counted, docs, labels, text, key), "posteriors")
-    rated = scored.withColumn("__rate", rate(F.col("__posterior"), fit(scored, targets)))
+    rated = scored.withColumn("__rate", rate(F.col("__posterior"), fit(scored, targets, keep_protected), keep_protected))
     whole = F.floor("__rate")
     copies = (whole + F.when(F.col("__u") < F.col("__rate") - whole, 1).otherwise(0)).cast("int")
     return rated.withColumn("__copies", copies).drop("__u")
 
 
-def mix(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def mix(
+    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", keep_protected: bool = False
+) -> DataFrame:
     """The documents, each as often as its rate says."""
-    repeated = mixed(docs, labels, text=text, key=key)
+    repeated = mixed(docs, labels, text=text, key=key, keep_protected=keep_protected)
     copies = F.explode(F.when(F.col("__copies") > 0, F.sequence(F.lit(1), F.col("__copies")))).alias("__copy")
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop("__copy")
 
 
+def balance(mixed_rows: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
+    """For each domain the tokens it has, is wanted to have and is expected to have
+    after mixing, and ``residual``, what it misses as a share of all wanted tokens.
+    ``mixed_rows`` is what :func:`mixed` gives."""
+    tokens = F.col("__tokens") * 1.0
+    has = [F.sum(tokens * F.col("__posterior")[i]) for i in range(len(DOMAINS))]
+    gets = [F.sum(tokens * F.col("__posterior")[i] * F.col("__rate")) for i in range(len(DOMAINS))]
+    row = [x or 0.0 for x in mixed_rows.agg(*has, *gets).first()]
+    has, gets = row[: len(DOMAINS)], row[len(DOMAINS) :]
+    wanted = wanted_tokens(has, targets)
+    total = sum(wanted) or 1.0
+    rows = [(d, h, w, g, (g - w) / total) for d, h, w, g in zip(DOMAINS, has, wanted, gets, strict=True)]
+    return mixed_rows.sparkSession.createDataFrame(rows, "domain string, has double, wanted double, expected double, residual double")
+
+
 def report(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Key, tokens, posterior of each domain, rate and copies of every row."""
     out = mixed(docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), labels)

@@ -5,9 +5,10 @@ multinomial is counted over all documents, one over trusted documents (labels
 with quality 1). A document's score is the mean over its n-grams of the log
 ratio of the two; it is kept from ``THRESHOLD`` on.
 
-Only DataFrame functions: the counts are one aggregate over the buckets, their
-ratios a constant of ``BUCKETS`` numbers, and every document is scored where it
-stands; texts are shuffled only where the trusted ids are too many to broadcast. Words are runs without ``[\\x20\\x09-\\x0D]``.
+Only DataFrame functions: the counts are one pass over the documents, which meet
+the trusted ids by a shuffle, and one aggregate over the buckets; their ratios are
+one cell of ``BUCKETS`` numbers, and every document is scored where it stands.
+Words are runs without ``[\\x20\\x09-\\x0D]``.
 
 A null or empty text has no words and fails the base rules. Without a trusted
 document all ratios are 0 and the base rules alone decide. Repeated rows are
@@ -16,16 +17,14 @@ judged alike.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylvatab.sources.tables import written
+
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 BUCKETS = 1 << 16
-#: Size of the sample of ``trusted_ids``; the target is of all trusted documents.
-TRUSTED = 20_000
 #: Least mean log ratio of a document that is kept.
 THRESHOLD = -0.04
 #: The target's multinomial is smoothed by so many n-grams spread like the raw
@@ -103,67 +102,71 @@ def base_counts(text: Column, word_list: Column, hashes: Column) -> list[Column]
     ]
 
 
-def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Ids of at most ``TRUSTED`` documents of quality 1, chosen by hash. Scores don't use it."""
-    good = labels.filter(F.col("quality") == 1).select(F.col(key).alias("__id")).dropna().distinct()
-    return good.orderBy(F.xxhash64("__id"), "__id").limit(TRUSTED)
-
-
 def grams(docs: DataFrame, text: str) -> DataFrame:
-    """The bucket of every n-gram of the texts."""
-    split = docs.select(words(F.col(f"`{text}`")).alias("w"))
+    """The bucket of every n-gram of the texts, beside ``good``."""
+    split = docs.select("good", words(F.col(f"`{text}`")).alias("w"))
     # The last word's pair has no second word and counts nowhere.
     following = F.slice("w", 2, F.greatest(F.size("w"), F.lit(1)))
-    pairs = split.select(F.inline(F.arrays_zip(F.col("w").alias("a"), following.alias("b"))))
+    pairs = split.select("good", F.inline(F.arrays_zip(F.col("w").alias("a"), following.alias("b"))))
     a, b = F.xxhash64("a"), F.xxhash64("b")
     both = F.array(bucket(a), F.when(F.col("b").isNotNull(), bucket(pair_hash(a, b))))
-    return pairs.select(F.explode(both).alias("bucket")).filter("bucket is not null")
+    return pairs.select("good", F.explode(both).alias("bucket")).filter("bucket is not null")
 
 
 def bucket_counts(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """For each bucket its n-grams in all documents and in trusted ones. All
-    documents are counted where they stand; the trusted ones are counted after an
-    inner join driven by the documents, which the adaptive planner can split."""
+    """For each bucket its n-grams in all documents and in trusted ones, in one pass.
+
+    Documents meet the trusted ids by one shuffle of the texts, at every size:
+    the ids grow with the corpus, so that a plan that broadcasts them on small
+    tables is not the one that large tables get. The ids are the hashed side, so
+    texts are not sorted, and the documents the side that the planner can split.
+    """
     given = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
     good = labels.filter(F.col("quality") == 1).select(F.col(key).alias("__id")).dropna().distinct()
-    trusted = given.join(good, "__id")
-    every = grams(given, "__text").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"))
-    target = grams(trusted, "__text").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_target"))
-    return every.join(target, "bucket", "left").fillna(0, ["n_target"])
+    good = good.withColumn("__good", F.lit(1)).hint("shuffle_hash")
+    marked = given.join(good, "__id", "left").withColumn("good", F.coalesce("__good", F.lit(0)))
+    counts = grams(marked, "__text").groupBy("bucket")
+    return counts.agg(F.count(F.lit(1)).alias("n_raw"), F.sum("good").alias("n_target"))
 
 
-def log_ratios(counts: DataFrame) -> list[float]:
-    """Log ratio of target and raw for every bucket; ``BUCKETS`` rows at most
-    come to the driver."""
-    rows = counts.collect()
-    n_raw, n_target = sum(r["n_raw"] for r in rows), sum(r["n_target"] for r in rows)
-    ratios = [0.0] * BUCKETS
-    for row in rows if n_target else []:
-        raw = row["n_raw"] / n_raw
-        ratios[row["bucket"]] = math.log((row["n_target"] + PRIOR * raw) / (n_target + PRIOR)) - math.log(raw)
-    return ratios
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """One row, ``ratios``: the log ratio of target and raw for each of the
+    ``BUCKETS`` buckets, 0 for those that no document fills."""
+    spark = counts.sparkSession
+    every = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
+    # One group of BUCKETS rows, whatever the corpus.
+    cells = F.sort_array(F.collect_list(F.struct("bucket", "n_raw", "n_target")))
+    table = every.agg(F.sum("n_raw").alias("raw"), F.sum("n_target").alias("target"), cells.alias("cells"))
 
+    def ratio(cell: Column) -> Column:
+        share = cell["n_raw"] / F.col("raw")
+        known = F.log((cell["n_target"] + PRIOR * share) / (F.col("target") + PRIOR)) - F.log(share)
+        return F.when((F.col("target") > 0) & cell["n_raw"].isNotNull(), known).otherwise(0.0)
 
-def score(hashes: Column, ratios: list[float]) -> Column:
-    """Mean log ratio over a document's n-grams; 0 without words."""
-    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    n = F.size(hashes)
+    return table.select(F.transform("cells", ratio).alias("ratios"))
 
-    def add(total: Column, hashed: Column) -> Column:
-        return total + F.get(table, bucket(hashed))
 
-    single = F.aggregate(hashes, F.lit(0.0), add)
+def score(hashes: Column, ratios: Column) -> Column:
+    """Mean log ratio over a document's n-grams; 0 without words."""
+    n = F.size(hashes)
     following = F.zip_with(
         F.slice(hashes, 1, F.greatest(n - 1, F.lit(0))), F.slice(hashes, 2, F.greatest(n - 1, F.lit(0))), pair_hash
     )
-    double = F.aggregate(following, F.lit(0.0), add)
-    return F.when(n == 0, F.lit(0.0)).otherwise((single + double) / (2 * n - 1))
+
+    def total(table: Column) -> Column:
+        def add(sum_so_far: Column, hashed: Column) -> Column:
+            return sum_so_far + F.get(table, bucket(hashed))
+
+        return F.aggregate(hashes, F.lit(0.0), add) + F.aggregate(following, F.lit(0.0), add)
+
+    return F.when(n == 0, F.lit(0.0)).otherwise(let(ratios, total) / (2 * n - 1))
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All columns of ``docs`` and one more, ``__quality``: a struct of the base
     counts, ``base_failed``, ``score`` and ``kept``. Clashing names stay apart."""
-    ratios = log_ratios(bucket_counts(docs, labels, text, key))
+    # One cell, which plans refer to: as a constant it would stand in each of their descriptions.
+    ratios = written(log_ratios(bucket_counts(docs, labels, text, key)), "ratios").scalar()
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     counted = (
         docs.withColumn("__words", words(content))

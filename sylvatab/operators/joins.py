@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from sylvatab.operators.skew import prefixed, quoted, same_key, skew_join
 
@@ -23,9 +24,8 @@ def natural_join(
     """Join on every shared column; key columns appear once.
 
     For the right and full forms the key comes from whichever side has the row.
-    ``balanced`` takes the form in which the adaptive planner can split hot keys:
-    of the left side for an inner join, of the side that need not be kept whole
-    for the outer ones.
+    ``balanced`` takes the form in which the adaptive planner can split hot keys
+    of either side.
     """
     keys = shared_columns(left, right)
     if balanced:
@@ -47,32 +47,64 @@ def natural_join(
 
 
 def keep_all_left(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Natural left join for a right side that is large and may be skewed.
-
-    Spark can split a hot key only on the preserved side of an outer join, and
-    cannot broadcast that side. So the matches are an inner join driven by the
-    right side, and left rows without a partner are added with an anti join
-    against the distinct keys of the right side.
-    """
+    """Natural left join in a form in which hot keys of either side can be split."""
     keys = shared_columns(left, right)
-    matched = skew_join(right, left, keys, "inner")
-    alone = skew_join(left, right.select(*quoted(keys)).distinct(), keys, "left_anti")
+    right = _with_partners(right, _lonely(left, right, keys, of_left=True))
+    joined = skew_join(right, left, keys, "inner")
     rest = [c for c in right.columns if c not in keys]
-    order = quoted(left.columns) + quoted(rest)
-    return matched.select(*order).unionByName(alone, allowMissingColumns=True).select(*order)
+    return joined.select(*quoted(left.columns), *quoted(rest))
 
 
 def keep_all_right(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Natural right join: the mirror of :func:`keep_all_left`, for a large left side."""
+    """Natural right join: the mirror of :func:`keep_all_left`."""
     joined = keep_all_left(right, left)
     return joined.select(*quoted(left.columns), *quoted([c for c in right.columns if c not in left.columns]))
 
 
 def keep_all(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Natural full join for large sides: left join plus the right rows without a partner."""
+    """Natural full join in a form in which hot keys of either side can be split."""
     keys = shared_columns(left, right)
-    alone = skew_join(right, left.select(*quoted(keys)).distinct(), keys, "left_anti")
-    return keep_all_left(left, right).unionByName(alone, allowMissingColumns=True)
+    lonely = _lonely(left, right, keys, of_left=True, of_right=True)
+    right = _with_partners(right, lonely.filter("__l = 1"))
+    left = _with_partners(left, lonely.filter("__r = 1"))
+    joined = skew_join(right, left, keys, "inner")
+    rest = [c for c in right.columns if c not in keys]
+    return joined.select(*quoted(left.columns), *quoted(rest))
+
+
+def _lonely(
+    left: DataFrame, right: DataFrame, keys: list[str], of_left: bool = False, of_right: bool = False
+) -> DataFrame:
+    """Keys that only one side has, with ``__l`` and ``__r``, 1 for the side that
+    has them and 0 for the other.
+
+    An outer join keeps rows without a partner, and Spark can split a hot key only
+    on the side that is kept. So these keys are found first, by one union of both
+    sides' keys and one aggregate, combined before the shuffle and as long as the
+    keys are many; each gets a partner without values, and the join is an inner one,
+    which can be split on both sides.
+    """
+    mine = left.select(*quoted(keys), F.lit(1).alias("__l"), F.lit(0).alias("__r"))
+    theirs = right.select(*quoted(keys), F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    counted = mine.unionAll(theirs).groupBy(*quoted(keys)).agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
+    wanted = [s for s, w in (("__l > __r", of_left), ("__r > __l", of_right)) if w]
+    return counted.filter(" OR ".join(wanted))
+
+
+def _with_partners(df: DataFrame, lonely: DataFrame) -> DataFrame:
+    """``df`` and one row for each lonely key, its other columns null.
+
+    The nulls are read from an empty array: a later join on such a column would
+    otherwise find a constant there, and its condition be reduced to a test of one
+    side, which leaves a join without a key.
+    """
+    columns = [
+        F.col(f"`{f.name}`")
+        if f.name in lonely.columns
+        else F.get(F.array().cast(ArrayType(f.dataType)), F.col("__l")).alias(f.name)
+        for f in df.schema
+    ]
+    return df.unionByName(lonely.select(*columns))
 
 
 def join_keep_right(left: DataFrame, right: DataFrame, by: list[str], clash: list[str]) -> DataFrame:

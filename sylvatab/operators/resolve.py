@@ -2,27 +2,40 @@
 within a bounded number of edits.
 
 Comparing every name with every entry of its genus is quadratic in the size of
-a genus, so candidate pairs come from an equi-join on pieces of the name. If
-two strings are within k edits and one of them is cut into k + 1 pieces, at
-least one piece survives unchanged in the other, at a position that can have
-moved only a few places (the pigeonhole partition scheme of published
-string-similarity joins). Entries emit their pieces, names emit the substrings
-that could be such a piece, and only pairs that share one and whose letters
-differ by no more than the edits can change are measured. No pair within the
-limit is missed, and nothing is cut off.
+a genus, so candidate pairs come from an equi-join on search keys
+(:mod:`sylvatab.operators.pieces`) that every pair within the limit shares and few
+others do; ``levenshtein`` with the row's limit decides. No pair is missed, and
+nothing is cut off.
+
+The best match is searched by rising distance: exact names leave first, then those
+found within ``NEAR`` edits, so that the wide and costly keys are made only for names
+that have nothing nearer.
+
+A checklist that several searches use is indexed once (:func:`index_checklist`):
+its keys stand bucketed by hash in the shared folder, names are shuffled to them,
+and the index is not shuffled again.
 """
 
 from __future__ import annotations
 
-import string
-from fractions import Fraction
-from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvatab.functions.text import squish
+from sylvatab.operators.pieces import (
+    edit_limit,
+    entry_keys,
+    genus_of,
+    kinds_of,
+    largest_limit,
+    letters,
+    name_keys,
+    search_form,
+)
 from sylvatab.operators.skew import match_join, quoted
+from sylvatab.sources.tables import bucketed, written
 
 # Columns of a checklist as it is read, and their names in a search result.
 CHECKLIST_NAMES = {"Input.Taxon": "First_matched_Name", "Output.Taxon": "LCVP_Accepted_Taxon"}
@@ -40,11 +53,9 @@ MATCH_COLUMNS = [
 # epithet where a rank word follows directly.
 BINOMIAL = r"^\S+ (?:[x×] )?\S+(?: (?:subsp|ssp|var|subvar|f|forma)\. [a-z]\S*)?"
 
-# Up to this many edits the join key of a piece holds its place and the entry
-# length, which makes it selective. The number of such keys grows with the cube
-# of the limit, so names long enough to allow more edits use the piece text
-# alone, whose number grows only with the length of the name.
-PLACED_PIECES_LIMIT = 8
+#: Pairs that one group of equal keys may have; above it names and entries are
+#: dealt out over tiles of at most about half as many.
+TILE = 2_000_000
 
 
 def match_key(name: Column) -> Column:
@@ -79,17 +90,6 @@ def distinct_names(names: DataFrame, name: str) -> DataFrame:
     return counted.filter("n > 0").select(name, match_key(F.col(name)).alias("key"))
 
 
-def edit_limit(key: Column, max_distance: float) -> Column:
-    """Edits allowed for a name: a fraction below 1 counts per character and is
-    rounded up, a number from 1 on is taken as it is. The share as a fraction
-    keeps 0.1 of 70 characters at exactly 7. Never null, like the key."""
-    if max_distance >= 1:
-        return F.lit(int(max_distance))
-    share = Fraction(str(max_distance))
-    limit = F.ceil(F.length(key) * share.numerator / F.lit(share.denominator)).cast("int")
-    return F.coalesce(limit, F.lit(0))
-
-
 def prepare_checklist(checklist: DataFrame) -> DataFrame:
     """Checklist with result column names, a match key and the tie-break rank."""
     named = checklist.withColumnsRenamed(CHECKLIST_NAMES).select(*quoted(MATCH_COLUMNS))
@@ -97,9 +97,51 @@ def prepare_checklist(checklist: DataFrame) -> DataFrame:
     return named.withColumn("key", entry_key(F.col("First_matched_Name"))).withColumn("rank", rank)
 
 
+#: Edits up to which keys are whole strings with characters left out.
+NEAR = 2
+
+
+class Index(NamedTuple):
+    """A checklist ready for search."""
+
+    #: One row for each checklist row: the result columns, ``key`` and ``rank``.
+    entries: DataFrame
+    #: ``key``, ``letters``, ``kind`` and ``h`` of the distinct keys; None: made anew for each search.
+    keys: DataFrame | None
+    distances: tuple[float, ...]
+    match_genus: bool
+
+
+def index_checklist(checklist: DataFrame, *distances: float, match_genus: bool = True) -> Index:
+    """The search keys of a checklist for searches up to these distances, written
+    once, bucketed by their hash. The exact search needs no distance."""
+    entries = bucketed(prepare_checklist(checklist), "entries", "key")
+    near = [d for d in distances if d > 0]
+    keys = _entry_keys(entries, near, match_genus, None) if near else None
+    if keys is not None:
+        keys = bucketed(keys, "search-keys", "h", by=["kind"])
+    return Index(entries, keys, tuple(near), match_genus)
+
+
+def _entry_keys(entries: DataFrame, distances: list[float], match_genus: bool, kinds: list[int] | None) -> DataFrame:
+    form = search_form(entries.select("key").distinct(), match_genus)
+    most = F.greatest(F.lit(0), *[largest_limit(F.length("key"), d) for d in distances])
+    keys = entry_keys(form.withColumn("letters", letters("body")), most, kinds)
+    return keys.select("key", "letters", "kind", "h")
+
+
+def _indexed(checklist: DataFrame | Index, max_distance: float, match_genus: bool) -> Index:
+    if not isinstance(checklist, Index):
+        entries = prepare_checklist(checklist)
+        return Index(written(entries, "entries") if max_distance else entries, None, (max_distance,), match_genus)
+    if max_distance > 0 and (max_distance not in checklist.distances or match_genus != checklist.match_genus):
+        raise ValueError("the index was made for other searches")
+    return checklist
+
+
 def resolve_names(
     names: DataFrame,
-    checklist: DataFrame,
+    checklist: DataFrame | Index,
     max_distance: float = 0.1,
     match_genus: bool = True,
     name: str = "Submitted_Name",
@@ -110,39 +152,69 @@ def resolve_names(
     first checklist name in order. A name without an entry within the limit
     gives no row.
     """
+    index = _indexed(checklist, max_distance, match_genus)
     wanted = distinct_names(names, name)
-    entries = prepare_checklist(checklist)
-    per_key = entries.groupBy("key").agg(
-        F.min(F.struct("rank", *quoted(MATCH_COLUMNS))).alias("entry")
-    )
-    best = wanted.join(per_key, "key").select(name, "entry", F.lit(0).alias("distance"))
-    if max_distance > 0:
-        missing = wanted.join(per_key, "key", "left_anti")
-        pairs = close_pairs(missing, per_key, max_distance, match_genus)
-        nearest = pairs.groupBy(name).agg(F.min(F.struct("distance", "entry")).alias("near"))
-        best = best.unionByName(nearest.select(name, "near.entry", "near.distance"))
+    per_key = index.entries.groupBy("key").agg(F.min(F.struct("rank", *quoted(MATCH_COLUMNS))).alias("entry"))
+    if max_distance == 0:
+        best = wanted.join(per_key, "key").select(name, "entry", F.lit(0).alias("distance"))
+    else:
+        placed = written(wanted.join(per_key, "key", "left"), "names")
+        best = placed.filter("entry IS NOT NULL").select(name, "entry", F.lit(0).alias("distance"))
+        missing = placed.filter("entry IS NULL")
+        for near in _by_rising_distance(missing.select("key").distinct(), index, per_key, max_distance):
+            best = best.unionByName(missing.drop("entry").join(near, "key").select(name, "entry", "distance"))
     fields = [F.col("entry").getField(c).alias(c) for c in MATCH_COLUMNS]
     return best.select(name, *fields, "distance")
 
 
+def _by_rising_distance(names: DataFrame, index: Index, per_key: DataFrame, max_distance: float) -> list[DataFrame]:
+    """``key``, ``entry`` and ``distance`` of the nearest entry within the limit, a
+    table for each width of the search."""
+    names = names.withColumn("limit", edit_limit(F.col("key"), max_distance)).filter("limit > 0")
+    longest = names.agg(F.max("limit")).first()[0] or 0
+
+    def nearest(left: DataFrame, edits: range) -> DataFrame:
+        now = left.select("key", F.least("limit", F.lit(edits[-1])).alias("edits"))
+        pairs = close_pairs(now, index, edits)
+        # Only the nearest distance's entries are looked up.
+        least = F.min("distance").over(Window.partitionBy("key"))
+        pairs = pairs.withColumn("least", least).filter("distance = least").drop("least")
+        entries = pairs.join(per_key.withColumnRenamed("key", "entry_key"), "entry_key")
+        best = entries.groupBy("key").agg(F.min(F.struct("distance", "entry")).alias("near"))
+        return best.select("key", "near.entry", "near.distance")
+
+    if longest == 0:
+        return []
+    near = nearest(names, range(1, min(longest, NEAR) + 1))
+    if longest <= NEAR:
+        return [near]
+    near = written(near, "near")
+    left = names.filter(F.col("limit") > NEAR).join(near.select("key"), "key", "left_anti")
+    return [near, nearest(left, range(NEAR + 1, longest + 1))]
+
+
 def fuzzy_candidates(
     names: DataFrame,
-    checklist: DataFrame,
+    checklist: DataFrame | Index,
     max_distance: float = 0.1,
     match_genus: bool = True,
     name: str = "Submitted_Name",
 ) -> DataFrame:
     """Every checklist entry within the limit of each distinct non-null name."""
+    index = _indexed(checklist, max_distance, match_genus)
     wanted = distinct_names(names, name)
-    entries = prepare_checklist(checklist).drop("rank")
-    keys = entries.select("key").distinct()
-    exact = wanted.select("key").distinct().join(keys, "key", "left_semi")
-    exact = exact.select("key", F.col("key").alias("entry_key"), F.lit(0).alias("distance"))
+    entries = index.entries.drop("rank")
     if max_distance == 0:
-        pairs = exact
-    else:
-        near = close_pairs(wanted.select("key").distinct(), keys, max_distance, match_genus)
-        pairs = near.select("key", "entry_key", "distance").distinct()
+        found = wanted.join(entries, "key").withColumn("distance", F.lit(0))
+        return found.select(F.col(name), *quoted(MATCH_COLUMNS), "distance")
+    wanted = written(wanted, "names")
+    keys = wanted.select("key").distinct().withColumn("edits", edit_limit(F.col("key"), max_distance))
+    longest = keys.agg(F.max("edits")).first()[0] or 0
+    exact = keys.select("key").join(entries.select("key").distinct(), "key", "left_semi")
+    pairs = exact.select("key", F.col("key").alias("entry_key"), F.lit(0).alias("distance"))
+    if longest:
+        near = close_pairs(keys.filter("edits > 0"), index, range(1, longest + 1))
+        pairs = pairs.unionByName(near.filter("distance > 0"))
     found = pairs.join(wanted, "key").drop("key").withColumnRenamed("entry_key", "key")
     return found.join(entries, "key").select(F.col(name), *quoted(MATCH_COLUMNS), "distance")
 
@@ -153,127 +225,76 @@ def keep_resolved(resolved: DataFrame, kept: DataFrame, name: str = "Submitted_N
     return match_join(resolved, kept.select(F.col(f"`{name}`").alias(name)).distinct(), [name], "left_semi")
 
 
-def close_pairs(
-    names: DataFrame, entries: DataFrame, max_distance: float, match_genus: bool = True
-) -> DataFrame:
-    """All (name, entry) pairs within the limit; a pair may come more than once.
+def close_pairs(names: DataFrame, index: Index, edits: range) -> DataFrame:
+    """All (key, entry_key) pairs within the names' edits, each once, with ``distance``.
 
-    Both tables have a ``key`` and any payload, which is carried along. The
-    result has ``key``, ``entry_key``, the payloads and ``distance``.
+    ``names`` has distinct ``key`` and ``edits``, which lie in the range ``edits``.
     """
-    payload = [c for c in (*names.columns, *entries.columns) if c != "key"]
-    left = _pieces(names, max_distance, match_genus, of_names=True)
-    right = _pieces(entries, max_distance, match_genus, of_names=False)
-    right = right.withColumnsRenamed({"key": "entry_key", "body": "entry_body", "letters": "entry_letters"})
-    # Distances are measured on the part after a shared genus (with its space, so
-    # that a one-word name counts it): a common start does not change the edits.
+    kinds = sorted({kind for k in edits for kind in kinds_of(k)})
+    # A name grows by a factor of a hundred into keys: more work than its bytes
+    # tell. So names are spread over all partitions instead of being packed by size.
+    # Names, and then their keys, are written: the keys are read more than once, and
+    # the planner would carry their long expressions through every join before.
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    form = search_form(written(names.select("key", "edits"), "search-names").repartition(parts), index.match_genus)
+    left = name_keys(form.withColumn("letters", letters("body")), kinds)
+    left = written(left.select("key", "edits", "letters", "h"), "name-keys")
+    if index.keys is not None:
+        right = index.keys.filter(F.col("kind").isin(kinds))
+    else:
+        right = written(_entry_keys(index.entries, list(index.distances), index.match_genus, kinds), "entry-keys")
+    # The kind is part of the hash, so that the index is looked up by one column.
+    right = right.select(F.col("key").alias("entry_key"), F.col("letters").alias("entry_letters"), "h")
     # An edit changes two bits of the letters at most: pairs further apart are not
     # measured, and not listed either, since this is part of the join.
-    same = ["genus", "edits", "size", "place", "piece"]
-    found = right.withColumnsRenamed({c: f"entry_{c}" for c in same})
     apart = F.bit_count(F.col("letters").bitwiseXOR(F.col("entry_letters")))
-    shared = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"entry_{c}") for c in same])
-    pairs = left.join(found, shared & (apart <= 2 * F.col("edits")))
-    pairs = pairs.withColumn("distance", F.expr("levenshtein(body, entry_body, edits)"))
-    return pairs.filter(F.col("distance") >= 0).select("key", "entry_key", *quoted(payload), "distance")
-
-
-def _pieces(df: DataFrame, max_distance: float, match_genus: bool, of_names: bool) -> DataFrame:
-    # A name grows by a factor of ten or more into pieces, and each costs a few
-    # measured pairs: more work than its bytes tell. So names are spread over all
-    # partitions instead of being packed by size. (By a hash of the key, since a
-    # partitioning by the key itself would be taken for the one already there.)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartition(parts, F.hash("key"))
-    genus = F.substring_index("key", " ", 1) if match_genus else F.lit("")
-    skip = F.length(genus) + 1 if match_genus else F.lit(1)
-    body = F.substring(F.col("key"), skip, F.length("key"))
-    if of_names:
-        edits, pieces = edit_limit(F.col("key"), max_distance), F.expr(_NAME_PIECES)
-    else:
-        edits, pieces = F.explode(_possible_limits(F.length("key"), max_distance)), F.expr(_ENTRY_PIECES)
-    df = df.select("*", genus.alias("genus"), body.alias("body"), edits.alias("edits"), letters(body).alias("letters"))
-    df = df.withColumn("n", F.length("body"))
-    # inline gives no row for a name too short to have a piece.
-    return df.select(*quoted([c for c in df.columns if c != "n"]), F.inline(pieces))
-
-
-def letters(text: Column) -> Column:
-    """A long with two bits for each of the letters a to z: it occurs, and it
-    occurs twice or more. Adding or removing a letter changes one bit at most."""
-
-    def bits(place: int, letter: str) -> Column:
-        n = F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
-        one, two = 1 << (2 * place), 3 << (2 * place)
-        return F.when(n == 0, F.lit(0)).when(n == 1, F.lit(one)).otherwise(F.lit(two)).cast("long")
-
-    return reduce(lambda x, y: x.bitwiseOR(y), [bits(i, c) for i, c in enumerate(string.ascii_lowercase)])
-
-
-def _possible_limits(length: Column, max_distance: float) -> Column:
-    """Limits that a name within reach of an entry of this length can have."""
-    if max_distance >= 1:
-        return F.array(F.lit(int(max_distance)))
-    share = Fraction(str(max_distance))
-    a, b = F.lit(share.numerator), F.lit(share.denominator)
-    # A name of length m allows ceil(m a / b) edits and is at most that far off
-    # in length, so its limit is at most this:
-    most = F.ceil((length * a + b) / (b - a)).cast("int")
-    lengths = F.sequence(F.greatest(length - most, F.lit(1)), length + most)
-    allowed = F.transform(lengths, lambda m: F.struct(m.alias("m"), F.ceil(m * a / b).cast("int").alias("k")))
-    near = F.filter(allowed, lambda t: F.abs(t["m"] - length) <= t["k"])
-    return F.array_distinct(F.transform(near, lambda t: t["k"]))
-
-
-# Piece i (from 0) of a string of length L cut for k edits: all pieces have
-# L div (k+1) characters, the last L mod (k+1) of them one more.
-def _piece_size(length: str) -> str:
-    return f"({length} div (edits + 1) + IF(i >= edits + 1 - {length} % (edits + 1), 1, 0))"
-
-
-def _piece_start(length: str) -> str:
-    return f"(i * ({length} div (edits + 1)) + GREATEST(0, i - (edits + 1 - {length} % (edits + 1))))"
-
-
-_NO_PIECE = "named_struct('size', -1, 'place', -1, 'piece', '')"
-
-# An entry too short to fill its pieces has an empty one, which every name
-# holds: it is filed under its length alone.
-_ENTRY_PIECES = f"""
-CASE
-WHEN n <= edits THEN array(IF(edits <= {PLACED_PIECES_LIMIT},
-  named_struct('size', int(n), 'place', 0, 'piece', ''), {_NO_PIECE}))
-WHEN edits <= {PLACED_PIECES_LIMIT} THEN
-  transform(sequence(0, edits), i -> named_struct(
-    'size', int(n), 'place', int(i),
-    'piece', substring(body, int({_piece_start('n')} + 1), int({_piece_size('n')}))))
-ELSE array_distinct(transform(sequence(0, edits), i -> named_struct(
-    'size', -1, 'place', -1,
-    'piece', substring(body, int({_piece_start('n')} + 1), int({_piece_size('n')})))))
-END
-"""
+    pairs = tiled(left, right, apart <= 2 * F.col("edits"))
+    pairs = pairs.withColumn("distance", F.expr("levenshtein(key, entry_key, edits)")).filter("distance >= 0")
+    if index.match_genus:
+        pairs = pairs.filter(genus_of("key") == genus_of("entry_key"))
+    return pairs.select("key", "entry_key", "distance").distinct()
 
-# For an entry of length s, piece i can start only where at most i edits lie
-# before it and at most edits - i after it.
-_LOW = f"GREATEST(0, {_piece_start('s')} - i, {_piece_start('s')} + (n - s) - (edits - i))"
-_HIGH = f"LEAST(n - {_piece_size('s')}, {_piece_start('s')} + i, {_piece_start('s')} + (n - s) + (edits - i))"
-
-_NAME_PIECES = f"""
-array_distinct(CASE
-WHEN edits <= {PLACED_PIECES_LIMIT} THEN
-  flatten(transform(sequence(GREATEST(0, n - edits), n + edits), s ->
-    IF(s <= edits, array(named_struct('size', int(s), 'place', 0, 'piece', '')),
-      flatten(transform(sequence(0, edits), i ->
-        IF({_LOW} > {_HIGH}, array(),
-          transform(sequence(int({_LOW}), int({_HIGH})), at -> named_struct(
-            'size', int(s), 'place', int(i),
-            'piece', substring(body, int(at + 1), int({_piece_size('s')}))))))))))
-ELSE concat(
-  IF(n - edits <= edits, array({_NO_PIECE}), array()),
-  flatten(transform(
-    sequence(int(GREATEST(1, (n - edits) div (edits + 1))), int((n + edits) div (edits + 1) + 1)), w ->
-      IF(w > n, array(),
-        transform(sequence(0, int(n - w)), at -> named_struct(
-          'size', -1, 'place', -1, 'piece', substring(body, int(at + 1), int(w))))))))
-END)
-"""
+
+def tiled(names: DataFrame, entries: DataFrame, near: Column, most: int = TILE) -> DataFrame:
+    """Pairs of equal ``h`` that are ``near``, of which no task gets more than about
+    ``most`` from one key.
+
+    Names and entries of each key are counted, combined before the shuffle. Keys
+    with more pairs are few: their names and entries are dealt out over tiles of a
+    side of ``sqrt(most / 2)``, each name to a row of tiles and each entry to a column.
+    """
+    of_names = names.groupBy("h").agg(F.count(F.lit(1)).alias("names"))
+    costs = of_names.join(entries.groupBy("h").agg(F.count(F.lit(1)).alias("entries")), "h")
+    crowded = costs.filter(F.col("names") * F.col("entries") > most)
+    if crowded.isEmpty():
+        return _joined(names, entries, ["h"], near)
+    crowded = written(crowded, "crowded-keys")
+    left, right = dealt(names, entries, crowded, most)
+    rare = names.join(crowded.select("h"), "h", "left_anti")
+    return _joined(rare, entries, ["h"], near).unionByName(_joined(left, right, ["h", "tile"], near))
+
+
+def dealt(names: DataFrame, entries: DataFrame, crowded: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The names and the entries of crowded keys, each row once for every ``tile``
+    it belongs to."""
+    side = int((most / 2) ** 0.5)
+    grid = crowded.select(
+        "h",
+        F.ceil(F.col("names") / side).cast("int").alias("rows"),
+        F.ceil(F.col("entries") / side).cast("int").alias("columns"),
+    )
+
+    def of(df: DataFrame, key: str, own: str, other: str, tile: str) -> DataFrame:
+        mine = df.join(grid, "h").withColumn("own", F.pmod(F.xxhash64(key), F.col(own)))
+        across = mine.withColumn("across", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return across.withColumn("tile", F.expr(tile)).select(*df.columns, "tile")
+
+    left = of(names, "key", "rows", "columns", "own * columns + across")
+    return left, of(entries, "entry_key", "columns", "rows", "across * columns + own")
+
+
+def _joined(names: DataFrame, entries: DataFrame, on: list[str], near: Column) -> DataFrame:
+    other = entries.withColumnsRenamed({c: f"__e_{c}" for c in on})
+    for c in on:
+        near = near & (F.col(c) == F.col(f"__e_{c}"))
+    return names.join(other, near).drop(*on, *[f"__e_{c}" for c in on])

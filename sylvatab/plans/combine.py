@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sylvatab.operators.sets import union_by_name
 from sylvatab.operators.skew import quoted, skew_join
@@ -15,7 +16,11 @@ from sylvatab.plans.demography import (
 )
 from sylvatab.plans.rules import RuleBook
 from sylvatab.plans.taxa import name_status, resolved_names, resolved_taxa, submitted_taxa, unresolved_taxa
-from sylvatab.sources.tables import completeness, data_dictionary, write_csv, write_split, written
+from sylvatab.sources.tables import completeness, data_dictionary, read_csv, write_csv, write_split, written
+
+#: Tables that are split by outcome and site, and those of all sites in one.
+SPLIT = ("means", "medians", "taxa")
+COMBINED = ("site_table", "taxa_table", "means_table", "merged", "dictionary")
 
 # Meanings of the columns of the finished tables.
 MEANINGS = {
@@ -118,12 +123,46 @@ def full_run(
     return tables
 
 
-def write_database(tables: dict[str, DataFrame], path: str) -> None:
+def write_database(tables: dict[str, DataFrame], path: str, sites: list[str] | None = None) -> None:
     """Resolved and unresolved tables split by outcome and site; the combined
-    tables beside them."""
-    for kind in ("taxa", "means", "medians"):
+    tables beside them. With ``sites`` only these sites' folders are written anew:
+    the combined tables are then made of what :func:`read_database` reads."""
+    for kind in SPLIT:
         good = tables[kind].withColumn("outcome", F.lit("resolved"))
         bad = tables[f"{kind}_unresolved"].withColumn("outcome", F.lit("unresolved"))
-        write_split(good.unionByName(bad, allowMissingColumns=True), f"{path}/{kind}")
-    for kind in ("site_table", "taxa_table", "means_table", "merged", "dictionary"):
+        write_split(good.unionByName(bad, allowMissingColumns=True), f"{path}/{kind}", sites=sites)
+    for kind in COMBINED if sites is None else ():
         write_csv(tables[kind], f"{path}/full/{kind}")
+
+
+def read_database(spark: SparkSession, path: str, columns: dict[str, StructType]) -> dict[str, DataFrame]:
+    """The tables of a written database by name, with these columns: those of
+    all sites from their folders, and the combined ones."""
+    found = {}
+    for name, schema in columns.items():
+        if name in COMBINED:
+            found[name] = read_csv(spark, f"{path}/full/{name}", schema)
+            continue
+        kind = name.removesuffix("_unresolved")
+        outcome = "resolved" if name == kind else "unresolved"
+        # A folder's columns stand in the order they were written in.
+        own, other = columns[kind].fields, columns[f"{kind}_unresolved"].fields
+        fields = [*own, *(f for f in other if f.name not in columns[kind].names)]
+        split = StructType([*(f for f in fields if f.name != "site"), StructField("outcome", StringType()), columns[kind]["site"]])
+        rows = read_csv(spark, f"{path}/{kind}", split).filter(F.col("outcome") == outcome)
+        found[name] = rows.select(*quoted(schema.names))
+    return found
+
+
+def combine_written(tables: dict[str, DataFrame], sites: DataFrame, path: str) -> None:
+    """The combined tables made anew of the sites' tables that were read back."""
+    taxa, means = tables["taxa"], tables["means"]
+    whole = {
+        "site_table": combined_sites(sites),
+        "taxa_table": combined_taxa(taxa),
+        "means_table": combined_means(means),
+    }
+    whole["merged"] = merged(whole["site_table"], whole["taxa_table"], whole["means_table"])
+    whole["dictionary"] = dictionary({name: whole[name] for name in ("site_table", "taxa_table")})
+    for kind in COMBINED:
+        write_csv(whole[kind], f"{path}/full/{kind}")

@@ -5,12 +5,16 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from dataclasses import dataclass
+from functools import reduce
+from re import _parser as parser
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sylvatab.operators.skew import match_join
+
 # Rule kinds. ``value`` is a pattern for PATTERN, an accepted name for the
 # duplicate labels, a submitted name for the others, and a mode for CASE,
 # DUPLICATES and CODES.
@@ -67,6 +71,47 @@ def java_pattern(pattern: str) -> str:
     return re.sub(r"\[:(\w*):\]", spelled, pattern)
 
 
+def required_text(pattern: str) -> str:
+    """The longest text that everything a pattern matches contains; empty where
+    none is known. It is read off the parsed pattern: literals that follow one another
+    outside of choices and of parts that may be absent. Patterns that Python and
+    Java may read differently, and those with flags, have none."""
+    if re.search(r"\[:|\\[^.()\[\]{}*+?|\s-]|\(\?|&&|#", pattern):
+        return ""
+    try:
+        parsed = parser.parse(pattern)
+    except re.error:
+        return ""
+    texts = [""]
+
+    def read(items) -> None:
+        for kind, value in items:
+            if kind is parser.LITERAL:
+                texts[-1] += chr(value)
+            elif kind is parser.SUBPATTERN and value[1] == value[2] == 0:
+                read(value[3])
+            elif kind is parser.MAX_REPEAT and value[0] > 0:
+                texts.append("")
+                read(value[2])
+                texts.append("")
+            elif kind is not parser.AT:
+                texts.append("")
+
+    read(parsed)
+    return max(texts, key=len)
+
+
+def grams(text: Column, size: int) -> Column:
+    """All stretches of ``size`` characters of a text."""
+    last = F.length(text) - size + 1
+    each = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))
+    return F.when(last > 0, each).otherwise(F.array().cast("array<string>"))
+
+
+#: Patterns are looked up by the last so many characters of the text they require.
+GRAMS = (6, 3)
+
+
 @dataclass(frozen=True)
 class RuleBook:
     rules: tuple[Rule, ...]
@@ -118,11 +163,13 @@ class RuleBook:
         return joined.withColumn("kinds", F.coalesce("kinds", none))
 
     def patterns(self, spark: SparkSession) -> DataFrame:
-        """One row for each site with patterns: ``always`` and ``on_mismatch``, the
-        site's patterns of either kind joined to one, null where it has none."""
+        """One row for each site with patterns that require no text: ``always`` and
+        ``on_mismatch``, the site's patterns of either kind joined to one, null
+        where it has none."""
         joined: dict[str, dict[bool, list[str]]] = defaultdict(lambda: {False: [], True: []})
         for r in self.of(PATTERN):
-            joined[r.site][r.on_mismatch_only].append(f"(?:{java_pattern(r.value)})")
+            if len(required_text(r.value)) < min(GRAMS):
+                joined[r.site][r.on_mismatch_only].append(f"(?:{java_pattern(r.value)})")
         rows = [
             {"site": site, "always": "|".join(of[False]) or None, "on_mismatch": "|".join(of[True]) or None}
             for site, of in joined.items()
@@ -130,18 +177,74 @@ class RuleBook:
         schema = pa.schema({"site": pa.string(), "always": pa.string(), "on_mismatch": pa.string()})
         return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
-    def with_pattern_hit(self, names: DataFrame, name: str, mismatch: Column, out: str) -> DataFrame:
+    def pattern_index(self, spark: SparkSession) -> DataFrame:
+        """One row for each pattern that requires a text: site, ``gram`` (the end of
+        the text), ``required``, ``pattern`` and ``on_mismatch_only``."""
+        rows = set()
+        for r in self.of(PATTERN):
+            text = required_text(r.value)
+            size = next((n for n in GRAMS if n <= len(text)), None)
+            if size:
+                rows.add((r.site, text[-size:], text, java_pattern(r.value), r.on_mismatch_only))
+        names = ["site", "gram", "required", "pattern", "on_mismatch_only"]
+        types = [pa.string()] * 4 + [pa.bool_()]
+        columns = [pa.array([r[i] for r in sorted(rows)], t) for i, t in enumerate(types)]
+        return spark.createDataFrame(pa.Table.from_arrays(columns, names=names))
+
+    def pattern_hits(self, names: DataFrame, name: str) -> DataFrame:
+        """Which of the (site, name) pairs a pattern that requires a text matches:
+        site, name, ``__hit`` and ``__hit_on_mismatch``. A name meets only the patterns
+        that share a stretch of characters with it, and is tested where it holds
+        the required text."""
+        index = self.pattern_index(names.sparkSession)
+        text = F.col(f"`{name}`")
+        sizes = [n for n in GRAMS if n in {len(x) for x in self._sizes()}]
+        every = F.array_distinct(F.concat(*[grams(text, n) for n in sizes]))
+        pairs = names.select("site", text, F.explode(every).alias("gram")).join(index, ["site", "gram"])
+        tested = pairs.filter(F.contains(text, F.col("required"))).filter(F.rlike(text, F.col("pattern")))
+        return tested.groupBy("site", f"`{name}`").agg(
+            F.bool_or(~F.col("on_mismatch_only")).alias("__hit"), F.bool_or("on_mismatch_only").alias("__hit_on_mismatch")
+        )
+
+    def _sizes(self) -> set[str]:
+        """The ends by which patterns are looked up."""
+        texts = [required_text(r.value) for r in self.of(PATTERN)]
+        return {t[-n:] for t in texts for n in [next((n for n in GRAMS if n <= len(t)), 0)] if n}
+
+    def with_pattern_hit(
+        self, names: DataFrame, name: str, mismatch: Column, out: str, distinct: DataFrame | None = None
+    ) -> DataFrame:
         """Add ``out``: does a pattern of the row's site say the name is not to be
-        trusted. Patterns are a table joined by site, so the plan is as long for
-        one rule as for thousands. A rule for mismatches looks at those only."""
+        trusted. A rule for mismatches looks at those only.
+
+        Patterns are tables joined by site, so the plan is as long for one rule as
+        for thousands: those that require a text by an index of its end, the others
+        as one alternation for each site, which every name of it is tested with.
+        ``distinct`` has the site and name of all rows once, where that is at hand.
+        """
         if not self.of(PATTERN):
             return names.withColumn(out, F.lit(False))
-        joined = names.join(self.patterns(names.sparkSession), "site", "left")
         text = F.col(f"`{name}`")
-        hit = F.coalesce(F.rlike(text, F.col("always")), F.lit(False)) | F.coalesce(
-            mismatch & F.rlike(text, F.col("on_mismatch")), F.lit(False)
-        )
-        return joined.withColumn(out, hit).drop("always", "on_mismatch")
+        always, mismatched, added = [], [], []
+        joined = names
+        if self._sizes():
+            pairs = names.select("site", f"`{name}`").distinct() if distinct is None else distinct
+            joined = match_join(joined, self.pattern_hits(pairs, name), ["site", name], "left")
+            added += ["__hit", "__hit_on_mismatch"]
+            always.append(F.col("__hit"))
+            mismatched.append(F.col("__hit_on_mismatch"))
+        if any(len(required_text(r.value)) < min(GRAMS) for r in self.of(PATTERN)):
+            scanned = self.patterns(names.sparkSession).withColumnsRenamed({"always": "__always", "on_mismatch": "__on_mismatch"})
+            joined = joined.join(scanned, "site", "left")
+            added += ["__always", "__on_mismatch"]
+            always.append(F.rlike(text, F.col("__always")))
+            mismatched.append(F.rlike(text, F.col("__on_mismatch")))
+
+        def either(tests: list[Column]) -> Column:
+            return reduce(lambda x, y: x | y, [F.coalesce(t, F.lit(False)) for t in tests])
+
+        hit = either(always) | (F.coalesce(mismatch, F.lit(False)) & either(mismatched))
+        return joined.withColumn(out, hit).drop(*added)
 
     def appended(self, spark: SparkSession) -> DataFrame:
         """The rows that the rules add to the names without a match: site, Submitted_Name."""

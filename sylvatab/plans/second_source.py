@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sylvatab.functions.text import paste_na
 from sylvatab.operators.joins import keep_all_right, natural_join
-from sylvatab.operators.resolve import fuzzy_candidates, resolve_names
+from sylvatab.operators.resolve import Index, fuzzy_candidates, index_checklist, resolve_names
 from sylvatab.operators.sets import set_difference, union_by_name
 from sylvatab.operators.skew import match_join, quoted
 from sylvatab.operators.summaries import column_run, count_by
@@ -22,7 +22,7 @@ def binomials(source: DataFrame) -> DataFrame:
 
 
 def second_source_taxa(
-    source: DataFrame, checklist: DataFrame, retry_distance: float = 5, max_candidates: int = 1
+    source: DataFrame, checklist: DataFrame | Index, retry_distance: float = 5, max_candidates: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """(resolved names, names for review).
 
@@ -30,12 +30,14 @@ def second_source_taxa(
     identical, or when the wider search offers no more than ``max_candidates``
     entries. The others are listed with the number of candidates, 0 for none.
     """
-    # Both results are read from the two searches, so each is written once.
+    # Both searches read one index, and both results are read from the two
+    # searches, so each is written once.
+    index = checklist if isinstance(checklist, Index) else index_checklist(checklist, retry_distance)
     names = binomials(source)
-    exact = written(resolve_names(names, checklist, max_distance=0).drop("distance"), "exact-matches")
+    exact = written(resolve_names(names, index, max_distance=0).drop("distance"), "exact-matches")
     identical = exact.filter(F.col("`PL.comparison`") == "identical").withColumn("search", F.lit("exact"))
     others = set_difference(names.select("Submitted_Name"), identical.select("Submitted_Name"))
-    wider = written(fuzzy_candidates(others, checklist, retry_distance).drop("distance"), "wider-matches")
+    wider = written(fuzzy_candidates(others, index, retry_distance).drop("distance"), "wider-matches")
     counts = count_by(wider, "Submitted_Name")
     few = counts.filter(F.col("n") <= max_candidates).drop("n")
     fuzzy = match_join(wider, few, ["Submitted_Name"], "left_semi").withColumn("search", F.lit("fuzzy"))

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from sylvatab.functions.text import mentions, normalise_name_case
 from sylvatab.operators.joins import shared_columns
+from sylvatab.operators.pieces import edit_limit
 from sylvatab.operators.resolve import (
     MATCH_COLUMNS,
-    edit_limit,
+    Index,
     fuzzy_candidates,
     match_key,
     prepare_checklist,
@@ -68,13 +69,13 @@ def exclude_names(taxa: DataFrame, names: list[str]) -> tuple[DataFrame, DataFra
     return taxa.filter(listed), taxa.filter(~listed)
 
 
-def resolve_with_test(names: DataFrame, checklist: DataFrame, max_distance: float = 0.1) -> DataFrame:
+def resolve_with_test(names: DataFrame, checklist: DataFrame | Index, max_distance: float = 0.1) -> DataFrame:
     """Best match per name, and whether the match contains the name as submitted."""
     found = resolve_names(names, checklist, max_distance).drop("distance")
     return found.withColumn("mismatch_test", mentions(F.col("First_matched_Name"), F.col("Submitted_Name")))
 
 
-def review_list(matches: DataFrame, checklist: DataFrame, max_distance: float = 0.1) -> DataFrame:
+def review_list(matches: DataFrame, checklist: DataFrame | Index, max_distance: float = 0.1) -> DataFrame:
     """All candidates for the names whose match does not contain them."""
     return fuzzy_candidates(matches.filter(~F.col("mismatch_test")), checklist, max_distance)
 
@@ -212,7 +213,7 @@ def name_status(
     matched = matched.withColumn(
         "mismatch_test", mentions(F.col("First_matched_Name"), F.col("Submitted_Name"))
     )
-    matched = rules.with_pattern_hit(matched, "Submitted_Name", ~F.col("mismatch_test"), "pattern_hit")
+    matched = rules.with_pattern_hit(matched, "Submitted_Name", ~F.col("mismatch_test"), "pattern_hit", names)
     distrusted = F.array_contains("kinds", k.NAME) | F.col("pattern_hit")
     kept = matched.withColumn("kept", F.col("First_matched_Name").isNotNull() & ~distrusted).drop("kinds", "pattern_hit")
 

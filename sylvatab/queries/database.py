@@ -12,7 +12,9 @@ from sylvatab.plans.combine import (
     full_run,
     dictionary,
     merged,
+    read_database,
     stacked,
+    write_database,
 )
 from sylvatab.plans.demography import (
     demography_resolved,
@@ -433,6 +435,40 @@ SPLIT_SINK_SQL = f"""WITH {standin.status_sql()}
   SELECT NULLIF(Submitted_Name, 'NA') AS Submitted_Name, n_rows, issue, outcome, site FROM status"""
 
 
+def rerun_site(spark, sf):
+    """Names of all sites written, one site written again without what was not
+    resolved, and all read back."""
+    status = _taxa_tables(spark, sf)[2].select("Submitted_Name", "n_rows", "issue", "outcome", "site")
+    path = scratch_path(spark, "sites")
+    write_split(status, path)
+    again = status.filter("outcome = 'resolved'").withColumn("n_rows", F.col("n_rows") + 100)
+    write_split(again, path, sites=["Brand#11"])
+    schema = "Submitted_Name string, n_rows bigint, issue string, outcome string, site string"
+    return spark.read.csv(path, header=True, schema=schema, nullValue="NA")
+
+
+RERUN_SITE_SQL = f"""WITH {standin.status_sql()}
+  SELECT NULLIF(Submitted_Name, 'NA') AS Submitted_Name, n_rows + CASE WHEN site = 'Brand#11' THEN 100 ELSE 0 END AS n_rows,
+    issue, outcome, site FROM status WHERE site <> 'Brand#11' OR outcome = 'resolved'"""
+
+
+def database_read_back(spark, sf):
+    """Every table of the full run, written as the database and read back from it."""
+    tables = full_run(
+        measures(spark, sf),
+        measures(spark, sf, "medians"),
+        _sites(spark, sf),
+        checklist(spark, sf),
+        standin.rule_book(),
+    )
+    path = scratch_path(spark, "database")
+    write_database(tables, path)
+    return stacked(read_database(spark, path, {name: t.schema for name, t in tables.items()}))
+
+
+READ_BACK_SQL = f"SELECT * REPLACE (NULLIF(Submitted_Name, 'NA') AS Submitted_Name) FROM ({FULL_RUN_SQL}) t"
+
+
 QUERIES = {
     "coordinate_check": (coordinate_check, COORDINATE_SQL),
     "measure_flags": (measure_flags, MEASURE_FLAGS_SQL),
@@ -455,4 +491,6 @@ QUERIES = {
     "csv_round_trip": (csv_round_trip, CSV_SQL),
     "multi_file_scan": (multi_file_scan, MULTI_FILE_SQL),
     "split_sink": (split_sink, SPLIT_SINK_SQL),
+    "rerun_site": (rerun_site, RERUN_SITE_SQL),
+    "database_read_back": (database_read_back, READ_BACK_SQL),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sylvatab.operators.resolve import fuzzy_candidates, keep_resolved, resolve_names
+from sylvatab.operators.resolve import fuzzy_candidates, index_checklist, keep_resolved, resolve_names
 from sylvatab.operators.sets import union_by_name
 from sylvatab.operators.skew import skew_join
 from sylvatab.plans import rules as k
@@ -137,8 +137,10 @@ RESOLUTION_TEST_SQL = f"WITH {_TESTED_SQL} SELECT * FROM m"
 
 
 def mismatch_review(spark, sf):
-    found = _searched(_taxa(spark, sf), spark, sf)
-    return review_list(found, checklist(spark, sf))
+    """The search and the review after it, on one index of the checklist."""
+    index = index_checklist(checklist(spark, sf), 0.1)
+    found = written(resolve_with_test(_taxa(spark, sf), index), "matches")
+    return review_list(found, index)
 
 
 MISMATCH_REVIEW_SQL = f"""WITH {_TESTED_SQL} SELECT c.Submitted_Name, {MATCH_SQL.replace('"First', 'c."First').replace(', "', ', c."')},

@@ -222,7 +222,7 @@ NATURAL_FULL_SQL = f"""WITH {PARTLY_SQL} SELECT COALESCE(op.custkey, cp.custkey)
 
 def natural_full_star(spark, sf):
     _, nation, supplier = _star(spark, sf)
-    return natural_join(nation, supplier, "full")
+    return natural_join(nation, supplier, "full", balanced=True)
 
 
 NATURAL_FULL_STAR_SQL = f"""WITH {STAR_SQL} SELECT COALESCE(n.nationkey, s.nationkey) AS nationkey, n_name,

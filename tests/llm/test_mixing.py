@@ -11,12 +11,12 @@ SF = "/root/testdata/sf0.01"
 LABELS = "doc_id bigint, quality int, toxic int"
 
 
-def brute_force(posteriors, tokens, targets):
+def brute_force(posteriors, tokens, targets, keep_protected=False):
     """Rates of all documents, each with a row of its own."""
     has = tokens @ posteriors
     wanted = np.array(mixing.wanted_tokens(list(has), targets))
     protected = [mixing.DOMAINS.index(d) for d in mixing.PROTECTED]
-    floor = np.isin(posteriors.argmax(axis=1), protected).astype(float)
+    floor = np.isin(posteriors.argmax(axis=1), protected).astype(float) * keep_protected
     rates, before = np.ones(len(tokens)), None
     for _ in range(mixing.ROUNDS):
         now = (tokens * rates) @ posteriors
@@ -32,16 +32,17 @@ def brute_force(posteriors, tokens, targets):
     "targets",
     [mixing.TARGETS, {"clean": 0.5, "poor": 0.3, "toxic": 0.2}, {"clean": 0.0, "poor": 1.0, "toxic": 0.0}],
 )
-def test_fit_like_brute_force(spark, targets):
+@pytest.mark.parametrize("keep", [False, True])
+def test_fit_like_brute_force(spark, targets, keep):
     rng = np.random.default_rng(3)
     posteriors = np.round(rng.dirichlet([2, 0.6, 0.4], 200) * mixing.STEPS)
     posteriors /= posteriors.sum(axis=1, keepdims=True)
     tokens = rng.integers(0, 500, 200)
     rows = [(i, p.tolist(), int(t)) for i, (p, t) in enumerate(zip(posteriors, tokens, strict=True))]
     scored = spark.createDataFrame(rows, "id int, __posterior array<double>, __tokens bigint")
-    steps = mixing.fit(scored, targets)
-    got = scored.select("id", mixing.rate(F.col("__posterior"), steps).alias("rate")).collect()
-    want = brute_force(posteriors, tokens, targets)
+    steps = mixing.fit(scored, targets, keep)
+    got = scored.select("id", mixing.rate(F.col("__posterior"), steps, keep).alias("rate")).collect()
+    want = brute_force(posteriors, tokens, targets, keep)
     assert [r.rate for r in sorted(got)] == pytest.approx(want, abs=1e-6)
     # Nearer to the targets than no mixing at all.
     wanted = np.array(mixing.wanted_tokens(list(tokens @ posteriors), targets))
@@ -63,10 +64,10 @@ def test_query(spark):
 
 
 def test_held_out_labels(spark):
-    """Clean documents that taught nothing stay; most toxic ones go."""
+    """Clean documents that taught nothing stay where they are to; most toxic ones go."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    rows = mixing.report(docs, labels.filter("doc_id % 3 <> 0"))
+    rows = mixing.mixed(docs, labels.filter("doc_id % 3 <> 0"), keep_protected=True).withColumnRenamed("__copies", "copies")
     held = rows.join(labels.filter("doc_id % 3 = 0").withColumn("domain", mixing.domain_of()), "doc_id").collect()
     kept = {d: np.mean([r.copies > 0 for r in held if r.domain == d]) for d in mixing.DOMAINS}
     assert kept["clean"] > 0.99
@@ -74,16 +75,45 @@ def test_held_out_labels(spark):
     assert kept["poor"] < 0.5
 
 
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_targets_are_met(spark, sf):
+    """Expected tokens of every domain are within 1 % of all tokens of the wanted ones."""
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/sf{sf}/labels.parquet")
+    rows = {r.domain: r for r in mixing.balance(mixing.mixed(docs, labels)).collect()}
+    assert list(rows) == mixing.DOMAINS
+    assert all(abs(r.residual) < 0.01 for r in rows.values())
+    assert all(abs(r.expected / r.wanted - 1) < 0.01 for r in rows.values() if r.wanted)
+    assert rows["toxic"].expected < 0.1 * rows["toxic"].has
+
+
+def test_labels_in_any_order(spark):
+    rows = [(1, 1, 0), (1, 0, 0), (1, 0, 0), (2, 1, 0), (2, 0, 1), (3, 0, 0), (3, 1, 0), (3, None, None), (None, 1, 0)]
+    for given in (rows, rows[::-1]):
+        chosen = mixing.chosen_labels(spark.createDataFrame(given, LABELS)).collect()
+        assert {r[0]: r[1] for r in chosen} == {1: "poor", 2: "clean", 3: "clean"}
+
+
+def test_one_row_for_each_labelled_id(spark, monkeypatch):
+    """An id with very many rows teaches once."""
+    docs = spark.range(3000).selectExpr("IF(id < 2900, 1, id) AS doc_id", "concat('text ', id % 7) AS text")
+    labels = spark.createDataFrame([(1, 1, 0), (2950, 0, 0), (2951, 1, 1)], LABELS)
+    seen = []
+    monkeypatch.setattr(mixing, "written", lambda df, name: seen.append((name, df.count())) or df)
+    mixing.classified(docs, docs, labels, "text", "doc_id")
+    assert ("labelled", 3) in seen
+
+
 def test_mix_repeats_rows(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "word " * i, "x") for i in range(6)], "doc_id bigint, text string, copies string")
-    monkeypatch.setattr(mixing, "fit", lambda scored, targets: [[-1.5, 0.0, 0.0]])
+    monkeypatch.setattr(mixing, "fit", lambda scored, *_: [[-1.5, 0.0, 0.0]])
     none = spark.createDataFrame([], LABELS)
     rows = mixing.mix(docs, none)
     assert rows.columns == docs.columns
     assert {r.doc_id for r in rows.collect()} == set(range(6))
     assert 12 <= rows.count() <= 18  # a rate of 2.5
     monkeypatch.setattr(mixing, "PROTECTED", [])
-    monkeypatch.setattr(mixing, "fit", lambda scored, targets: [[2.0, 0.0, 0.0]])
+    monkeypatch.setattr(mixing, "fit", lambda scored, *_: [[2.0, 0.0, 0.0]])
     assert mixing.mix(docs, none).collect() == []
 
 

@@ -97,14 +97,7 @@ def test_odd_rows(spark, odd, nothing):
     assert quality.keep(clash, labels).columns == clash.columns
 
 
-def test_trusted_sample_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(quality, "TRUSTED", 3)
-    labels = spark.range(50).selectExpr("id doc_id", "1 quality", "0 toxic")
-    assert quality.trusted_ids(labels).count() == 3
-
-
-def test_all_trusted_documents_make_the_target(spark, monkeypatch):
-    monkeypatch.setattr(quality, "TRUSTED", 1, raising=False)
+def test_all_trusted_documents_make_the_target(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, 1, 0) for i in (0, 5, 7)] * 2, LABELS)
     want = scores(TEXTS, [i in (0, 5, 7) for i in range(len(TEXTS))])
@@ -112,6 +105,24 @@ def test_all_trusted_documents_make_the_target(spark, monkeypatch):
     assert got == pytest.approx(want, abs=1e-9)
 
 
+def test_same_plan_and_scores_with_and_without_broadcasts(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (5, 1, 0)], LABELS)
+    seen = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            plan = quality.bucket_counts(docs, labels)._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+            out = quality.report(docs, labels)
+            # No table of numbers in the plan.
+            assert len(out._jdf.queryExecution().toString()) < 200_000
+            seen.append(sorted(out.collect()))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen[0] == seen[1]
+
+
 def test_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}

@@ -1,5 +1,8 @@
 """Curation of a small table that has a case for each rule of the 13 sites."""
 
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from sylvatab.plans.demography import (
     with_interval_widths,
 )
 from sylvatab.plans.profile import check_coordinates, profile
-from sylvatab.plans.rules import Rule, RuleBook, java_pattern, read_rules
+from sylvatab.plans.rules import Rule, RuleBook, java_pattern, read_rules, required_text
 from sylvatab.plans.second_source import second_source_demography, second_source_taxa
 from sylvatab.plans.site_rules import PATTERNS, YASUNI_NAMES, site_rules, site_table
 from sylvatab.plans.taxa import (
@@ -165,6 +168,45 @@ def test_thousands_of_pattern_rules(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "pattern, text",
+    [
+        ("Shorea mac", "Shorea mac"), ("xx|aa", ""), ("sp[.]", "sp."), (r"sp\.", "sp."), ("abc?def", "def"), ("a(b", ""),
+        ("(abc|d)efg+hi", "ef"), ("^Ficus (c|d)arica$", "Ficus "), ("(abcd){2}xyz", "abcd"), ("x{0,3}yz", "yz"),
+        ("(?i)ficus", ""), ("a[[:punct:]]", ""), (r"\bficus", ""), ("", ""),
+    ],
+)
+def test_text_that_a_pattern_requires(pattern, text):
+    assert required_text(pattern) == text
+
+
+def test_patterns_like_one_by_one(spark):
+    """Indexed and scanned patterns, of both kinds, at several sites."""
+    patterns = ["Ficus c", "ca+rica$", "xx|aa", "sp[.]1", "^Aus (b|c)us", "a", "us b", "[[:digit:]]{2}", "é ü", "carica"]
+    rules = [Rule("ab"[i % 2], k.PATTERN, p, i % 3 == 0) for i, p in enumerate(patterns)] + [Rule("c", k.PATTERN, "Aus")]
+    values = ["Ficus carica", "Ficus caarica", "xx", "Aus sp.1", "Aus bus", "us b", "é ü", "12", "", None, "a", "nothing"]
+    given = [(s, v, f) for s in "abcd" for v in values for f in (True, False, None)]
+    names = spark.createDataFrame(given, "site string, n string, found boolean")
+    out = RuleBook(tuple(rules)).with_pattern_hit(names, "n", ~F.col("found"), "hit")
+    assert out.columns == [*names.columns, "hit"]
+
+    def hit(site, name, found):
+        mine = [r for r in rules if r.site == site and name is not None]
+        return any(re.search(r.value.replace("[[:digit:]]", "[0-9]"), name) and (not r.on_mismatch_only or found is False) for r in mine)
+
+    assert rows(out) == sorted(((*g, hit(*g)) for g in given), key=repr)
+
+
+def test_patterns_cost_like_a_literal_filter(spark):
+    """5,000 patterns and 100,000 names: each name meets the patterns whose text it holds."""
+    book = RuleBook(tuple(Rule("a", k.PATTERN, f"^Aus b{i:05d}(us|um)?$") for i in range(5000)))
+    names = spark.range(100_000).selectExpr("'a' AS site", "concat('Aus b', lpad(string(id * 7 % 100000), 5, '0'), 'us') AS n")
+    start = time.perf_counter()
+    out = book.with_pattern_hit(names, "n", F.lit(False), "hit")
+    assert out.filter("hit").count() == 5000
+    assert time.perf_counter() - start < 30
+
+
 def test_a_name_with_very_many_rows(spark, done):
     taxa, status = done
     many = status.withColumn("n_rows", F.lit(3_000_000_000))

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sylvatab.operators.joins import join_keep_right, members_of, natural_join, non_members_of
 from sylvatab.operators.sets import append_rows, set_difference, union_by_name
@@ -164,3 +165,29 @@ def test_histograms_of_a_constant(spark, value):
     assert [tuple(r) for r in histogram(same, "x", 4).collect()] == [(0, value, 5)]
     (one,) = pretty_histogram(same, "x", 4).collect()
     assert one.lower <= value <= one.upper and one.upper > one.lower and one.n == 5
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_joins_in_a_chain_keep_their_condition(spark, tables, hot, how):
+    """A row without a partner has nulls that a later join must not take for constants."""
+    left, right = tables
+    third = spark.createDataFrame([("x", 1), (None, 2), ("q", 3)], "w string, n int")
+    joined = natural_join(natural_join(left, right, how, balanced=True), third, how, balanced=True)
+    plain = natural_join(natural_join(left, right, how), third, how)
+    assert rows(joined.select("k", "g", "v", "w", "n")) == rows(plain.select("k", "g", "v", "w", "n"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    anti = joined.join(third.withColumnRenamed("w", "z"), F.col("w").eqNullSafe(F.col("z")), "left_anti")
+    assert "NestedLoop" not in anti._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left", "full"])
+@pytest.mark.parametrize("large", ["left", "right"])
+def test_a_hot_key_of_either_side_of_an_outer_join_is_split(spark, hot, how, large):
+    big = spark.range(0, 4000, 1, 8).selectExpr("IF(id % 10 < 9, 1, id) AS k", "id AS v")
+    small = spark.range(0, 4000, 1, 8).selectExpr("id AS k", "id AS w")
+    joined = natural_join(*((big, small) if large == "left" else (small, big)), how, balanced=True)
+    n = joined.count()
+    assert n == {("left", "left"): 4000, ("left", "right"): 7599, ("right", "left"): 7599}.get((how, large), n)
+    joined.collect()
+    assert "skewed" in joined._jdf.queryExecution().executedPlan().toString()

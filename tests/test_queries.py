@@ -1,10 +1,12 @@
 """Every registered query against its SQL, and the shape of its plan."""
 
+import sys
+
 import pytest
 from compare import compare
 from conftest import SF
 
-from __spark_entry__ import entry
+from __spark_entry__ import entry, queries
 from sylvatab.queries.registry import QUERIES
 
 # Operators that no plan may hold: quadratic joins and Python per row.
@@ -15,6 +17,15 @@ def test_every_query_has_sql():
     assert all(sql for _, sql in QUERIES.values())
 
 
+@pytest.mark.parametrize("missing", ["zstandard", "sylvatab.llm", "public_tokenizers"])
+def test_library_works_without_the_text_operators(missing, monkeypatch):
+    for module in [m for m in sys.modules if m.startswith("sylvatab.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, module)
+    monkeypatch.setitem(sys.modules, missing, None)
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(queries()) >= set(QUERIES)
+
+
 def test_flagship(spark):
     assert entry(spark).count() > 0
 

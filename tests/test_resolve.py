@@ -5,14 +5,19 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from sylvatab.operators import resolve
+from sylvatab.operators.pieces import edit_limit
 from sylvatab.operators.resolve import (
+    Index,
     close_pairs,
-    edit_limit,
+    dealt,
     entry_key,
     fuzzy_candidates,
+    index_checklist,
     keep_resolved,
     match_key,
     resolve_names,
+    tiled,
 )
 
 SCHEMA = (
@@ -141,8 +146,12 @@ def brute(asked, entries, share, genus):
 
 def pairs(spark, asked, entries, share, genus):
     left = spark.createDataFrame([(a,) for a in asked], "key string")
+    left = left.withColumn("edits", edit_limit(F.col("key"), share)).filter("edits > 0")
     right = spark.createDataFrame([(b,) for b in entries], "key string")
-    return {tuple(r) for r in close_pairs(left, right, share, genus).collect()}
+    longest = left.agg(F.max("edits")).first()[0] or 0
+    found = close_pairs(left, Index(right, None, (share,), genus), range(1, longest + 1)).collect()
+    assert len(found) == len(set(found))
+    return {tuple(r) for r in found}
 
 
 def some_names(seed, n, lengths):
@@ -186,3 +195,93 @@ word = st.text(alphabet="abé", min_size=0, max_size=9)
 def test_any_words(spark, a, b, share):
     asked, entries = ["G " + w for w in sorted(a)], ["G " + w for w in sorted(b)]
     assert pairs(spark, asked, entries, share, True) == brute(asked, entries, share, True)
+
+
+def as_checklist(spark, keys):
+    return spark.createDataFrame([entry(k, "synonym" if i % 3 else "accepted") for i, k in enumerate(keys)], SCHEMA)
+
+
+@pytest.mark.parametrize("share", [0.1, 0.3, 5])
+def test_rising_distance_equals_brute_force(spark, share):
+    asked, entries = some_names(11, 60, [3, 6, 12, 30, 50])
+    listed = as_checklist(spark, entries)
+    rank = {r["Input.Taxon"]: (r["Status"] != "accepted") for r in listed.collect()}
+    wanted = {}
+    for a, b, d in brute(asked, entries, share, True):
+        wanted[a] = min(wanted.get(a, (99,)), (d, rank[b], b))
+    got = best(resolve_names(names(spark, *asked), listed, share))
+    assert got == {a: (b, d) for a, (d, _, b) in wanted.items()}
+
+
+def test_best_match_meets_fewer_pairs_than_all_candidates(spark, monkeypatch):
+    """Names found nearby are not searched further away."""
+    asked, entries = some_names(5, 60, [12, 25])
+    seen = []
+
+    def counted(names, *args):
+        seen.append(names.count())
+        return close_pairs(names, *args)
+
+    monkeypatch.setattr(resolve, "close_pairs", counted)
+    found = resolve_names(names(spark, *asked), as_checklist(spark, entries), 5).count()
+    assert found and len(seen) == 2 and seen[1] < seen[0]
+
+
+@pytest.mark.parametrize("genus", [True, False])
+def test_one_index_for_several_searches(spark, genus):
+    asked, entries = some_names(9, 50, [4, 9, 20])
+    listed, given = as_checklist(spark, entries), names(spark, *asked)
+    index = index_checklist(listed, 0.1, 5, match_genus=genus)
+    for share in (0, 0.1, 5):
+        assert best(resolve_names(given, index, share, genus)) == best(resolve_names(given, listed, share, genus))
+        one, two = fuzzy_candidates(given, index, share, genus), fuzzy_candidates(given, listed, share, genus)
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    with pytest.raises(ValueError, match="other searches"):
+        resolve_names(given, index, 0.2, genus)
+
+
+def test_the_index_is_not_shuffled(spark, hot):
+    """Names are shuffled to the keys of the checklist, which stay where they are."""
+    asked, entries = some_names(9, 50, [4, 9, 20])
+    index = index_checklist(as_checklist(spark, entries), 5)
+    left = names(spark, *asked).select(F.col("Submitted_Name").alias("key"), F.lit(5).alias("edits"))
+    found = close_pairs(left, index, range(5, 6))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line)
+    above = []
+    for line in reversed(plan.splitlines()[:scan]):
+        above.append(line)
+        if "SortMergeJoin" in line:
+            break
+    assert not any("Exchange" in line for line in above)
+
+
+def test_crowded_keys_are_dealt_over_tiles(spark):
+    """One key with all names and all entries: no tile holds more pairs than stated."""
+    most = 5_000
+    left = spark.range(900).selectExpr("concat('n', id) AS key", "1 AS edits", "0L AS letters", "IF(id < 700, 1L, id) AS h")
+    right = spark.range(800).selectExpr("concat('e', id) AS entry_key", "0L AS entry_letters", "IF(id < 600, 1L, id) AS h")
+    crowded = spark.createDataFrame([(1, 700, 600)], "h bigint, names bigint, entries bigint")
+    names_dealt, entries_dealt = dealt(left, right, crowded, most)
+    a, b = (d.groupBy("tile").count().withColumnRenamed("count", c) for d, c in ((names_dealt, "a"), (entries_dealt, "b")))
+    cells = a.join(b, "tile").selectExpr("a * b AS pairs").collect()
+    assert len(cells) >= 700 * 600 / most and max(r.pairs for r in cells) <= most
+    assert sum(r.pairs for r in cells) == 700 * 600
+    found = tiled(left, right, F.lit(True), most).select("key", "entry_key")
+    plain = left.join(right, "h").select("key", "entry_key")
+    assert found.count() == found.distinct().count() == plain.count()
+    assert found.exceptAll(plain).isEmpty()
+
+
+def test_a_genus_of_near_equal_names(spark):
+    """20,000 names of one genus that differ in a few characters."""
+    base = spark.range(20_000).select(F.concat(F.lit("Aus b"), F.lpad((F.col("id") * 7919 % 100_003).cast("string"), 6, "0"), F.lit("us")).alias("key"))
+    found = close_pairs(base.withColumn("edits", F.lit(1)), Index(base, None, (1,), True), range(1, 2))
+    near = found.filter("distance = 1")
+    # Every name with each of the 54 texts that differ in one digit and, with one
+    # digit moved, some that need two edits only.
+    listed = {r.key for r in base.collect()}
+    some = sorted(listed)[::1000]
+    wanted = {(a, b) for a in some for i in range(5, 11) for d in "0123456789" if (b := a[:i] + d + a[i + 1 :]) != a and b in listed}
+    assert {(r.key, r.entry_key) for r in near.filter(F.col("key").isin(some)).collect()} == wanted

@@ -11,6 +11,7 @@ from sylvatab.sources.tables import (
     read_table,
     scratch_path,
     write_csv,
+    write_sites,
     write_split,
     written,
 )
@@ -131,3 +132,67 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path):
 def test_each_application_has_its_own_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
     assert scratch_path(spark, "x").startswith(f"{folder}/sylvatab-{spark.sparkContext.applicationId}/x-")
+
+
+def test_no_shuffle_between_scan_and_rows(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / f"{i}.txt").write_text("site latin\nbci x\n")
+    one = tmp_path / "0.txt"
+    for path in (tmp_path, one):
+        plan = read_table(spark, str(path), T.StructType(SCHEMA.fields[:2]))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    (tmp_path / "4.txt").write_text("latin site\nx bci\n")
+    two = read_table(spark, str(tmp_path), T.StructType(SCHEMA.fields[:2]))
+    assert "Exchange" not in two._jdf.queryExecution().executedPlan().toString() and two.count() == 5
+
+
+def test_header_of_a_large_file(spark, tmp_path):
+    spark.range(0, 200_000, 1, 1).selectExpr("concat('site', id) AS site", "'x' AS latin").write.csv(
+        str(tmp_path / "t"), sep=" ", header=True
+    )
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        got = read_table(spark, str(tmp_path / "t"), T.StructType(SCHEMA.fields[:2]))
+        assert got.rdd.getNumPartitions() > 3 and got.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_unwanted_files_are_not_opened(spark, tmp_path):
+    (tmp_path / "a b_taxa.csv").write_text("x,y\n1,a\n")
+    write_csv(spark.createDataFrame([(5, "c")] * 3, "x int, y string"), str(tmp_path / "b_taxa.csv"))
+    (tmp_path / "a_taxa_unresvd.csv").mkdir()
+    # A file that can't be read as text at all would fail the scan.
+    (tmp_path / "a_taxa_unresvd.csv" / "part.gz").write_bytes(b"no gzip")
+    schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.StringType())])
+    got = read_csv_set(spark, str(tmp_path), "taxa", r"unresvd\.csv", schema)
+    assert rows(got) == [(1, "a"), (5, "c"), (5, "c"), (5, "c")]
+
+
+def test_one_site_anew(spark, tmp_path):
+    path = str(tmp_path / "sites")
+    schema = "v string, outcome string, site string"
+    first = [("a", "resolved", "s1"), ("b", "unresolved", "s1"), ("c", "resolved", "s 2"), ("d", "resolved", "s/3")]
+    write_split(spark.createDataFrame(first, schema), path)
+
+    def back():
+        return rows(spark.read.csv(path, header=True, schema=schema))
+
+    assert back() == sorted(first)
+    write_split(spark.createDataFrame([("e", "resolved", "s1"), ("x", "resolved", "other")], schema), path, sites=["s1"])
+    assert back() == sorted([*first[2:], ("e", "resolved", "s1")])
+    write_sites(spark.createDataFrame([("f", "unresolved", "s/3")], schema), path, ["s/3"], ["outcome", "site"])
+    assert back() == sorted([first[2], ("e", "resolved", "s1"), ("f", "unresolved", "s/3")])
+    assert {r.site for r in spark.read.json(f"{path}/_runs").collect()} == {"s1", "s/3"}
+
+
+def test_a_failed_run_leaves_the_old_site(spark, tmp_path):
+    path = str(tmp_path / "sites")
+    schema = "v string, outcome string, site string"
+    write_split(spark.createDataFrame([("a", "resolved", "s1")], schema), path)
+    bad = spark.createDataFrame([("b", "resolved", "s1")], schema).selectExpr("IF(v = 'b', raise_error('stop'), v) AS v", "outcome", "site")
+    with pytest.raises(Exception, match="stop"):
+        write_split(bad, path, sites=["s1"])
+    assert rows(spark.read.csv(path, header=True, schema=schema)) == [("a", "resolved", "s1")]
+    assert not (tmp_path / "sites" / "_runs").exists()
