@@ -249,9 +249,12 @@ def close_pairs(names: DataFrame, index: Index, edits: range) -> DataFrame:
     # measured, and not listed either, since this is part of the join.
     apart = F.bit_count(F.col("letters").bitwiseXOR(F.col("entry_letters")))
     pairs = tiled(left, right, apart <= 2 * F.col("edits"))
-    pairs = pairs.withColumn("distance", F.expr("levenshtein(key, entry_key, edits)")).filter("distance >= 0")
+    distance = F.expr("levenshtein(key, entry_key, edits)")
     if index.match_genus:
-        pairs = pairs.filter(genus_of("key") == genus_of("entry_key"))
+        # The hash tells genera apart already; a test by itself would become a second
+        # key of the join, for which the index would have to be shuffled.
+        distance = F.when(genus_of("key") == genus_of("entry_key"), distance).otherwise(-1)
+    pairs = pairs.withColumn("distance", distance).filter("distance >= 0")
     return pairs.select("key", "entry_key", "distance").distinct()
 
 
