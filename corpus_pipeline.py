@@ -22,10 +22,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites stay in one document only; a document that
-    loses all it has goes, since each of its lines stands where it was first."""
+    """Lines that stand on many sites stay in one document only. A document that
+    loses all it has goes, since each of its lines stands where it was first, and so
+    does a near copy of one that keeps the lines they share: what is left of it is
+    no document, and too little for the next stage to know it by."""
     emptied = (F.col("__gone") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    left = lines.dedup(docs).filter(~F.coalesce(emptied, F.lit(False)))
+    left = lines.dedup(docs, copies=True).filter(~F.coalesce(emptied, F.lit(False)) & ~F.col("__copy"))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
