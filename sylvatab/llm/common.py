@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker holds as words at one time.
@@ -16,6 +16,11 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it stands there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of a batch with about ``SLICE_BYTES`` of text each (one row at
     least), and the texts as UTF-8; a null text is empty."""

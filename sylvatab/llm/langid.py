@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from sylvatab.llm.common import per_text
 
 UNKNOWN = "und"
-#: At most so many texts are taken for a language, and so many bytes of each:
-#: the dictionaries hold ``SAMPLES * SAMPLE_BYTES`` bytes a language at most.
+#: At most so many texts are taken for a language, and of each a window of so many
+#: bytes, placed by the text's hash: the dictionaries hold ``SAMPLES * SAMPLE_BYTES`` bytes a language at most.
 SAMPLES, SAMPLE_BYTES = 128, 2048
 #: Texts are compressed in blocks of so many bytes.
 BLOCK = 2048
@@ -51,8 +51,10 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
     ).filter("lang is not null and length(text) > 0")
     slot = F.pmod("hash", F.lit(SAMPLES)).alias("slot")
     chosen = rows.groupBy("lang", slot).agg(F.min("hash").alias("hash")).drop("slot")
-    start = F.substring("text", 1, SAMPLE_BYTES).alias("text")
-    texts = rows.join(F.broadcast(chosen), ["lang", "hash"], "left_semi").select("lang", "hash", start)
+    # A text's window lies anywhere in it, by its hash.
+    start = F.pmod(F.xxhash64(F.lit(1), "text"), F.greatest(F.length("text") - SAMPLE_BYTES + 1, F.lit(1)))
+    window = F.substr("text", start.cast("int") + 1, F.lit(SAMPLE_BYTES)).alias("text")
+    texts = rows.join(F.broadcast(chosen), ["lang", "hash"], "left_semi").select("lang", "hash", window)
     found: dict[str, list[bytes]] = {}
     for row in sorted(texts.distinct().collect()):
         found.setdefault(row["lang"], []).append(row["text"].lower().encode()[:SAMPLE_BYTES])

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylvatab.llm.common import let
 from sylvatab.sources.tables import written
 
 BLANK = r"[\x20\x09-\x0D]+"
@@ -35,11 +36,6 @@ PRIOR = 10 * BUCKETS
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often it stands there."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words(text: Column) -> Column:
     """The words of a text; none for null."""
     parts = F.split(F.coalesce(text, F.lit("")), BLANK)
@@ -165,14 +161,16 @@ def score(hashes: Column, ratios: Column) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All columns of ``docs`` and one more, ``__quality``: a struct of the base
     counts, ``base_failed``, ``score`` and ``kept``. Clashing names stay apart."""
-    # One cell, which plans refer to: as a constant it would stand in each of their descriptions.
+    # One cell, which plans refer to: as a constant it would stand in each of their
+    # descriptions. A column first, since functions of arrays take no subquery.
     ratios = written(log_ratios(bucket_counts(docs, labels, text, key)), "ratios").scalar()
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     counted = (
         docs.withColumn("__words", words(content))
         .withColumn("__hashes", F.transform("__words", lambda w: F.xxhash64(w)))
         .withColumn("__base", F.struct(*base_counts(content, F.col("__words"), F.col("__hashes"))))
-        .withColumn("__score", score(F.col("__hashes"), ratios))
+        .withColumn("__ratios", ratios)
+        .withColumn("__score", score(F.col("__hashes"), F.col("__ratios")))
     )
     base, scored = F.col("__base"), F.col("__score")
     failed = (base["n_words"] < LEAST_WORDS) | (100 * base["n_repeat_words"] > MOST_REPEATED * base["n_words"])
@@ -185,7 +183,7 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     # As a generator's row: a filter on the verdict is not moved below it, where
     # it would compute the words again for every word.
     judged = counted.select("*", F.explode(F.array(verdict)).alias("__quality"))
-    return judged.drop("__words", "__hashes", "__base", "__score")
+    return judged.drop("__words", "__hashes", "__base", "__ratios", "__score")
 
 
 def keep(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -21,7 +21,7 @@ from sylvatab.llm import (
     simhash,
     urls,
 )
-from sylvatab.llm.common import documents
+from sylvatab.llm.common import documents, let
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -129,10 +129,10 @@ def made_periodic(docs: DataFrame) -> DataFrame:
             )
 
         g = F.floor(h / 10)
-        return quality.let(F.struct((g % n).alias("a"), g.alias("g")), from_place)
+        return let(F.struct((g % n).alias("a"), g.alias("g")), from_place)
 
     words = quality.words(F.col("text"))
-    changed = F.array_join(quality.let(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(w)), " ")
+    changed = F.array_join(let(words, lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(w)), " ")
     return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
 
 

@@ -29,7 +29,8 @@ from sylvatab.sources.tables import written
 ALLOW, BLOCK = "allow", "block"
 #: Rules and their verdicts. Fixed values.
 RULES = {"net/": BLOCK, "example.net/en/": ALLOW, "example.com/de/": BLOCK, "org/fr/": ALLOW}
-#: The trees are fitted on about so many URLs at most that have a rule, chosen by hash.
+#: The trees are fitted on about so many distinct URLs at most that have a rule, chosen
+#: by hash; each weighs as much as it has rows.
 TRAINED_ON = 20_000
 TREES, DEPTH = 10, 3
 #: Added to the counts behind a share of blocked URLs, half to each verdict.
@@ -110,7 +111,7 @@ def with_shares(urls: DataFrame, tables: list[DataFrame]) -> DataFrame:
 def fit(learnt: DataFrame) -> PipelineModel:
     inputs = [*FEATURES, *[f"{s}_share" for s in SUFFIXES]]
     trees = GBTClassifier(
-        labelCol="blocked", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=1, checkpointInterval=-1
+        labelCol="blocked", featuresCol="features", weightCol="rows", maxIter=TREES, maxDepth=DEPTH, seed=1, checkpointInterval=-1
     )
     labelled = learnt.withColumn("blocked", (F.col("known") == BLOCK).cast("double"))
     return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="features"), trees]).fit(labelled)
@@ -127,14 +128,16 @@ def judge(pages: DataFrame, rules: dict[str, str] = RULES, key: str = "page_id",
     urls = lexical(known)
 
     decided = known.filter("known is not null")
-    counts = {r["known"]: r["n"] for r in decided.groupBy("known").agg(F.count(F.lit(1)).alias("n")).collect()}
+    distinct = decided.groupBy("known").agg(F.approx_count_distinct("url", 0.01).alias("n"))
+    counts = {r["known"]: r["n"] for r in distinct.collect()}
     if len(counts) < 2:
         judged = known.withColumn("p_block", F.lit(None).cast("double"))
     else:
         share = min(1.0, TRAINED_ON / sum(counts.values()))
         chosen = F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < share * (1 << 20)
+        once = decided.filter(chosen).groupBy("url", "host", "path", "known").agg(F.count(F.lit(1)).alias("rows"))
         # Written once: every tree reads it again. Its size is bounded, so few files do.
-        learnt = written(urls.filter("known is not null").filter(chosen).coalesce(8), "url-sample")
+        learnt = written(lexical(once.repartition(8)), "url-sample")
         tables = [shares(urls, s) for s in SUFFIXES]
         model = fit(with_shares(learnt, tables))
         scored = model.transform(with_shares(urls, tables))
