@@ -2,7 +2,7 @@
 
 A classifier learnt from labelled documents gives each document a posterior
 over domains. Nonnegative rates for all documents are fitted by projected
-gradient, so that the expected tokens of each domain (rate x tokens x posterior)
+gradient with momentum, so that the expected tokens of each domain (rate x tokens x posterior)
 come closest to the targets in least squares, each domain in units of what it
 has. ``keep_protected`` gives a document whose likeliest domain is protected a
 rate of 1 at least, for stages that are to keep such documents; the totals then
@@ -26,12 +26,15 @@ Repeated rows have equal rates and equal copies.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylvatab.llm.common import let
 from sylvatab.sources.tables import written
 
 #: Domains of the labels, in this order.
@@ -125,19 +128,31 @@ def least_rate(posterior: Column) -> Column:
     return F.when(likeliest.isin([DOMAINS.index(d) + 1 for d in PROTECTED]), 1.0).otherwise(0.0)
 
 
-def rate(posterior: Column, steps: list[list[float]], keep_protected: bool = False) -> Column:
-    """The rate after these steps: each takes off the posterior's product with the
-    scaled gradient, and projects on what the rate may be."""
+def walked(posterior: Column, steps: list[list[float]], keep_protected: bool = False) -> Column:
+    """The rate after these steps, ``x``, and ``y``, the place that the next gradient
+    is taken at. A step is the scaled gradient and the momentum: it takes the
+    posterior's product with the gradient off ``y``, projects on what the rate may
+    be, and goes on in the direction that the rate has moved."""
     floor = least_rate(posterior) if keep_protected else F.lit(0.0)
-    if not steps:
-        return F.greatest(F.lit(1.0), floor)
+    n = len(DOMAINS)
+
+    def step(now: Column, by: Column) -> Column:
+        products = F.zip_with(posterior, F.slice(by, 1, n), lambda p, g: p * g)
+        change = F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
+
+        def moved(x: Column) -> Column:
+            return F.struct(x.alias("x"), (x + F.get(by, F.lit(n)) * (x - now["x"])).alias("y"))
 
-    def step(now: Column, gradient: Column) -> Column:
-        change = F.aggregate(F.zip_with(posterior, gradient, lambda p, g: p * g), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(floor, F.lit(0.0), now - change)
+        return let(F.greatest(floor, F.lit(0.0), now["y"] - change), moved)
 
-    history = F.array(*[F.array(*[F.lit(g) for g in s]) for s in steps])
-    return F.aggregate(history, F.lit(1.0), step)
+    history = F.array(*[F.array(*[F.lit(g) for g in s]) for s in steps]) if steps else F.lit([]).cast("array<array<double>>")
+    start = F.greatest(F.lit(1.0), floor)
+    return F.aggregate(history, F.struct(start.alias("x"), start.alias("y")), step)
+
+
+def rate(posterior: Column, steps: list[list[float]], keep_protected: bool = False) -> Column:
+    """The rate after these steps."""
+    return walked(posterior, steps, keep_protected)["x"]
 
 
 def wanted_tokens(has: list[float], targets: dict[str, float]) -> list[float]:
@@ -149,7 +164,8 @@ def wanted_tokens(has: list[float], targets: dict[str, float]) -> list[float]:
 
 
 def fit(scored: DataFrame, targets: dict[str, float], keep_protected: bool = False) -> list[list[float]]:
-    """The steps that lead to the rates, from ``__posterior`` and ``__tokens``."""
+    """The steps that lead to the rates, from ``__posterior`` and ``__tokens``: in each
+    the gradient for every domain and the momentum, which grows towards 1."""
     cells = scored.groupBy("__posterior").agg(F.sum("__tokens").alias("tokens"))
     cells = written(cells, "cells")
 
@@ -160,14 +176,17 @@ def fit(scored: DataFrame, targets: dict[str, float], keep_protected: bool = Fal
     has = totals(F.lit(1.0))
     wanted = wanted_tokens(has, targets)
     steps: list[list[float]] = []
-    before = None
+    before, pace = None, 1.0
     for _ in range(ROUNDS):
-        now = has if not steps else totals(rate(F.col("__posterior"), steps, keep_protected))
+        now = has if not steps else totals(walked(F.col("__posterior"), steps, keep_protected)["y"])
         if before and max(abs(a - b) for a, b in zip(now, before, strict=True)) <= SETTLED * max(sum(has), 1.0):
             break
         before = now
         # The scaled problem's largest eigenvalue is 1, since posteriors sum to 1: so is the step.
-        steps.append([(a - w) / h if h > 0 else 0.0 for a, w, h in zip(now, wanted, has, strict=True)])
+        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        gradient = [(a - w) / h if h > 0 else 0.0 for a, w, h in zip(now, wanted, has, strict=True)]
+        steps.append([*gradient, (pace - 1) / faster])
+        pace = faster
     return steps
 
 

@@ -2,6 +2,8 @@
 
 import zlib
 
+import zstandard
+
 from sylvatab.llm import langid
 from sylvatab.llm.queries import op3_language
 
@@ -20,6 +22,31 @@ def test_held_out_accuracy(spark):
     assert sum(truth[r.doc_id] == r.lang_pred for r in firm) / len(firm) > 0.98
 
 
+def test_like_plain_compression(spark):
+    """Sizes by plain zstandard with the same dictionaries: prediction, score and rejection."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    learnt = langid.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in langid.classify(docs, learnt, keep=["doc_id"]).collect():
+        text = (texts[r.doc_id] or "").lower().encode()
+        sizes = {}
+        for name, content in sorted(learnt.items()):
+            given = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            one = zstandard.ZstdCompressor(langid.LEVEL, given, write_content_size=False, write_dict_id=False)
+            sizes[name] = sum(len(one.compress(text[i : i + langid.BLOCK])) for i in range(0, len(text), langid.BLOCK))
+        best, second = sorted(sizes, key=lambda k: (sizes[k], k))[:2]
+        margin = (sizes[second] - sizes[best]) / sizes[second]
+        assert (r.lang_pred, r.score, r.rejected) == (best, margin, margin < langid.MARGIN)
+
+
+def test_windows_lie_anywhere(spark):
+    """Learnt are windows within the texts, of the stated size, and not their starts."""
+    rows = spark.range(400).selectExpr("concat('start', repeat(concat(' ', id, 'z'), 3000)) text", "'x' lang")
+    parts = langid.learn(rows)["x"].split(b"\n")
+    assert all(len(p) == langid.SAMPLE_BYTES for p in parts)
+    assert sum(p.startswith(b"start") for p in parts) <= 2
+
+
 def test_sample_is_bounded(spark):
     rows = spark.range(5000).selectExpr("concat('text ', id) text", "if(id % 2 = 0, 'x', 'y') lang")
     learnt = langid.learn(rows)

@@ -53,6 +53,26 @@ def test_odd_rows(odd, nothing):
     assert lines.report(nothing).collect() == []
 
 
+def test_very_many_removed_lines(spark):
+    """A text of 40,000 lines that go, but for every tenth."""
+    lines_of = [f"line {i}" if i % 10 else f"own {i}" for i in range(40_000)]
+    rows = [(k, "\n".join(x if x[0] == "l" else f"{x} {k}" for x in lines_of), f"s{k}") for k in range(3)]
+    left = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), min_sites=3)
+    got = {r.doc_id: (r.text, r["__gone"]) for r in left.collect()}
+    assert got[0] == (rows[0][1], 0)
+    for k in (1, 2):
+        assert got[k] == ("\n".join(x for x in rows[k][1].split("\n") if x[0] == "o"), 36_000)
+
+
+def test_near_copies_are_marked(spark):
+    """Three quarters of both texts in lines that one of them keeps; repeats count once."""
+    a, b, c = "a" * 39, "b" * 39, "c" * 39
+    texts = [f"{a}\n{b}\n{c}", f"{a}\n{b}\n{c}\nx", f"{a}\n{b}\n{c}\n" + "y" * 45, "\n".join([a] * 9), f"{c}\n{b}\n{a}", None]
+    docs = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r["__copy"] for r in lines.dedup(docs, min_sites=2, copies=True).collect()}
+    assert got == {0: False, 1: True, 2: False, 3: False, 4: True, 5: False}
+
+
 def test_query(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")

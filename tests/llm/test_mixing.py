@@ -17,14 +17,17 @@ def brute_force(posteriors, tokens, targets, keep_protected=False):
     wanted = np.array(mixing.wanted_tokens(list(has), targets))
     protected = [mixing.DOMAINS.index(d) for d in mixing.PROTECTED]
     floor = np.isin(posteriors.argmax(axis=1), protected).astype(float) * keep_protected
-    rates, before = np.ones(len(tokens)), None
+    rates = ahead = np.ones(len(tokens))
+    before, pace = None, 1.0
     for _ in range(mixing.ROUNDS):
-        now = (tokens * rates) @ posteriors
+        now = (tokens * ahead) @ posteriors
         if before is not None and abs(now - before).max() <= mixing.SETTLED * max(has.sum(), 1):
             break
         before = now
         gradient = np.where(has > 0, (now - wanted) / np.where(has > 0, has, 1), 0)
-        rates = np.maximum(rates - posteriors @ gradient, floor)
+        moved = np.maximum(ahead - posteriors @ gradient, floor)
+        faster = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+        rates, ahead, pace = moved, moved + (pace - 1) / faster * (moved - rates), faster
     return rates
 
 

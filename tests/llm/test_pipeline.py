@@ -88,6 +88,25 @@ def test_copies_over_many_sources(spark):
     assert left == {1: rows[0][1], 20: " ", 21: None}
 
 
+def test_near_copies_over_many_sources(spark, tmp_path):
+    """Of twelve near copies on twelve sources one whole document comes out, and no
+    fragments; documents that share some of their lines only stay."""
+    shared = "\n".join(" ".join(f"w{line}x{word}" for word in range(9)) for line in range(12))
+    footer = "all pages of this kind end with these few words"
+    rows = [(i, f"{shared}\nthis line is of copy {i}", "en", f"s{i}", 1) for i in range(1, 13)]
+    rows += [(i, " ".join(f"d{i}y{word}" for word in range(80)) + f"\n{footer}", "en", f"s{i}", 1) for i in range(20, 32)]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert sorted(left) == [1, *range(20, 32)]
+    whole = test_bpe.library(rows[0][1])[0]
+    assert list(left[1].ids) == whole
+    texts = {i: t for i, t, *_ in rows}
+    assert list(left[20].ids) == test_bpe.library(texts[20])[0]
+    assert list(left[31].ids) == test_bpe.library(texts[31].removesuffix(f"\n{footer}"))[0]
+
+
 def test_odd_rows(spark, odd, nothing):
     docs = odd.select("doc_id", "text", "lang", "source", "n_chars", "ids")
     for stage in (s for _, s in corpus_pipeline.STAGES):

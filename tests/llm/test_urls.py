@@ -108,6 +108,17 @@ def test_shares_are_not_of_the_sample(spark, monkeypatch):
     assert seen == [pages.count()] * len(urls.SUFFIXES)
 
 
+def test_a_hot_url(spark, monkeypatch):
+    """A URL on a third of all rows is one row of the sample, and weighs as all of them."""
+    seen, fit = [], urls.fit
+    monkeypatch.setattr(urls, "fit", lambda learnt: seen.append(learnt.select("url", "rows").collect()) or fit(learnt))
+    rows = [(i, u) for i, u in enumerate(URLS + ["http://hot.example.net/de/"] * 60)]
+    urls.judge(spark.createDataFrame(rows, "page_id bigint, url string")).collect()
+    weights = {r.url: r.rows for r in seen[0]}
+    assert len(seen[0]) == len(weights) and weights["http://hot.example.net/de/"] == 60
+    assert sum(weights.values()) == sum(rule(*parts(u)) is not None for _, u in rows)
+
+
 def test_query(spark):
     rows = op4_urls(spark, SF).collect()
     given = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
