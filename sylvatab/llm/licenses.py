@@ -1,25 +1,35 @@
 """Licence scans with a suffix automaton of all templates.
 
 The words of all templates make one generalised suffix automaton. A text's
-words are streamed through it, which gives for each word the longest match that
-ends there. Matches that can't be extended and are long enough are chained in
-the order of the template; a chain that covers enough of a template is a span
-of that licence. Phrases that decide by themselves are found in the same pass:
-a phrase ends where its state is the current one or an ancestor of it.
+words are streamed through it; the state reached and its ancestors give for each
+word and each template the longest match that ends there, and all places of the
+template where it stands. Matches that can't be extended and are long enough are
+chained in the order of the template, each with the open chain that covers most.
+A chain that covers enough of a template, or enough words of it, is a span of that
+licence. Of spans that overlap, the one that covers most words stays, then the one
+that covers the larger share of its template; this tells versions apart. Of
+those that are equal in both, each label keeps one.
+
+Phrases that decide by themselves are found in the same pass: a phrase ends where
+its state is the current one or an ancestor of it.
 
 Words are runs of 0-9, a-z and everything beyond ASCII, after A-Z has been
 lower-cased. A null text has no words. Texts of any length are streamed whole.
+Repeated rows stay; an empty table gives no rows; a text without words has no
+phrases and no spans.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from sylvatab.llm.common import per_text
+from sylvatab.llm.licence_texts import templates as all_templates
 
 #: Words of UTF-8 bytes: the class [^\x00-\x2F\x3A-\x60\x7B-\x7F] of code points.
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -27,37 +37,11 @@ WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 LEAST_MATCH = 3
 #: Words that may lie between two matches of a chain, in the text or the template.
 GAP = 8
-#: Share of a template's words that a span covers.
-COVER = 0.75
+#: Share of a template's words that a span covers, or this many of its words.
+COVER, ENOUGH = 0.75, 30
 
 #: Phrases that decide by themselves, and their labels. Fixed values.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Notices of common licences as they stand in files, by label. Fixed values.
-TEMPLATES = {
-    "mit": [
-        "released under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and"
-        " associated documentation files the software to deal in the software without restriction",
-    ],
-    "apache-2": [
-        "licensed under the apache license version 2 0",
-        "you may not use this file except in compliance with the license you may obtain a copy of the license at",
-    ],
-    "cc-by-nc": [
-        "licensed under cc by nc 4 0",
-        "creative commons attribution noncommercial 4 0 international license",
-    ],
-    "cc-by": ["creative commons attribution 4 0 international license"],
-    "gpl-3": [
-        "this work is licensed under the gnu general public license version 3",
-        "it under the terms of the gnu general public license as published by the free software foundation",
-    ],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided"
-        " that the following conditions are met",
-    ],
-    "all-rights-reserved": ["all rights reserved"],
-}
 
 
 class Found(NamedTuple):
@@ -75,17 +59,17 @@ class Automaton:
     def __init__(self, sequences: list[list[bytes]]):
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
-        #: For each state, sequence -> where in it the first occurrence ends.
-        self.ends: list[dict[int, int]] = [{}]
+        #: For each state, sequence -> where in it the occurrences end.
+        self.ends: list[dict[int, set[int]]] = [{}]
         for number, words in enumerate(sequences):
             last = 0
             for place, word in enumerate(words):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(number, place)
+                self.ends[last].setdefault(number, set()).add(place)
         for state in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
-            for number, place in self.ends[state].items():
-                above = self.ends[self.link[state]]
-                above[number] = min(place, above.get(number, place))
+            above = self.ends[self.link[state]]
+            for number, places in self.ends[state].items():
+                above.setdefault(number, set()).update(places)
 
     def _state(self, length: int, follow: dict[bytes, int], link: int) -> int:
         self.next.append(follow)
@@ -130,12 +114,27 @@ class Automaton:
 class Scanner:
     """The automaton of phrases and templates; one is made for each task."""
 
-    def __init__(self, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] = TEMPLATES):
+    def __init__(self, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] | None = None):
+        given = all_templates() if templates is None else templates
         self.phrases = [(p.encode().split(), label) for p, label in phrases.items()]
-        self.templates = [(t.encode().split(), label) for label, texts in templates.items() for t in texts]
+        self.templates = [(WORDS.findall(t.encode().lower()), label) for label, texts in given.items() for t in texts]
         self.automaton = Automaton([words for words, _ in [*self.templates, *self.phrases]])
         self.vocabulary = frozenset(w for words, _ in [*self.templates, *self.phrases] for w in words)
         self.ending = self._ending()
+        #: For each state, template -> the nearest state, itself or above, that the template has.
+        self.holding: dict[int, dict[int, int]] = {}
+
+    def _holding(self, state: int) -> dict[int, int]:
+        found = self.holding.get(state)
+        if found is None:
+            found, above = {}, state
+            while above > 0 and self.automaton.length[above] >= LEAST_MATCH:
+                for number in self.automaton.ends[above]:
+                    if number < len(self.templates):
+                        found.setdefault(number, above)
+                above = self.automaton.link[above]
+            self.holding[state] = found
+        return found
 
     def _ending(self) -> list[tuple[int, ...]]:
         """For each state the phrases that end its strings, as far as they are long enough."""
@@ -160,57 +159,107 @@ class Scanner:
         words = WORDS.findall(text.lower())
         hits = [i for i, w in enumerate(words) if w in self.vocabulary]
         places: list[tuple[int, int]] = []
-        matches: list[tuple[int, int, int]] = []
+        chains: dict[int, Chains] = {}
+        #: template -> length and state of its longest match that ends at the previous word.
+        current: dict[int, tuple[int, int]] = {}
         state = length = 0
         previous = -1
+
+        def end(template: int) -> None:
+            size, at = current[template]
+            if template not in chains:
+                chains[template] = Chains(len(self.templates[template][0]))
+            chains[template].add(previous, size, self.automaton.ends[at][template])
+
         for i in hits:
             if i != previous + 1:
-                if length >= LEAST_MATCH:
-                    matches.append((previous, length, state))
+                for template in current:
+                    end(template)
+                current = {}
                 state = length = 0
-            after, grown = self.automaton.step(state, length, words[i])
-            if grown <= length and length >= LEAST_MATCH:
-                matches.append((previous, length, state))
-            state, length, previous = after, grown, i
+            state, length = self.automaton.step(state, length, words[i])
+            if length >= LEAST_MATCH or current:
+                longest = {}
+                for template, at in self._holding(state).items() if length >= LEAST_MATCH else ():
+                    longest[template] = min(length, self.automaton.length[at]), at
+                for template, (size, _) in current.items():
+                    if longest.get(template, (0, 0))[0] <= size:
+                        end(template)
+                current = longest
+            previous = i
             for number in self.ending[state]:
                 size = len(self.phrases[number][0])
                 if length >= size:
                     places.append((i - size + 1, number))
-        if length >= LEAST_MATCH:
-            matches.append((previous, length, state))
-        return len(words), sorted(places), self.chains(matches)
-
-    def chains(self, matches: list[tuple[int, int, int]]) -> list[Found]:
-        """Spans of the templates that chained matches cover far enough."""
-        found = []
-        chain: dict[int, tuple[int, int, int, int]] = {}  # template -> first, last, its last place, words covered
-
-        def close(template: int) -> None:
-            first, last, _, covered = chain.pop(template)
-            words, label = self.templates[template]
-            if covered >= COVER * len(words):
-                found.append(Found(label, first, last, covered / len(words)))
-
-        for last, length, state in matches:
-            first = last - length + 1
-            for template, end in self.automaton.ends[state].items():
-                if template >= len(self.templates):
+        for template in current:
+            end(template)
+        return len(words), sorted(places), self.best(chains)
+
+    def best(self, chains: dict[int, Chains]) -> list[Found]:
+        """Of the spans that overlap, those that cover most."""
+        spans = []
+        for template, of in chains.items():
+            size = of.size
+            spans += [(covered, covered / size, -first, last, self.templates[template][1]) for first, last, covered in of.closed()]
+        taken: list[tuple[int, int, int, float]] = []  # last word, first word, what it covers
+        found = set()
+        for covered, cover, start, last, label in sorted(spans, key=lambda s: (-s[0], -s[1], -s[2], s[3], s[4])):
+            first = -start
+            place = bisect_left(taken, (first,))
+            if place < len(taken) and taken[place][1] <= last:
+                if taken[place] != (last, first, covered, cover):
                     continue
-                start = end - length + 1
-                if template in chain:
-                    begun, text_end, place, covered = chain[template]
-                    overlap = max(0, text_end - first + 1, place - start + 1)
-                    near = first - text_end <= GAP + 1 and start - place <= GAP + 1
-                    if near and end > place and last > text_end and length > overlap:
-                        chain[template] = (begun, last, end, covered + length - overlap)
-                        continue
-                    close(template)
-                chain[template] = (first, last, end, length)
-        for template in [*chain]:
-            close(template)
+            else:
+                insort(taken, (last, first, covered, cover))
+            found.add(Found(label, first, last, cover))
         return sorted(found, key=lambda f: (f.first, f.label, f.last))
 
 
+class Chains:
+    """Chains of one template's matches in a text. Matches come in the order of their ends."""
+
+    def __init__(self, size: int):
+        self.size = size
+        #: First and last word of the text, last of the template, words covered, whether a longer one goes on from it.
+        self.open: list[list] = []
+        self.done: list[tuple[int, int, int]] = []
+
+    def _close(self, chain: list) -> None:
+        first, last, _, covered, extended = chain
+        if not extended and (covered >= COVER * self.size or covered >= ENOUGH):
+            self.done.append((first, last, covered))
+
+    def add(self, last: int, length: int, ends: set[int]) -> None:
+        """A match that ends at this word of the text and at these of the template."""
+        first = last - length + 1
+        still = []
+        for chain in self.open:
+            if first - chain[1] <= GAP + 1:
+                still.append(chain)
+            else:
+                self._close(chain)
+        added = []
+        for end in sorted(ends):
+            start, most, before = end - length + 1, length, None
+            for chain in still:
+                _, text_end, place, covered, _ = chain
+                overlap = max(0, text_end - first + 1, place - start + 1)
+                near = start - place <= GAP + 1 and end > place and last > text_end
+                if near and length > overlap and covered + length - overlap > most:
+                    most, before = covered + length - overlap, chain
+            if before is not None:
+                before[4] = True
+            added.append([first if before is None else before[0], last, end, most, False])
+        self.open = still + added
+
+    def closed(self) -> list[tuple[int, int, int]]:
+        """First and last word and words covered of every chain that covers enough."""
+        for chain in self.open:
+            self._close(chain)
+        self.open = []
+        return self.done
+
+
 def scan(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (default: all others), ``n_words``, ``phrases`` (each
     place: label, first word) and ``spans`` (label, first and last word, share of
