@@ -33,6 +33,11 @@ RADIUS = 20
 #: Least bits of a block, so that its values stay selective.
 LEAST_BLOCK = 18
 _LANES = 32
+#: Where a row stands in the order of ids: whether it has one, the id, the hash of its text.
+PLACE = ("known", "number", "mark")
+#: Characters of a range of rows in that order, the most ranges, and how many rows
+#: are looked at to find where they begin.
+RANGE_CHARS, MOST_RANGES, SAMPLED = 32_000_000, 10_000, 20_000
 
 
 def terms(text: Column) -> Column:
@@ -143,47 +148,74 @@ def near(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFram
     return close.select("q0", "q1", "f0", "f1", distance(*q, *f).alias("distance"))
 
 
-def part_of(key: Column, bounds: list[int]) -> Column:
-    """The number of bounds not above the key, found by halving; after all others
-    for a row without key."""
-    table = F.lit(bounds).cast("array<bigint>")
+def part_of(place: Column, bounds: list[tuple[int, int, int]]) -> Column:
+    """The number of bounds not above the place (a struct of ``PLACE``), found by halving."""
+    if not bounds:
+        return F.lit(0)
+    columns = [F.split(F.lit(",".join(map(str, c))), ",").cast("array<bigint>").alias(n) for n, c in zip(PLACE, zip(*bounds))]
+    table = F.arrays_zip(*columns)
     steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
 
     def step(low: Column, width: Column) -> Column:
-        beyond = F.coalesce(F.get(table, low + width - 1) <= key, F.lit(False))
+        beyond = F.coalesce(F.get(table, low + width - 1) <= place, F.lit(False))
         return low + F.when(beyond, width).otherwise(F.lit(0))
 
-    found = F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), step) if bounds else F.lit(0)
-    return F.when(key.isNull(), F.lit(-1)).otherwise(found)
+    return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), step)
+
+
+def range_bounds(placed: DataFrame, least: int) -> list[tuple[int, int, int]]:
+    """Where ranges begin that hold about equally much text: ``least`` ranges, or as
+    many as have ``RANGE_CHARS`` each, up to ``MOST_RANGES``.
+
+    Taken from about ``SAMPLED`` rows, drawn by hash; repeated rows are one with
+    their texts' sum. Only the sizes of ranges depend on what is drawn.
+    """
+    one_in = max(1, placed.count() // SAMPLED)
+    drawn = placed.filter(F.pmod(F.xxhash64(F.lit(0), *PLACE), F.lit(one_in)) == 0)
+    rows = drawn.groupBy(*PLACE).agg(F.sum(F.length("text") + 1).alias("size")).collect()
+    rows.sort()
+    total = sum(r["size"] for r in rows)
+    n = min(MOST_RANGES, max(least, total * one_in // RANGE_CHARS))
+    bounds, before, wanted = [], 0, 1
+    for r in rows:
+        if before * n >= wanted * total and before:
+            bounds.append(tuple(r[c] for c in PLACE))
+            wanted = before * n // total + 1
+        before += r["size"]
+    return bounds
 
 
 def in_order(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row with the text that follows it in descending order of the key,
-    the last one followed by the first: ``part`` and ``place`` (they identify a
-    row), ``head``, ``key``, ``text`` and ``next_text``.
-
-    Rows are dealt out once, by ranges of the key. The first rows of a range
-    also go to the end of the range before, marked ``head``, so that its last
-    row finds them there. Rows without a key come last; equal keys are ordered
-    by text.
+    """Every row with the text that follows it in descending order of the key (an
+    integer), the last one followed by the first: ``part`` and ``place`` (they
+    identify a row), ``head``, ``key``, ``text`` and ``next_text``.
+
+    Rows are dealt out once, by ranges of key and text's hash, each a task of its
+    own; so a key with very many rows, or very many rows without one, lie in many
+    ranges. The first row of a range (and rows equal to it) also goes to the end
+    of the range before, marked ``head``, so that its last row finds it there.
+    Rows without a key come last; equal keys are ordered by the hash of the text,
+    then by the text. Rows equal in key and text are one range.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = given.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0]
-    dealt = given.withColumn("part", part_of(F.col("key"), sorted(set(found or []))))
-    # One row for each range: at most as many as bounds and two more.
-    heads = dealt.groupBy("part").agg(F.max("key").alias("head_key"))
+    place = [F.col("key").isNotNull().cast("long"), F.coalesce(F.col("key").cast("long"), F.lit(0)), F.xxhash64("text")]
+    placed = given.select("*", *[c.alias(n) for n, c in zip(PLACE, place)])
+    bounds = range_bounds(placed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = placed.withColumn("part", part_of(F.struct(*PLACE), bounds))
+    # One row for each range.
+    heads = dealt.groupBy("part").agg(F.max(F.struct(*PLACE)).alias("first"))
     every = Window.partitionBy(F.lit(0)).orderBy(F.col("part").desc())
     before = F.coalesce(F.lag("part").over(every), F.min("part").over(Window.partitionBy(F.lit(0))))
-    heads = heads.select("head_key", before.alias("before"))
-    both = dealt.join(F.broadcast(heads), F.col("key").eqNullSafe(F.col("head_key")), "left")
+    heads = heads.select(*[F.col(f"first.{c}").alias(c) for c in PLACE], before.alias("before"))
+    both = dealt.join(F.broadcast(heads), list(PLACE), "left")
     here, there = F.struct("part", F.lit(False).alias("head")), F.struct(F.col("before").alias("part"), F.lit(True).alias("head"))
     rows = both.select(
-        "key", "text", F.inline(F.when(F.col("before").isNull(), F.array(here)).otherwise(F.array(here, there)))
+        "key", "text", "mark", F.inline(F.when(F.col("before").isNull(), F.array(here)).otherwise(F.array(here, there)))
     )
-    within = Window.partitionBy("part").orderBy("head", F.col("key").desc_nulls_last(), F.col("text").desc())
-    return rows.select(
+    own = rows.repartitionById(len(bounds) + 1, F.col("part"))
+    within = Window.partitionBy("part").orderBy("head", F.col("key").desc_nulls_last(), F.col("mark").desc(), F.col("text").desc())
+    return own.select(
         "part", F.row_number().over(within).alias("place"), "head", "key", "text", F.lead("text").over(within).alias("next_text")
     )
 

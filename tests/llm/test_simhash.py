@@ -136,3 +136,53 @@ def test_plan_has_no_python(spark):
     rows = simhash.compare(spark.read.parquet(f"{SF}/documents.parquet"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def sizes_of_parts(rows):
+    found = {}
+    for r in simhash.in_order(rows).select("part", "head").collect():
+        found[r.part] = found.get(r.part, 0) + 1
+    return found
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_ids_lie_in_many_ranges(spark, hot):
+    """A third of all rows has one id or none: no range holds much more than its share."""
+    rows = [(hot if i % 3 == 0 else 10 + i, f"text number {i}") for i in range(3000)]
+    sizes = sizes_of_parts(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6))
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes.values()) < 1.5 * 3000 / len(sizes)
+    assert sum(sizes.values()) == 3000 + len(sizes)
+
+
+def test_ranges_grow_with_the_text(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "RANGE_CHARS", 1000)
+    rows = [(i, "word " * 20) for i in range(600)]
+    sizes = sizes_of_parts(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert len(sizes) > 50 and max(sizes.values()) < 15
+
+
+def test_order_of_equal_ids(spark):
+    """Each row but one is followed by the one after it in the order; copies of a row, too."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2, 3]), f"t{rng.randrange(6)}") for _ in range(300)]
+    placed = simhash.in_order(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).filter("not head").collect()
+
+    def mark(text):
+        h = xxhash.xxh64_intdigest(text.encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -mark(r[1])))
+    want = [(k, t, after) for (k, t), (_, after) in zip(order, [*order[1:], order[0]], strict=True)]
+
+    def counted(xs):
+        return sorted(xs, key=str)
+
+    assert counted((r.key, r.text, r.next_text) for r in placed) == counted(want)
+
+
+def test_texts_are_dealt_out_once(spark):
+    """One exchange holds texts; what follows uses its partitions."""
+    rows = simhash.compare(spark.read.parquet(f"{SF}/documents.parquet"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.split("\n") if re.search(r"\bExchange ", x) and "SinglePartition" not in x]) <= 2
