@@ -1,7 +1,9 @@
 """Mixing to target weights with soft domains.
 
 A classifier learnt from labelled documents gives each document a posterior
-over domains. Nonnegative rates for all documents are fitted by projected
+over domains: one regression for the last domain against all others, one for the
+domain before it against what is left, and so on, as the labels are read.
+Features that cannot have a weight are left out beforehand. Nonnegative rates for all documents are fitted by projected
 gradient with momentum, so that the expected tokens of each domain (rate x tokens x posterior)
 come closest to the targets in least squares, each domain in units of what it
 has. ``keep_protected`` gives a document whose likeliest domain is protected a
@@ -29,7 +31,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, VarianceThresholdSelector
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +49,8 @@ PROTECTED = ["clean"]
 #: The classifier is fitted on so many labelled documents at most, by the hash of their id.
 TRAINED_ON = 10_000
 FEATURES = 1 << 16
+#: Penalty on the size of the classifier's weights.
+PENALTY = 0.001
 STEPS = 64
 #: Rounds of the fit at most, and the change of the domains' tokens that ends it.
 ROUNDS, SETTLED = 60, 1e-5
@@ -94,32 +98,59 @@ def classified(df: DataFrame, docs: DataFrame, labels: DataFrame, text: str, key
         F.first("__domain").alias("__domain"), F.min_by("__text", F.xxhash64("__text")).alias("__text")
     )
     sample = featured(one, "__text").select("__features", "__domain")
-    # Few rows, of a bounded number: in few partitions, since every partition
+    # Few rows, of a bounded number: in one partition, since every partition
     # sends as many numbers to the driver as there are weights, in every round.
-    sample = written(sample, "labelled").coalesce(2)
-    present = [d for d in DOMAINS if d in {r[0] for r in sample.select("__domain").distinct().collect()}]
+    sample = written(sample, "labelled").coalesce(1)
+    counts = {r["__domain"]: r["count"] for r in sample.groupBy("__domain").count().collect()}
+    present = [d for d in DOMAINS if d in counts]
     if len(present) < 2:
         sure = present[0] if present else DOMAINS[0]
         return df.withColumn("__posterior", F.array(*[F.lit(float(d == sure)) for d in DOMAINS]))
-    number = F.array_position(F.array(*map(F.lit, present)), F.col("__domain")).cast("double") - 1
-    model = LogisticRegression(
-        featuresCol="__features",
-        labelCol="__label",
-        probabilityCol="__probability",
-        predictionCol="__prediction",
-        rawPredictionCol="__raw",
-        family="multinomial",
-        regParam=0.001,
-        elasticNetParam=1.0,
-        standardization=False,
-        maxIter=60,
-    ).fit(sample.withColumn("__label", number))
-    scored = model.transform(featured(df, f"`{text}`"))
-    rounded = F.transform(vector_to_array("__probability"), lambda p: F.round(p * STEPS))
-    scored = scored.withColumn("__r", rounded)
+    chosen = weighable(sample, sum(counts[d] for d in present[:2]) / sum(counts.values()))
+    scored, rest = featured(df, f"`{text}`"), sample
+    if chosen is not None:
+        scored, rest = chosen.transform(scored), chosen.transform(sample)
+    left, of = F.lit(1.0), {}
+    for domain in reversed(present[1:]):
+        if chosen is None:
+            share = F.lit(counts[domain] / sum(counts[d] for d in present[: present.index(domain) + 1]))
+        else:
+            model = LogisticRegression(
+                featuresCol="__chosen",
+                labelCol="__label",
+                probabilityCol=f"__probability_{domain}",
+                predictionCol=f"__prediction_{domain}",
+                rawPredictionCol=f"__raw_{domain}",
+                family="binomial",
+                regParam=PENALTY,
+                elasticNetParam=1.0,
+                standardization=False,
+                maxIter=60,
+            ).fit(rest.withColumn("__label", (F.col("__domain") == domain).cast("double")))
+            scored = model.transform(scored)
+            rest = rest.filter(F.col("__domain") != domain)
+            share = F.get(vector_to_array(f"__probability_{domain}"), F.lit(1))
+        of[domain] = left * share
+        left = left * (1 - share)
+    of[present[0]] = left
+    scored = scored.withColumn("__r", F.array(*[F.round(of[d] * STEPS) if d in of else F.lit(0.0) for d in DOMAINS]))
     total = F.aggregate("__r", F.lit(0.0), lambda a, p: a + p)
-    of = [F.col("__r")[present.index(d)] / total if d in present else F.lit(0.0) for d in DOMAINS]
-    return scored.select(*[F.col(f"`{c}`") for c in df.columns], F.array(*of).alias("__posterior"))
+    posterior = F.transform("__r", lambda p: p / total).alias("__posterior")
+    return scored.select(*[F.col(f"`{c}`") for c in df.columns], posterior)
+
+
+def weighable(sample: DataFrame, least_share: float):
+    """The choice (to ``__chosen``) of the features that may get a weight in a fit on
+    ``least_share`` of the sample or more; None where there are none.
+
+    What a feature pulls at its weight is its covariance with the errors, which are
+    below 1: on all rows at most twice its variance, and on a share of them that by
+    the share. A weight on which no more than the penalty pulls stays 0 all along, so
+    the fit is the same without it.
+    """
+    most = PENALTY / 2 * least_share
+    selector = VarianceThresholdSelector(featuresCol="__features", outputCol="__chosen", varianceThreshold=most).fit(sample)
+    return selector if selector.selectedFeatures else None
 
 
 def least_rate(posterior: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VarianceThresholdSelector
 from pyspark.sql import functions as F
 
 from sylvatab.llm import mixing
@@ -120,6 +122,32 @@ def test_mix_repeats_rows(spark, monkeypatch):
     assert mixing.mix(docs, none).collect() == []
 
 
+def test_features_left_out_have_no_weight(spark):
+    """A regression on all features gives none to those that are left out beforehand."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("doc_id", "__id")
+    given = docs.join(mixing.chosen_labels(spark.read.parquet(f"{sf}/labels.parquet")), "__id").select("__domain", "text")
+    # The rule by the penalty, made visible on few documents.
+    sample = mixing.featured(given, "text").repartition(1).withColumn("__label", (F.col("__domain") == "poor").cast("double")).cache()
+    for penalty in (0.02, 0.05):
+        selector = VarianceThresholdSelector(featuresCol="__features", outputCol="c", varianceThreshold=penalty / 2).fit(sample)
+        fitted = LogisticRegression(
+            featuresCol="__features", labelCol="__label", regParam=penalty, elasticNetParam=1.0, standardization=False, maxIter=60
+        ).fit(sample)
+        weights = fitted.coefficients.toArray()
+        assert 0 < np.count_nonzero(weights) < len(selector.selectedFeatures) < mixing.FEATURES / 4
+        assert set(np.flatnonzero(weights)) <= set(selector.selectedFeatures)
+    sample.unpersist()
+
+
+def test_nothing_to_weigh(spark):
+    """Equal texts under several domains: the posterior is the labels' share."""
+    docs = spark.createDataFrame([(i, "same words") for i in range(8)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 6), int(i < 2)) for i in range(8)], LABELS)
+    rows = mixing.report(docs, labels).collect()
+    assert {(r.p_clean, r.p_poor, r.p_toxic) for r in rows} == {(0.5, 0.25, 0.25)}
+
+
 def test_words_rarely_collide(spark):
     """Of 3,000 words about 70 share a feature with another in 1 << 16, twice as many in half."""
     words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)]
