@@ -37,8 +37,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the rates for the target weights say."""
-    return mixing.mix(docs, documents(spark, sf_dir, "labels"))
+    """Documents as often as the rates for the target weights say; likely clean ones stay."""
+    return mixing.mix(docs, documents(spark, sf_dir, "labels"), keep_protected=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
