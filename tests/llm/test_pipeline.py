@@ -58,12 +58,13 @@ def test_near_dedup(outputs):
 
 
 def test_mixing(spark, outputs):
-    rates = {r.doc_id: r for r in mixing.report(outputs[3], spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rates = {r.doc_id: r for r in mixing.mixed(outputs[3], labels, keep_protected=True).collect()}
     counts = dict.fromkeys(rates, 0)
     for r in outputs[4].collect():
         counts[r.doc_id] += 1
-    assert counts == {i: r.copies for i, r in rates.items()}
-    assert all(r.copies >= 1 for r in rates.values() if np.argmax([r.p_clean, r.p_poor, r.p_toxic]) == 0)
+    assert counts == {i: r["__copies"] for i, r in rates.items()}
+    assert all(r["__copies"] >= 1 for r in rates.values() if np.argmax(r["__posterior"]) == 0)
 
 
 def test_encoding(outputs):
