@@ -197,6 +197,66 @@ def test_any_words(spark, a, b, share):
     assert pairs(spark, asked, entries, share, True) == brute(asked, entries, share, True)
 
 
+@pytest.mark.parametrize("share", [0.1, 0.15, 2])
+def test_ends_equal_brute_force(spark, share):
+    """Two edits anywhere in strings about as long as both ends, and longer."""
+    rng = random.Random(13)
+    entries = {"".join(rng.choice("abc ") for _ in range(n)).replace(" ", "a") for n in range(5, 22) for _ in range(6)}
+    asked = set(entries)
+    for e in sorted(entries):
+        for _ in range(6):
+            s = list(e)
+            for _ in range(rng.randint(1, 2)):
+                i, step = rng.randrange(len(s)), rng.choice("idr")
+                s[i : i + 1] = {"i": [rng.choice("abc"), s[i]], "d": [], "r": [rng.choice("abc")]}[step]
+            asked.add("".join(s))
+    asked, entries = sorted(asked), sorted(entries)
+    assert pairs(spark, asked, entries, share, False) == brute(asked, entries, share, False)
+
+
+def rows_joined(spark, monkeypatch, asked, entries, share, genus):
+    seen = []
+
+    def counted(left, right, near):
+        seen.append((left.count(), right.count()))
+        return tiled(left, right, near)
+
+    monkeypatch.setattr(resolve, "tiled", counted)
+    assert pairs(spark, asked, entries, share, genus) == brute(asked, entries, share, genus)
+    return seen[0][0] / len(asked), seen[0][1] / len(entries)
+
+
+def test_names_of_any_genus_make_few_keys(spark, monkeypatch):
+    """Without two of 18 characters there are 172 texts; by the ends far fewer tell."""
+    entries = [f"Ga{c}us longepithe{d}" for c in "abc" for d in "ab"]
+    asked = [f"Ga{c}us lonepithe{d}" for c in "abc" for d in "ax"]
+    of_names, of_entries = rows_joined(spark, monkeypatch, asked, entries, 0.1, False)
+    assert of_names < 50 and of_entries < 50
+
+
+def test_entries_make_no_keys_that_no_name_looks_for(spark, monkeypatch):
+    """All names near an entry of 15 characters may have three edits, and are searched
+    within two first: no keys for one edit or for four."""
+    entries = [f"Gaus epitheto{c}x" for c in "abc"]
+    asked = [f"Gaus epitheto{c}y" for c in "abc"]
+    left = spark.createDataFrame([(a, 2) for a in asked], "key string, edits int")
+    seen = []
+    monkeypatch.setattr(resolve, "tiled", lambda n, e, near: seen.append(e.count()) or tiled(n, e, near))
+    found = close_pairs(left, Index(spark.createDataFrame([(e,) for e in entries], "key string"), None, (0.2,), True), range(1, 3))
+    assert {(r.key, r.entry_key) for r in found.collect()} == {(a, e) for a in asked for e in entries if edits(a, e) <= 2}
+    body = len(entries[0]) - 4
+    assert seen[0] <= len(entries) * (1 + body + body * (body - 1) // 2)
+
+
+def test_places_are_found_once_for_each_length(spark, monkeypatch):
+    """What names look for by kind 3 depends on their length and edits alone."""
+    rows = {}
+    monkeypatch.setattr(resolve, "written", lambda df, name: rows.setdefault(name, df.count()) and df)
+    asked = [f"Gaus epithe{a}{b}" for a in "abcd" for b in "abcd"] + ["Gaus epithet"]
+    assert pairs(spark, asked, asked[:4], 3, True) == brute(asked, asked[:4], 3, True)
+    assert rows["places"] == 2
+
+
 def as_checklist(spark, keys):
     return spark.createDataFrame([entry(k, "synonym" if i % 3 else "accepted") for i, k in enumerate(keys)], SCHEMA)
 
