@@ -32,7 +32,6 @@ import math
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, VarianceThresholdSelector
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +66,7 @@ def domain_of() -> Column:
 
 def tokens(text: Column) -> Column:
     """Number of words without white space."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), ""))
 
 
 def featured(df: DataFrame, text: str) -> DataFrame:
@@ -107,9 +106,7 @@ def classified(df: DataFrame, docs: DataFrame, labels: DataFrame, text: str, key
         sure = present[0] if present else DOMAINS[0]
         return df.withColumn("__posterior", F.array(*[F.lit(float(d == sure)) for d in DOMAINS]))
     chosen = weighable(sample, sum(counts[d] for d in present[:2]) / sum(counts.values()))
-    scored, rest = featured(df, f"`{text}`"), sample
-    if chosen is not None:
-        scored, rest = chosen.transform(scored), chosen.transform(sample)
+    scored, rest = featured(df, f"`{text}`"), sample if chosen is None else chosen.transform(sample)
     left, of = F.lit(1.0), {}
     for domain in reversed(present[1:]):
         if chosen is None:
@@ -118,27 +115,36 @@ def classified(df: DataFrame, docs: DataFrame, labels: DataFrame, text: str, key
             model = LogisticRegression(
                 featuresCol="__chosen",
                 labelCol="__label",
-                probabilityCol=f"__probability_{domain}",
-                predictionCol=f"__prediction_{domain}",
-                rawPredictionCol=f"__raw_{domain}",
                 family="binomial",
                 regParam=PENALTY,
                 elasticNetParam=1.0,
                 standardization=False,
                 maxIter=60,
             ).fit(rest.withColumn("__label", (F.col("__domain") == domain).cast("double")))
-            scored = model.transform(scored)
+            share = chance(sorted(chosen.selectedFeatures), model.coefficients.toArray().tolist(), model.intercept)
             rest = rest.filter(F.col("__domain") != domain)
-            share = F.get(vector_to_array(f"__probability_{domain}"), F.lit(1))
         of[domain] = left * share
         left = left * (1 - share)
     of[present[0]] = left
+    scored = scored.withColumn("__found", F.unwrap_udt("__features")["indices"])
     scored = scored.withColumn("__r", F.array(*[F.round(of[d] * STEPS) if d in of else F.lit(0.0) for d in DOMAINS]))
     total = F.aggregate("__r", F.lit(0.0), lambda a, p: a + p)
     posterior = F.transform("__r", lambda p: p / total).alias("__posterior")
     return scored.select(*[F.col(f"`{c}`") for c in df.columns], posterior)
 
 
+def chance(features: list[int], weights: list[float], intercept: float) -> Column:
+    """The probability that a regression gives, from ``__found``, the features that occur in
+    ascending order: summed up as the model does, over the few that have a weight."""
+    some = [(f, w) for f, w in zip(features, weights, strict=True) if w]
+    total = F.lit(0.0)
+    if some:
+        places, sizes = (F.array(*map(F.lit, x)) for x in zip(*some, strict=True))
+        weighed = F.array_intersect("__found", places)
+        total = F.aggregate(weighed, total, lambda a, f: a + F.get(sizes, (F.array_position(places, f) - 1).cast("int")))
+    return 1 - 1 / (1 + F.exp(total + F.lit(float(intercept))))
+
+
 def weighable(sample: DataFrame, least_share: float):
     """The choice (to ``__chosen``) of the features that may get a weight in a fit on
     ``least_share`` of the sample or more; None where there are none.

@@ -141,6 +141,27 @@ def test_features_left_out_have_no_weight(spark):
     sample.unpersist()
 
 
+def test_documents_meet_only_the_features_with_a_weight(spark, monkeypatch):
+    """No vector of the chosen features is made for documents; the chances are the models'."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    models, chosen, fit, of = [], [], LogisticRegression.fit, mixing.weighable
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df: models.append(fit(self, df)) or models[-1])
+    monkeypatch.setattr(mixing, "weighable", lambda *a: chosen.append(of(*a)) or chosen[-1])
+    scored = mixing.classified(docs, docs, labels, "text", "doc_id")
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("UDF(") == 1
+    want = chosen[0].transform(mixing.featured(docs, "text"))
+    for i, model in enumerate(models):
+        assert np.count_nonzero(model.coefficients.toArray())
+        model = model.setProbabilityCol(f"p{i}").setRawPredictionCol(f"r{i}").setPredictionCol(f"l{i}")
+        want = model.transform(want)
+    rows = {r.doc_id: r["__posterior"] for r in scored.select("doc_id", "__posterior").collect()}
+    for r in want.select("doc_id", "p0", "p1").collect():
+        toxic, poor = r.p0[1], (1 - r.p0[1]) * r.p1[1]
+        shares = np.round(np.array([1 - toxic - poor, poor, toxic]) * mixing.STEPS)
+        assert rows[r.doc_id] == pytest.approx(shares / shares.sum())
+
+
 def test_nothing_to_weigh(spark):
     """Equal texts under several domains: the posterior is the labels' share."""
     docs = spark.createDataFrame([(i, "same words") for i in range(8)], "doc_id bigint, text string")
