@@ -72,6 +72,13 @@ def letters(text: str) -> Column:
     return F.expr(f"aggregate(split({text}, ''), 0L, (x, c) -> {seen})")
 
 
+def neighbours(text: str) -> Column:
+    """A long with a bit, taken from its hash, for each two characters of a column that follow
+    each other. Adding or removing a character changes three bits at most, replacing one four."""
+    two = f"pmod(xxhash64(substring({text}, i, 2)), 64L)"
+    return F.expr(f"aggregate(sequence(1, greatest(1, length({text}) - 1)), 0L, (x, i) -> x | shiftleft(1L, int({two})))")
+
+
 def search_form(df: DataFrame, match_genus: bool) -> DataFrame:
     """``key`` with ``genus`` (empty where any will do) and ``body``, what follows
     it: a common start does not change the edits."""

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sylvatab.operators import resolve
-from sylvatab.operators.pieces import edit_limit
+from sylvatab.operators.pieces import edit_limit, letters, neighbours
 from sylvatab.operators.resolve import (
     Index,
     close_pairs,
@@ -352,3 +352,71 @@ def test_a_genus_of_near_equal_names(spark):
     some = sorted(listed)[::1000]
     wanted = {(a, b) for a in some for i in range(5, 11) for d in "0123456789" if (b := a[:i] + d + a[i + 1 :]) != a and b in listed}
     assert {(r.key, r.entry_key) for r in near.filter(F.col("key").isin(some)).collect()} == wanted
+
+
+def unwanted(*args):
+    raise AssertionError("keys were made")
+
+
+@pytest.mark.parametrize("share", [0.2, 5])
+def test_names_of_small_genera_make_no_keys(spark, monkeypatch, share):
+    """The keys of a name take longer than comparing it with the entries of its genus."""
+    monkeypatch.setattr(resolve, "name_keys", unwanted)
+    monkeypatch.setattr(resolve, "entry_keys", unwanted)
+    asked, entries = some_names(7, 90, [1, 2, 4, 8, 13, 25])
+    assert pairs(spark, asked, entries, share, True) == brute(asked, entries, share, True)
+
+
+@pytest.mark.parametrize("share", [0.1, 0.3, 2, 5])
+@pytest.mark.parametrize("block", [0, 33])
+def test_large_genera_equal_brute_force(spark, monkeypatch, block, share):
+    """All genera by keys, or one by keys and one compared directly."""
+    monkeypatch.setattr(resolve, "BLOCK", block)
+    asked, entries = some_names(7, 90, [1, 2, 4, 8, 13, 25])
+    sizes = sorted(sum(e.startswith(g + " ") for e in entries) for g in ("Ga", "Gab"))
+    assert sizes == [33, 34]
+    assert pairs(spark, asked, entries, share, True) == brute(asked, entries, share, True)
+
+
+def test_long_names_of_large_genera_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "BLOCK", 0)
+    test_long_names_equal_brute_force(spark)
+
+
+def test_rising_distance_in_large_genera(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "BLOCK", 0)
+    test_rising_distance_equals_brute_force(spark, 0.3)
+
+
+def test_entries_of_large_genera_make_no_keys_that_no_name_looks_for(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "BLOCK", 0)
+    test_entries_make_no_keys_that_no_name_looks_for(spark, monkeypatch)
+
+
+@pytest.mark.parametrize("block", [0, 33])
+def test_pairs_are_measured_after_cheaper_tests(spark, monkeypatch, block):
+    """The optimizer puts a filter on the distance before the tests of the join."""
+    monkeypatch.setattr(resolve, "BLOCK", block)
+    keys = spark.createDataFrame([("Ga abc",), ("Ga abd",)], "key string")
+    found = close_pairs(keys.withColumn("edits", F.lit(2)), Index(keys, None, (2,), True), range(1, 3))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line and "levenshtein" in line]
+    assert joins and all(line.index("bit_count") < line.index("levenshtein") for line in joins)
+
+
+def test_bits_that_an_edit_can_change(spark):
+    rng = random.Random(17)
+    rows = []
+    for _ in range(400):
+        a = "".join(rng.choice("abcdé -") for _ in range(rng.randint(0, 9)))
+        s = list(a)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(s) + 1)
+            s[i : i + rng.randint(0, 1)] = rng.choice(["", *"abcdé"])
+        b = "".join(s)
+        rows.append((a, b, edits(a, b)))
+    df = spark.createDataFrame(rows, "a string, b string, d int").withColumn("longer", F.expr("abs(length(a) - length(b))"))
+    for bits, most in ((letters, 2), (neighbours, 4)):
+        changed = F.bit_count(bits("a").bitwiseXOR(bits("b")))
+        assert df.filter(changed + F.col("longer") > most * F.col("d")).collect() == []
+    assert df.filter(F.bit_count(neighbours("a").bitwiseXOR(neighbours("b"))) > 4).count() > 0
