@@ -257,6 +257,69 @@ def test_places_are_found_once_for_each_length(spark, monkeypatch):
     assert rows["places"] == 2
 
 
+def two_words(seed, n):
+    """Names of two words and others up to three edits away, some with the space elsewhere."""
+    rng = random.Random(seed)
+
+    def word(most):
+        return "".join(rng.choice("ab") for _ in range(rng.randint(1, most)))
+
+    entries = sorted({f"{word(6)} {word(6)}" for _ in range(n)})
+    asked = set(entries)
+    for e in entries:
+        s = list(e)
+        for _ in range(rng.randint(1, 3)):
+            i, step = rng.randrange(len(s)), rng.choice("idr")
+            s[i : i + 1] = {"i": [rng.choice("ab "), s[i]], "d": [], "r": [rng.choice("ab ")]}[step]
+        asked.add("".join(s))
+        asked.add(e.replace(" ", "")[:-2] + " " + e[-2:].strip())
+    return sorted(a for a in asked if len(a.split()) == 2 and a.count(" ") == 1 and a == a.strip()), entries
+
+
+@pytest.mark.parametrize(("share", "block"), [(0.2, 2_048), (2, 0)])
+def test_two_words_of_any_genus_make_no_keys(spark, monkeypatch, share, block):
+    """Names meet by their words, with up to two edits in one, one in each or at the spaces."""
+    monkeypatch.setattr(resolve, "name_keys", unwanted)
+    monkeypatch.setattr(resolve, "entry_keys", unwanted)
+    monkeypatch.setattr(resolve, "WORD_BLOCK", block)
+    monkeypatch.setattr(resolve, "FEW", 0)
+    asked, entries = two_words(19, 40)
+    asked = [a for a in asked if limit_of(a, share) <= 2]
+    assert pairs(spark, asked, entries, share, False) == brute(asked, entries, share, False)
+
+
+def test_moved_spaces(spark, monkeypatch):
+    """The space taken away and put in elsewhere, or exchanged with characters."""
+    monkeypatch.setattr(resolve, "FEW", 0)
+    entries = ["abc def", "aaaa aa", "ab cdef", "abyc ef", "aa aaaa"]
+    asked = ["ab cdef", "ab cxdef", "abcd ef", "abcde f", "abxc ef", "ab cxef", "abcd xef", "aaa aaa", "aaaaa a", "abcx ef", "ab yxef"]
+    wanted = brute(asked, entries, 2, False)
+    assert {("ab cdef", "abc def", 2), ("aaa aaa", "aaaa aa", 2), ("aaa aaa", "aa aaaa", 2), ("ab cxef", "abyc ef", 2)} <= wanted
+    assert pairs(spark, asked, entries, 2, False) == wanted
+
+
+def test_few_names_of_any_genus_are_compared_directly(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "name_keys", unwanted)
+    asked, entries = some_names(7, 40, [1, 2, 4, 8, 13, 25])
+    assert pairs(spark, asked, entries, 0.3, False) == brute(asked, entries, 0.3, False)
+
+
+def test_ends_of_many_names_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "FEW", 0)
+    test_ends_equal_brute_force(spark, 0.15)
+
+
+def test_names_of_two_words_and_others_of_any_genus(spark, monkeypatch):
+    """Names and entries of one word, of three and longer than keys go among those of two."""
+    monkeypatch.setattr(resolve, "FEW", 0)
+    asked, entries = two_words(23, 25)
+    entries = [*entries, "abaab", "ab aa b", "a b a b", "a" * 41 + " b", "b" * 39 + " a", "ab  b"]
+    asked = [*asked, "abab", "ab aab", "aba ab b", "a" * 40 + " b", "a" * 38 + " b", "b" * 38 + " a", "abb", "ab b"]
+    asked = list(dict.fromkeys(asked))
+    for share in (2, 0.3):
+        assert pairs(spark, asked, entries, share, False) == brute(asked, entries, share, False)
+
+
 def as_checklist(spark, keys):
     return spark.createDataFrame([entry(k, "synonym" if i % 3 else "accepted") for i, k in enumerate(keys)], SCHEMA)
 
